@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from lettermill.llm import chat, licences, mixing
+from lettermill.llm import chat, licences, mixing, warc
 
 QUERIES = {
+    "op1_warc": warc.op1_warc,
     "op2_chat": chat.op2_chat,
     "op6_licences": licences.op6_licences,
     "op9_mixing": mixing.op9_mixing,
 }
 ORACLES = {
+    "op1_warc": warc.OP1_SQL,
     "op2_chat": chat.OP2_SQL,
     "op9_mixing": mixing.OP9_SQL,
 }
