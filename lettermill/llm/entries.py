@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from lettermill.llm import chat, licences, mixing, warc
+from lettermill.llm import chat, licences, mixing, simhash, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
     "op2_chat": chat.op2_chat,
     "op6_licences": licences.op6_licences,
+    "op8_simhash": simhash.op8_simhash,
     "op9_mixing": mixing.op9_mixing,
 }
 ORACLES = {
