@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from lettermill.llm import chat, licences, mixing, simhash, warc, winnow
+from lettermill.llm import chat, licences, mixing, passages, simhash, warc, winnow
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
     "op2_chat": chat.op2_chat,
     "op4_winnow": winnow.op4_winnow,
     "op6_licences": licences.op6_licences,
+    "op7_passages": passages.op7_passages,
     "op8_simhash": simhash.op8_simhash,
     "op9_mixing": mixing.op9_mixing,
 }
@@ -16,5 +17,6 @@ ORACLES = {
     "op1_warc": warc.OP1_SQL,
     "op2_chat": chat.OP2_SQL,
     "op4_winnow": winnow.OP4_SQL,
+    "op7_passages": passages.OP7_SQL,
     "op9_mixing": mixing.OP9_SQL,
 }
