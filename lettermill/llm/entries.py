@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from lettermill.llm import chat, licences, mixing, passages, quantised, simhash, toxicity, warc, winnow
+from lettermill.llm import chat, licences, mixing, passages, quantised, simhash, tokens, toxicity, warc, winnow
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
     "op2_chat": chat.op2_chat,
     "op3_quantised": quantised.op3_quantised,
     "op4_winnow": winnow.op4_winnow,
+    "op5_tokens": tokens.op5_tokens,
     "op6_licences": licences.op6_licences,
     "op7_passages": passages.op7_passages,
     "op8_simhash": simhash.op8_simhash,

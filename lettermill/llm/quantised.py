@@ -255,16 +255,19 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
     """key, n_links, component_id and kept of every row: links are other rows at ``cosine`` or more.
 
     ``component_id`` is the smallest key reachable by links, the row itself included. Equal vectors are
-    compared once, as a class. What ``unit_classes`` puts in no class links with nothing. Only vectors of
-    one length can be compared: those of another length than most are an error. Keys are whole numbers,
-    not null; repeated keys with different vectors are not told apart.
+    compared once, as a class. What ``unit_classes`` puts in no class links with nothing, and vectors of
+    different lengths do not link; each length is a round of its own. Keys are whole numbers; a row with a
+    null key links like others but names a component only with null; repeated keys are not told apart.
     """
     classes, members = unit_classes(vectors, key, vector)
     classes = checkpointed(classes)
-    sizes = [r[0] for r in classes.select(F.size("vec")).distinct().limit(2).collect()]
-    if len(sizes) > 1:
-        raise ValueError("vectors of different lengths")
-    found = checkpointed(links(classes, cosine))
+    lengths = [r[0] for r in classes.select(F.size("vec")).distinct().collect()]
+    found = None
+    for length in lengths:
+        own = checkpointed(links(classes.filter(F.size("vec") == length), cosine))
+        found = own if found is None else found.unionByName(own)
+    if found is None:
+        found = vectors.sparkSession.createDataFrame([], "kind int, a bigint, b bigint, n bigint")
     counted = found.filter("kind = 0").groupBy(F.col("a").alias("class")).agg(F.sum("n").alias("linked"))
     components = connected_components(found.filter("kind = 1").select("a", "b"))
     facts = (classes.select("class").join(counted, "class", "left").join(components.withColumnRenamed("node", "class"), "class", "left")
