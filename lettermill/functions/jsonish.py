@@ -8,24 +8,22 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from lettermill.functions.text import strip_control
-from lettermill.rules import JSON_COLON_PASS, JSON_KEY_PASS, JSON_REQUIRED_KEYS, JSON_VALUE_PASS
+from lettermill.rules import JSON_REQUIRED_KEYS
 
 
-def quote_keys(text: Column) -> Column:
-    """Quote bare keys."""
-    for pattern, replacement in (JSON_KEY_PASS, JSON_VALUE_PASS):
-        text = F.regexp_replace(text, pattern, replacement)
-    return text
+# A bare word at the start of a field, right before its colon, or before a value that lacks one.
+_BARE_KEY = r"(?<=[{,])(\s*)([A-Za-z_]\w*)(?=\s*:)"
+_NO_COLON = r"(?<=[{,])(\s*)([A-Za-z_]\w*)[ \t]+(?=[^\s:,}\]])"
 
 
-def add_colons(text: Column) -> Column:
-    """Put a colon between a bare key and the value that follows it."""
-    return F.regexp_replace(text, *JSON_COLON_PASS)
+def quote_keys(text: Column) -> Column:
+    """Quote bare keys."""
+    return F.regexp_replace(text, _BARE_KEY, '$1"$2"')
 
 
 def repair_json_text(text: Column) -> Column:
-    """Quote bare keys, then add absent colons."""
-    return add_colons(quote_keys(text))
+    """Quote bare keys, and put a colon between a bare key and the value that follows it without one."""
+    return F.regexp_replace(quote_keys(text), _NO_COLON, '$1"$2": ')
 
 
 def strict_json(text: Column) -> Column:

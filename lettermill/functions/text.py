@@ -31,6 +31,7 @@ def strip_control(text: Column) -> Column:
 def negate(text: Column, verbs: Sequence[str] = ("is", "are", "were", "be"), adverb: str = "medically",
            adjectives: Sequence[str] = ("necessary", "required")) -> Column:
     """Put "not" after the verb of "<verb> <adverb> <adjective>", any case."""
+    # Fixed behaviour: what stands between verb, adverb and adjective may be any white space, or none.
     pattern = rf"(?iu)({'|'.join(verbs)})\s*{adverb}\s*({'|'.join(adjectives)})"
     return F.regexp_replace(text, pattern, f"$1 not {adverb} $2")
 
@@ -142,6 +143,13 @@ def clean_completion(prompt: Column, raw: Column, banned: str = BANNED_COMPLETIO
     return F.coalesce(answer.otherwise(text), F.lit(""))
 
 
+def cleaned_or_error(prompt: Column, raw: Column, **cleaning) -> Column:
+    """(result, error) of a completion: the answer inside it, or an error naming the prompt where there is none."""
+    return F.transform(F.array(clean_completion(prompt, raw, **cleaning)), lambda answer: F.struct(
+        F.when(answer != "", answer).alias("result"),
+        F.when(answer == "", F.concat(F.lit("Could not generate for "), prompt)).alias("error")))[0]
+
+
 def response_content(envelope: Column) -> Column:
     """The text of the first choice in a chat-completion response."""
     return F.get_json_object(envelope, "$.choices[0].message.content")

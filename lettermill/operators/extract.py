@@ -10,32 +10,6 @@ from pyspark.sql import functions as F
 
 from lettermill.rules import HUMAN_BIAS, LETTER_TYPES, MODEL_TAGS, PRODUCER_TAGS, TYPE_ALIASES, ExtractRule
 
-# Default cascades over case findings. The last two entries of SEEKING_RULES share one pattern: what is
-# sought, and what it is sought for.
-_ASKS = "requested|required|asked|requires|reimbursement|coverage|requesting"
-_LINKS = "for|of|medication|reimbursement|coverage|services"
-_WAS = "is|was|were"
-_SEEKING = r"\bis seeking ([^.]+?) for ([^.]+)"
-TREATMENT_RULES = (
-    ExtractRule(rf"\b(?:parent|father|mother|patient|enrollee|member|provider)\b[^.]*?\b(?:{_ASKS}|has)\b[^.]*"
-                rf"\b(?:{_LINKS})\s+(\w[^.]*)\."),
-    ExtractRule(rf"at issue\b[^.]*?\b(?:whether|if) (\w.*?) (?:{_WAS}) medically (?:necessary|indicated)"),
-    ExtractRule(rf"the requested (?:medication|treatment|service|procedure)\s+(\w.*?) (?:{_WAS}) "
-                r"(?:likely to be|medically necessary|medically indicated)"),
-    ExtractRule(r"provider has prescribed the medication\s+([^.]+)\."),
-    ExtractRule(r"\b(?:wishes|desires|like) to (?:undergo|take)\s+([^.]+)\."),
-    ExtractRule(rf"the (?:health plan|plan|insurance company) (?:determined the|determined|indicates) (.+?) (?:{_WAS}) not"),
-    ExtractRule(rf"treatment[^.]*with\s+([^.]+?) (?:{_WAS})"),
-    ExtractRule(rf"\b(?:{_ASKS}|request)\b[^.]*\b(?:{_LINKS})\s+(\w[^.]*)\."),
-    ExtractRule(_SEEKING, 1),
-    ExtractRule(r"physicians recommended ([^.]+)"),
-)
-# Off by default: what a concluding sentence says should be authorised.
-CONCLUSION_RULE = ExtractRule(
-    r"\b(?:therefore|thus|as such),[^.]*?\s(?:an|a|the|that) (\w[^.]+?) (?:is|was|were|should be) "
-    r"(?:medically necessary|medically indicated|likely to be|authorized)")
-DIAGNOSIS_RULES = (ExtractRule(_SEEKING, 2), ExtractRule(r"admitted to the hospital for ([^.]+)"))
-
 
 def category_fallback(category: Column, sub_category: Column, other: str = "Other") -> Column:
     """Category and sub-category run together; null for the catch-all category."""
@@ -45,11 +19,14 @@ def category_fallback(category: Column, sub_category: Column, other: str = "Othe
 
 def cascade(text: Column, rules: Sequence[ExtractRule], fallback: Column | None = None,
             min_length: int = 3) -> Column:
-    """The first capture, in rule order, of at least ``min_length`` characters; else ``fallback``."""
+    """The first capture, in rule order, of at least ``min_length`` characters; else ``fallback``.
+
+    Each pattern is tried once per row, and only if those before it failed.
+    """
     captures = []
     for rule in rules:
-        found = F.regexp_extract(text, "(?iu)" + rule.pattern, rule.group)
-        captures.append(F.when(F.length(found) >= min_length, found))
+        found = F.array(F.regexp_extract(text, "(?iu)" + rule.pattern, rule.group))
+        captures.append(F.get(F.filter(found, lambda capture: F.length(capture) >= min_length), F.lit(0)))
     if fallback is not None:
         captures.append(fallback)
     return F.coalesce(*captures)
@@ -61,16 +38,17 @@ def extract_cascade(df: DataFrame, text: str, out: str, rules: Sequence[ExtractR
     return df.withColumn(out, cascade(F.col(text), rules, fallback))
 
 
-def enrich(df: DataFrame, treatment_rules: Sequence[ExtractRule] = TREATMENT_RULES,
-           diagnosis_rules: Sequence[ExtractRule] = DIAGNOSIS_RULES) -> DataFrame:
-    """Decisions with ``treatment_extracted`` and ``diagnosis_extracted``."""
+def enrich(df: DataFrame, treatment_rules: Sequence[ExtractRule], diagnosis_rules: Sequence[ExtractRule]) -> DataFrame:
+    """Decisions with ``treatment_extracted`` and ``diagnosis_extracted``.
+
+    The two are laid out as an array of one struct and inlined: projections above are not merged into it, so
+    the cascades run once per row however often their results are used.
+    """
     findings = F.col("Findings")
-    return df.withColumns({
-        "treatment_extracted": cascade(findings, treatment_rules, category_fallback(
-            F.col("TreatmentCategory"), F.col("TreatmentSubCategory"))),
-        "diagnosis_extracted": cascade(findings, diagnosis_rules, category_fallback(
-            F.col("DiagnosisCategory"), F.col("DiagnosisSubCategory"))),
-    })
+    found = F.struct(
+        cascade(findings, treatment_rules, category_fallback(F.col("TreatmentCategory"), F.col("TreatmentSubCategory"))).alias("treatment_extracted"),
+        cascade(findings, diagnosis_rules, category_fallback(F.col("DiagnosisCategory"), F.col("DiagnosisSubCategory"))).alias("diagnosis_extracted"))
+    return df.select("*", F.inline(F.array(found)))
 
 
 def decode_name(df: DataFrame, path: str = "path", types: Sequence[str] = LETTER_TYPES,

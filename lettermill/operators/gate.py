@@ -9,10 +9,9 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lettermill.operators.contain import contained
 from lettermill.rules import TYPE_ALIASES
 
-MAX_BROADCAST_RULES = 100_000
-
 
 def keep_contains(df: DataFrame, column: str, word: str) -> DataFrame:
     """Rows whose column holds the word, as written; null rows go."""
@@ -101,28 +100,15 @@ def split_good_bad(df: DataFrame, phrases: Mapping[str, Sequence[str]], text: st
     return checked.filter(~F.col("is_bad")).drop("hits", "is_bad"), checked.filter("is_bad")
 
 
-def match_phrases(df: DataFrame, rules: DataFrame, text: str = "text", letter_type: str = "letter_type",
-                  max_broadcast: int = MAX_BROADCAST_RULES) -> DataFrame:
-    """One row per (row, phrase of its type found in its text); ``rules`` is (letter_type, phrase).
+def match_phrases(df: DataFrame, rules: DataFrame, key: Sequence[str], text: str = "text", letter_type: str = "letter_type") -> DataFrame:
+    """(letter_type, key, phrase) for every phrase of a text's type found in it, any case.
 
-    The rules are counted first (the one action here). A rule table within ``max_broadcast`` rows is
-    packed into one row per type and broadcast, so that neither the texts nor the hot types move. A
-    larger one is dealt into hashed blocks, each small enough to broadcast, and the texts are scanned
-    once per block.
+    ``rules`` is a table (letter_type, phrase) of any size, ``key`` names a text. Texts are read once, and
+    phrases are looked up by their words (``contain.contained``).
     """
-    rules = (rules.select(F.col(letter_type).alias("_type"), F.lower("phrase").alias("phrase"))
-             .filter(F.btrim(F.col("phrase")) != "").distinct())
-    n_blocks = max(1, -(-rules.count() // max_broadcast))
-    found = None
-    for block in range(n_blocks):
-        part = rules if n_blocks == 1 else rules.filter(F.pmod(F.xxhash64("phrase"), F.lit(n_blocks)) == block)
-        packed = part.groupBy("_type").agg(F.sort_array(F.collect_list("phrase")).alias("_phrases"))
-        joined = df.join(F.broadcast(packed), df[letter_type] == packed["_type"])
-        hits = (joined.withColumn("_haystack", F.lower(text))
-                .withColumn("_hits", F.filter("_phrases", lambda p: F.contains(F.col("_haystack"), p)))
-                .select(*df.columns, F.explode("_hits").alias("phrase")))
-        found = hits if found is None else found.unionByName(hits)
-    return found
+    listed = rules.select(F.col(letter_type), F.lower("phrase").alias("phrase")).filter(F.btrim("phrase") != "").distinct()
+    folded = df.select(letter_type, *key, F.lower(text).alias("_folded"))
+    return contained(folded, key, "_folded", listed.withColumn("_needle", F.col("phrase")), ["phrase"], "_needle", letter_type)
 
 
 def drop_prompt_if(df: DataFrame, kind: str, condition: Column, prompts: str = "prompts") -> DataFrame:

@@ -88,17 +88,17 @@ def apply_tokenizer(df: DataFrame, encode, text: str = "text", limit: int = 512)
     return df.withColumn("token_ids", encoded(F.col(text)))
 
 
-def pack(df: DataFrame, key: str, n_tokens: str, limit: int = 8192, shard_rows: int = 4096) -> DataFrame:
+def pack(df: DataFrame, key: str, n_tokens: str, limit: int = 8192, shards: int = 64) -> DataFrame:
     """(key, n_tokens, shard, bin, position): rows packed, in hash order, into sequences of ``limit`` tokens.
 
-    Rows are dealt into shards by the hash of their key, one shard per ``shard_rows`` rows (the count is
-    the one action here), so shards stay small however large the input. Inside a shard a sequence is
+    Rows are dealt into ``shards`` by the hash of their key: choose as many as keep a shard's keys and counts
+    in the memory of a task. A shard's sequences depend on its own rows only. Inside a shard a sequence is
     closed when the next row does not fit. Only keys and counts travel; the texts are joined by whoever
-    writes the sequences. Rows longer than ``limit`` count as ``limit``: they are truncated first.
+    writes the sequences. A row longer than ``limit`` counts as ``limit``; its text must be cut by whoever
+    writes it.
     """
     sized = df.select(F.col(key), F.least(F.col(n_tokens).cast("bigint"), F.lit(limit)).alias("n_tokens"))
-    n_shards = max(1, -(-df.count() // shard_rows))
-    hashed = sized.withColumn("_hash", key_hash(F.col(key), 0)).withColumn("shard", F.pmod("_hash", F.lit(n_shards)))
+    hashed = sized.withColumn("_hash", key_hash(F.col(key), 0)).withColumn("shard", F.pmod("_hash", F.lit(shards)))
 
     def fill(shard: pd.DataFrame) -> pd.DataFrame:
         shard = shard.sort_values(["_hash", key], kind="stable")
@@ -138,37 +138,47 @@ def chunk(df: DataFrame, key: str, text: str = "text", size: int = 512, overlap:
 
 def chunk_sentences(df: DataFrame, key: str, text: str = "text", size: int = 512, overlap: int = 20) -> DataFrame:
     """Like ``chunk``, but cut between sentences: a chunk takes whole sentences while they fit, and opens
-    with the last sentences of the chunk before, as far as they make up at most ``overlap`` tokens.
-    A sentence longer than ``size`` is cut into pieces of that size.
+    with the last sentences of the chunk before, as far as they make up at most ``overlap`` tokens and leave
+    room. A sentence longer than ``size`` is cut into pieces of that size.
 
-    Only the sentence lengths go through Python; sentences are split and joined natively.
+    Sentence lengths are folded into chunk bounds; all of it is built-in functions.
     """
-    @F.pandas_udf("array<struct<first:int,n:int>>")
-    def spans(counts: pd.Series) -> pd.Series:
-        return counts.map(lambda c: sentence_spans(c, size, overlap))
-
     sentences = F.split(F.col(text), r"(?<=[.!?])\s+")
-    words = F.flatten(F.transform(sentences, lambda s: F.transform(
-        F.sequence(F.lit(0), F.greatest(F.lit(0), F.size(tokens(s)) - 1), F.lit(size)),
-        lambda at: F.slice(tokens(s), at + 1, size))))
-    units = df.select(key, F.filter(words, lambda w: F.size(w) > 0).alias("_units")).filter(F.size("_units") > 0)
+
+    def cut(sentence: Column) -> Column:
+        return F.transform(F.array(tokens(sentence)), lambda words: F.transform(
+            F.sequence(F.lit(0), F.greatest(F.lit(0), F.size(words) - 1), F.lit(size)), lambda at: F.slice(words, at + 1, size)))[0]
+
+    units = df.select(key, F.filter(F.flatten(F.transform(sentences, cut)), lambda w: F.size(w) > 0).alias("_units"))
     counted = units.withColumn("_counts", F.transform("_units", lambda w: F.size(w)))
-    placed = counted.select(key, "_units", F.posexplode(spans("_counts")).alias("chunk_no", "_span"))
+    span = "struct<first:int,n:int>"
+    state = F.struct(F.array().cast(f"array<{span}>").alias("done"), F.lit(0).alias("first"), F.lit(0).alias("filled"), F.lit(0).alias("at"))
+
+    def tail(at: Column, count: Column) -> Column:
+        """(first, filled) of the sentences before ``at`` that open the next chunk."""
+        # At most ``overlap`` sentences of a token or more can be carried over.
+        back = F.reverse(F.slice("_counts", F.greatest(F.lit(1), at - overlap + 1), F.least(at, F.lit(overlap))))
+
+        def add(carried: Column, n: Column) -> Column:
+            fits = carried["open"] & (carried["filled"] + n <= overlap) & (carried["filled"] + n + count <= size)
+            return F.when(fits, F.struct((carried["first"] - 1).alias("first"), (carried["filled"] + n).alias("filled"), F.lit(True).alias("open"))
+                          ).otherwise(F.struct(carried["first"].alias("first"), carried["filled"].alias("filled"), F.lit(False).alias("open")))
+
+        return F.aggregate(back, F.struct(at.alias("first"), F.lit(0).alias("filled"), F.lit(True).alias("open")), add)
+
+    def step(s: Column, count: Column) -> Column:
+        closed = F.transform(F.array(tail(s["at"], count)), lambda t: F.struct(
+            F.concat(s["done"], F.array(F.struct(s["first"].alias("first"), (s["at"] - s["first"]).alias("n")))).alias("done"),
+            t["first"].alias("first"), (t["filled"] + count).alias("filled"), (s["at"] + 1).alias("at")))[0]
+        return F.when(s["filled"] + count > size, closed).otherwise(F.struct(
+            s["done"].alias("done"), s["first"].alias("first"), (s["filled"] + count).alias("filled"), (s["at"] + 1).alias("at")))
+
+    def finish(s: Column) -> Column:
+        last = F.array(F.struct(s["first"].alias("first"), (s["at"] - s["first"]).alias("n")))
+        return F.when(s["at"] > 0, F.concat(s["done"], last)).otherwise(s["done"])
+
+    spans = counted.withColumn("_spans", F.aggregate("_counts", state, step, finish))
+    placed = spans.select(key, "_units", F.posexplode_outer("_spans").alias("chunk_no", "_span")).filter("_span IS NOT NULL")
     piece = F.flatten(F.slice("_units", F.col("_span.first") + 1, F.col("_span.n")))
     return placed.select(key, F.col("chunk_no").cast("bigint").alias("chunk_no"), F.size(piece).cast("bigint").alias("n_tokens"),
                          F.array_join(piece, " ").alias("text"))
-
-
-def sentence_spans(counts, size: int, overlap: int) -> list[dict[str, int]]:
-    """(first, n) of each chunk over sentence lengths, none of which exceeds ``size``."""
-    spans, first, filled = [], 0, 0
-    for i, count in enumerate(counts):
-        if filled + count > size:
-            spans.append({"first": first, "n": i - first})
-            first, filled = i, 0
-            while first > 0 and filled + counts[first - 1] <= overlap and filled + counts[first - 1] + count <= size:
-                first -= 1
-                filled += counts[first]
-        filled += count
-    spans.append({"first": first, "n": len(counts) - first})
-    return spans

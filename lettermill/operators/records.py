@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lettermill.functions.text import dedup_key, drug_qa, normalise_page, truncate_chars, wrap_prompt
@@ -26,35 +26,19 @@ class RecordTemplate:
     instruction: str
 
 
-# Clauses stand for the case's own text, or for nothing where it has none.
-CLAUSES = {
-    "treatment_clause": "\nThe treatment in question is {value}\n",
-    "history_clause": "\nThe patient's history: {value}\n",
-    "diagnosis_clause": "\nThe diagnosis is {value}\n",
-}
-RECORD_TEMPLATES = {
-    "why": RecordTemplate("You read insurance claims and explain them to people.",
-                          "{history_clause}Why does {diagnosis} make {treatment} medically necessary?"),
-    "studies": RecordTemplate("You know medicine well and like to write appeals.",
-                              "Which studies bear on {treatment} for {diagnosis}?"),
-    "appeal": RecordTemplate("You know medicine well and like to write appeals.",
-                             "This is the denial: {rejection}\n{treatment_clause}{history_clause}{diagnosis_clause}\n"
-                             "Write a detailed appeal."),
-    "reason": RecordTemplate("You read insurance claims and explain them to people.",
-                             "This is the denial: {rejection}\n For what reason was it denied?"),
-    "treatment": RecordTemplate("You read insurance claims and explain them to people.",
-                                "This is the denial: {rejection}\n Which treatment was denied?"),
-    "diagnosis": RecordTemplate("You read insurance claims and explain them to people.",
-                                "This is the denial: {rejection}\n What does the patient suffer from?"),
-}
-GUIDELINE_TEMPLATE = RecordTemplate("You are a helpful assistant.", "Which recommendations does {pdf} make?")
-DRUG_SYSTEM = "You know cancer drugs. Be brief."
-DRUG_QUESTION = "What are the alternate name, primary sites, category and remarks of the cancer drug {name}?"
-DRUG_ANSWER = "Alternate name: {alternate}, primary sites: {primary_site}, category: {category}, remarks: {remarks}"
-
-
-def _clause(name: str, value: str) -> Column:
-    return F.when(F.col(value).isNotNull(), fill_template(CLAUSES[name], value=F.col(value))).otherwise("")
+@dataclass(frozen=True)
+class RecordSet:
+    """Templates by kind of record, and the clauses that stand for the case's own text or for nothing.
+
+    Clauses are ``treatment_clause``, ``history_clause`` and ``diagnosis_clause``, each with ``{value}``.
+    """
+
+    kinds: Mapping[str, RecordTemplate]
+    clauses: Mapping[str, str]
+
+
+def _clause(records: RecordSet, name: str, value: str) -> Column:
+    return F.when(F.col(value).isNotNull(), fill_template(records.clauses[name], value=F.col(value))).otherwise("")
 
 
 def _record(df: DataFrame, kind: str, template: RecordTemplate, result: str, source: str,
@@ -66,8 +50,7 @@ def _record(df: DataFrame, kind: str, template: RecordTemplate, result: str, sou
         F.col(result).alias("result"))
 
 
-def case_records(scored: DataFrame, templates: Mapping[str, RecordTemplate] = RECORD_TEMPLATES,
-                 mega_cases: bool | None = None) -> DataFrame:
+def case_records(scored: DataFrame, records: RecordSet) -> DataFrame:
     """All records of all cases, from letters with ``base_score`` (see ``select.score_letters``).
 
     Per case a "why" and a "studies" record, where the case has the texts for them. Per rejection an
@@ -80,16 +63,16 @@ def case_records(scored: DataFrame, templates: Mapping[str, RecordTemplate] = RE
     """
     best = choose_best(scored.filter(F.col("letter_type").isin(*WIDE_TYPES)))
     wide = case_wide(best, WIDE_TYPES)
-    cased = wide.withColumns({"history_clause": _clause("history_clause", "patient_history"),
-                              "diagnosis_clause": _clause("diagnosis_clause", "diagnosis"),
+    cased = wide.withColumns({"history_clause": _clause(records, "history_clause", "patient_history"),
+                              "diagnosis_clause": _clause(records, "diagnosis_clause", "diagnosis"),
                               "source_path": F.lit("")})
     own = {c: F.col(c) for c in ("history_clause", "diagnosis", "treatment")}
     why = _record(cased.filter("medically_necessary IS NOT NULL AND treatment IS NOT NULL AND diagnosis IS NOT NULL"),
-                  "why", templates["why"], "medically_necessary", "source_path", own)
+                  "why", records.kinds["why"], "medically_necessary", "source_path", own)
     studies = _record(cased.filter("studies IS NOT NULL AND treatment IS NOT NULL AND diagnosis IS NOT NULL"),
-                      "studies", templates["studies"], "studies", "source_path", own)
+                      "studies", records.kinds["studies"], "studies", "source_path", own)
 
-    chosen = best_per_rejection(scored, ("treatment", "reason_for_denial"), mega_cases=mega_cases)
+    chosen = best_per_rejection(scored, ("treatment", "reason_for_denial"))
     per_rejection = chosen.groupBy("rejection_path").agg(
         F.max(F.when(F.col("letter_type") == "treatment", F.col("option_text"))).alias("_treatment"),
         F.max(F.when(F.col("letter_type") == "reason_for_denial", F.col("option_text"))).alias("_reason"))
@@ -98,12 +81,12 @@ def case_records(scored: DataFrame, templates: Mapping[str, RecordTemplate] = RE
     facts = cased.select("case_id", F.col("appeal").alias("_appeal"), F.col("diagnosis").alias("_diagnosis"),
                          "history_clause", "diagnosis_clause")
     joined = (rejections.join(per_rejection, "rejection_path", "left").join(facts, "case_id", "left")
-              .withColumn("treatment_clause", _clause("treatment_clause", "_treatment")))
+              .withColumn("treatment_clause", _clause(records, "treatment_clause", "_treatment")))
     clauses = ("rejection", "treatment_clause", "history_clause", "diagnosis_clause")
     slots = {c: F.col(c) for c in clauses}
     kinds = []
     for kind in ("appeal", "reason", "treatment", "diagnosis"):
-        template = templates[kind]
+        template = records.kinds[kind]
         kinds.append(F.when(F.col(f"_{kind}").isNotNull(), F.struct(
             F.lit(kind).alias("kind"), F.lit(template.system).alias("system"),
             fill_template(template.instruction, **slots).alias("instruction"),
@@ -113,13 +96,13 @@ def case_records(scored: DataFrame, templates: Mapping[str, RecordTemplate] = RE
     return why.unionByName(studies).unionByName(of_rejections)
 
 
-def drug_records(qa: DataFrame, system: str = DRUG_SYSTEM) -> DataFrame:
+def drug_records(qa: DataFrame, system: str) -> DataFrame:
     """Records from a (drug, question, answer) table."""
     return qa.select(F.lit(system).alias("system"), F.col("question").alias("instruction"),
                      F.col("answer").alias("result"))
 
 
-def drug_questions(drugs: DataFrame, question: str = DRUG_QUESTION, answer: str = DRUG_ANSWER) -> DataFrame:
+def drug_questions(drugs: DataFrame, question: str, answer: str) -> DataFrame:
     """(drug, question, answer) for the drugs that name a primary site."""
     asked, answered = drug_qa(question, answer, name=F.col("name"), alternate=F.col("name"),
                               primary_site=F.col("primary_site"), category=F.col("category"), remarks=F.col("remarks"))
@@ -134,35 +117,24 @@ def recommendations(pages: DataFrame) -> DataFrame:
                        ["pdf", "page_no", "pos"])
 
 
-def concat_per(df: DataFrame, key: str, value: str, order: Sequence[str], separator: str,
-               limit: int = MAX_ANSWER_CHARS, block: str | None = None, block_rows: int = 1000) -> DataFrame:
-    """(key, joined): the values of a key in order, joined, up to ``limit`` characters of the result.
+def concat_per(df: DataFrame, key: str, value: str, order: Sequence[str], separator: str, block_rows: int = 1000) -> DataFrame:
+    """(key, joined): the values of a key in order, joined whole.
 
-    The result never needs more than its first ``limit`` characters, so a hot key is not gathered whole.
-    ``order[0]`` must be a whole number: its values are cut into ranges of ``block_rows``. Per range the
-    length is summed with map-side aggregation; running sums over these small rows tell where each range
-    starts; ranges that start past the limit are dropped before any text is joined.
+    ``order[0]`` must be a whole number: its values are cut into ranges of ``block_rows``, each joined by a task
+    of its own, so that a hot key is spread; the pieces of a key then meet in the one row they become.
     """
     blocked = df.withColumn("_block", F.floor(F.col(order[0]) / block_rows))
-    grown = F.length(value) + len(separator)
-    sizes = blocked.groupBy(key, "_block").agg(F.sum(grown).alias("_chars"))
-    before = Window.partitionBy(key).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    needed = (sizes.withColumn("_start", F.coalesce(F.sum("_chars").over(before), F.lit(0)))
-              .filter(F.col("_start") < limit).select(key, "_block"))
     ordered = F.array_sort(F.collect_list(F.struct(*order, F.col(value).alias("_value"))))
-    pieces = (blocked.join(needed, [key, "_block"]).groupBy(key, "_block")
-              .agg(F.left(F.array_join(F.transform(ordered, lambda s: s["_value"]), separator), F.lit(limit)).alias("_piece")))
+    pieces = blocked.groupBy(key, "_block").agg(F.array_join(F.transform(ordered, lambda s: s["_value"]), separator).alias("_piece"))
     joined = F.array_sort(F.collect_list(F.struct("_block", "_piece")))
-    return pieces.groupBy(key).agg(
-        F.left(F.array_join(F.transform(joined, lambda s: s["_piece"]), separator), F.lit(limit)).alias("joined"))
+    return pieces.groupBy(key).agg(F.array_join(F.transform(joined, lambda s: s["_piece"]), separator).alias("joined"))
 
 
-def guideline_records(pages: DataFrame, template: RecordTemplate = GUIDELINE_TEMPLATE,
-                      limit: int = MAX_ANSWER_CHARS) -> DataFrame:
-    """One record per guideline document; a document without recommendations has an empty result."""
+def guideline_records(pages: DataFrame, template: RecordTemplate) -> DataFrame:
+    """One record per guideline document, whole; a document without recommendations has an empty result."""
     documents = path_endswith(pages, ".pdf", "pdf")
     per_pdf = concat_per(recommendations(documents), "pdf", "recommendation", ["page_no", "pos"],
-                         RECOMMENDATION_SEPARATOR, limit)
+                         RECOMMENDATION_SEPARATOR)
     return (documents.select("pdf").distinct().join(per_pdf, "pdf", "left")
             .select("pdf", F.lit(template.system).alias("system"),
                     fill_template(template.instruction, pdf=F.col("pdf")).alias("instruction"),

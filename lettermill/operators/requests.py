@@ -3,58 +3,46 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lettermill.functions.text import chat_wrap, is_unknown, mentions_study, optional_clause, trim_newlines
-from lettermill.operators.extract import enrich
 from lettermill.operators.gate import drop_prompt_if
 from lettermill.rules import PROMPT_ORDER, fill_template
 
-TREATMENT_CLAUSE = " A first guess at the treatment is {value}."
-DIAGNOSIS_CLAUSE = " A first guess at the diagnosis is {value}."
-_FACTS = "The review found: {findings} The grounds were {grounds}.{treatment_clause}"
-_GUESSES = "The review found: {findings}{treatment_clause}{diagnosis_clause}"
-# kind -> texts, one per variant; #kind# stands for the answer given earlier for that kind.
-PROMPT_TEMPLATES: Mapping[str, Sequence[str]] = {
-    "denial": (f"{_FACTS} Write the insurer's first denial letter. Leave the review out of it.",
-               f"{_GUESSES} Write a short rejection letter that gives the insurer's grounds."),
-    "appeal": (f"{_FACTS} Write the patient's own appeal. Cite only what is given here.",
-               f"{_GUESSES} Write an appeal that speaks of the patient's experience and history."),
-    "medically_necessary": (f"{_FACTS} The diagnosis may be #diagnosis#, the treatment #treatment#. "
-                            "Why is the treatment medically necessary?",),
-    "studies": ("Which studies does this text name? {findings} Answer NONE if there are none.",),
-    "patient_history": (f"{_GUESSES} What in the patient's history matters here?",),
-    "patient_history_questions": (f"{_GUESSES} The history is #patient_history#. Which questions would bring it out?",),
-    "reason_for_denial": (f"{_FACTS} In short, why did the insurer deny the treatment?",),
-    "treatment": (f"{_GUESSES} Which treatment was denied? Name it only.",),
-    "cpt_codes": (f"{_GUESSES} What are the procedure codes of the denied treatment?",),
-    "diagnosis": (f"{_GUESSES} What was the diagnosis? Name it only.",),
-    "icd10": (f"{_GUESSES} What are the diagnosis codes?",),
-}
 DROPPABLE_KIND = "studies"
-FEEDBACK = "Please do better {error}"
 
 
-def build_prompts(decisions: DataFrame, templates: Mapping[str, Sequence[str]] = PROMPT_TEMPLATES,
-                  use_known: bool = False, study_mode: str = "intended", instruct: bool = False) -> DataFrame:
-    """``index``, ``prompts`` (kind to variants), ``known`` (kind to value already extracted).
+@dataclass(frozen=True)
+class PromptSet:
+    """Texts by kind, one per variant, and the clauses for what was extracted.
+
+    Slots are ``{findings}``, ``{grounds}``, ``{treatment_clause}``, ``{diagnosis_clause}``; in a clause ``{value}``.
+    ``#kind#`` stands for the answer given earlier for that kind.
+    """
+
+    kinds: Mapping[str, Sequence[str]]
+    treatment_clause: str
+    diagnosis_clause: str
+
+
+def build_prompts(decisions: DataFrame, templates: PromptSet, use_known: bool = False, study_mode: str = "intended", instruct: bool = False) -> DataFrame:
+    """``index``, ``prompts`` (kind to variants), ``known`` (kind to value already extracted) of enriched decisions.
 
     The studies prompt goes where no study is mentioned: in the findings, or with
     ``study_mode='reference'`` (literal test) in the grounds. ``use_known`` moves the kinds whose value
     is already known from ``prompts`` to ``known``; without it ``known`` is empty.
     """
-    if "treatment_extracted" not in decisions.columns:
-        decisions = enrich(decisions)
     slots = {
         "findings": trim_newlines(F.col("Findings")), "grounds": F.col("Type"),
-        "treatment_clause": optional_clause(F.col("treatment_extracted"), TREATMENT_CLAUSE),
-        "diagnosis_clause": optional_clause(F.col("diagnosis_extracted"), DIAGNOSIS_CLAUSE),
+        "treatment_clause": optional_clause(F.col("treatment_extracted"), templates.treatment_clause),
+        "diagnosis_clause": optional_clause(F.col("diagnosis_extracted"), templates.diagnosis_clause),
     }
     wrap = chat_wrap if instruct else (lambda text: text)
     entries: list[Column] = []
-    for kind, texts in templates.items():
+    for kind, texts in templates.kinds.items():
         entries += [F.lit(kind), F.array(*[wrap(fill_template(text, **slots)) for text in texts])]
     studied = mentions_study(F.col("Type" if study_mode == "reference" else "Findings"), mode=study_mode)
 
@@ -125,7 +113,8 @@ def substitute(requests: DataFrame, answers: DataFrame, order: Sequence[str] = P
             .select(*requests.columns))
 
 
-def chat_messages(prompt: Column, previous: Column | None = None, error: Column | None = None) -> Column:
+def chat_messages(prompt: Column, previous: Column | None = None, error: Column | None = None,
+                  feedback_template: str = "{error}") -> Column:
     """The chat turns: the prompt and, where there was an earlier answer, that answer and the feedback."""
     def turn(role: str, content: Column) -> Column:
         return F.struct(F.lit(role).alias("role"), content.alias("content"))
@@ -133,7 +122,7 @@ def chat_messages(prompt: Column, previous: Column | None = None, error: Column
     first = F.array(turn("user", prompt))
     if previous is None:
         return first
-    feedback = fill_template(FEEDBACK, error=error if error is not None else F.lit(""))
+    feedback = fill_template(feedback_template, error=error if error is not None else F.lit(""))
     return F.when(previous.isNotNull(), F.concat(first, F.array(
         turn("assistant", previous), turn("user", feedback)))).otherwise(first)
 
@@ -142,37 +131,34 @@ def chat_payload(model: Column, messages: Column) -> Column:
     return F.to_json(F.struct(model.alias("model"), messages.alias("messages")))
 
 
-def feedback_text(bad_urls: Column | None = None, hits: Column | None = None) -> Column:
-    """What was wrong with an answer: links that do not work, or phrases it must not use."""
-    links = F.concat(F.lit("You referenced some invalid urls "), F.array_join(bad_urls, ", "), F.lit(".")) if bad_urls is not None else F.lit(None)
-    words = F.concat(F.lit("You used "), F.array_join(hits, ", "), F.lit(" which must not occur.")) if hits is not None else F.lit(None)
-    return F.concat_ws(" ", links, words)
+def feedback_text(links_template: str, words_template: str, bad_urls: Column | None = None, hits: Column | None = None) -> Column:
+    """What was wrong with an answer: links that do not work, phrases it must not use; a template has ``{listed}``."""
+    parts = [fill_template(template, listed=F.array_join(listed, ", "))
+             for template, listed in ((links_template, bad_urls), (words_template, hits)) if listed is not None]
+    return F.concat_ws(" ", *parts)
 
 
-def short_prompt(decisions: DataFrame) -> DataFrame:
+def short_prompt(decisions: DataFrame, with_diagnosis: str, without: str) -> DataFrame:
     """(index, prompt): a sentence to complete, from treatment and the finest diagnosis category at hand."""
     diagnosis = F.coalesce(F.nullif(F.col("DiagnosisSubCategory"), F.lit("")), F.col("DiagnosisCategory"))
     treatment = F.col("treatment_extracted")
-    enriched = decisions if "treatment_extracted" in decisions.columns else enrich(decisions)
-    prompt = F.when(diagnosis.isNotNull(), F.concat(treatment, F.lit(" is medically necessary for "), diagnosis, F.lit(" because"))
-                    ).otherwise(F.concat(treatment, F.lit(" is medically necessary because")))
-    return enriched.filter(treatment.isNotNull()).select(F.col("ReferenceID").alias("index"), prompt.alias("prompt"))
+    prompt = F.when(diagnosis.isNotNull(), fill_template(with_diagnosis, treatment=treatment, diagnosis=diagnosis)).otherwise(
+        fill_template(without, treatment=treatment))
+    return decisions.filter(treatment.isNotNull()).select(F.col("ReferenceID").alias("index"), prompt.alias("prompt"))
 
 
-def eval_prompts(letters: DataFrame, suffix: str = "_rejection.txt", text: str = "text", path: str = "path") -> DataFrame:
-    """Evaluation prompts from rejection letters written by people, told by the file name."""
-    asked = F.concat(F.lit("I received a denial: "), F.col(text), F.lit(". Write an appeal to this denial"))
-    return letters.filter(F.endswith(F.col(path), F.lit(suffix))).select(path, asked.alias("prompt"))
+def eval_prompts(letters: DataFrame, template: str, suffix: str = "_rejection.txt", text: str = "text", path: str = "path") -> DataFrame:
+    """Evaluation prompts from rejection letters written by people, told by the file name; ``{letter}`` is the text."""
+    return letters.filter(F.endswith(F.col(path), F.lit(suffix))).select(path, fill_template(template, letter=F.col(text)).alias("prompt"))
 
 
 def attach_results(ids: DataFrame, results: DataFrame, key: Sequence[str]) -> DataFrame:
     return ids.join(results, list(key))
 
 
-def wrap_letter(reason: Column, opening: str = "Dear [InsuranceCompany];\n\nI appeal claim [CLAIMNUMBER]. The care was medically necessary. ",
-                closing: str = "\nSincerely,\n[YOURNAME]") -> Column:
-    """An appeal letter round a completed sentence."""
-    return F.concat(F.lit(opening), reason, F.lit(closing))
+def wrap_letter(completions: DataFrame, template: str, path: Column, reason: str = "answer") -> DataFrame:
+    """(path, text): letters round completed sentences; ``{reason}`` is the completion, null ones give no letter."""
+    return completions.filter(F.col(reason).isNotNull()).select(path.alias("path"), fill_template(template, reason=F.col(reason)).alias("text"))
 
 
 def validate_jobs(df: DataFrame, job: str = "job") -> DataFrame:
@@ -181,6 +167,7 @@ def validate_jobs(df: DataFrame, job: str = "job") -> DataFrame:
     asked = F.try_variant_get(parsed, "$.input", "variant")
     prompt = F.try_variant_get(parsed, "$.input.prompt", "variant")
     text = F.when(F.schema_of_variant(prompt) == "STRING", F.try_variant_get(parsed, "$.input.prompt", "string"))
+    # The error texts.
     error = (F.when(asked.isNull(), F.concat(F.lit("No input in "), F.col(job)))
              .when(prompt.isNull(), F.concat(F.lit("No prompt in "), F.col(job)))
              .when(F.coalesce(text, F.lit("")) == "", F.lit("Prompt must not be none")))

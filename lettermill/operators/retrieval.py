@@ -12,30 +12,32 @@ CELL_ROWS = 20_000
 
 def topk(queries: DataFrame, vectors: DataFrame, k: int, cell_rows: int = CELL_ROWS,
          query_id: str = "query_id", vector_id: str = "vec_id", embedding: str = "embedding",
-         digits: int = 6) -> DataFrame:
+         digits: int = 6, exclude_self: bool = False) -> DataFrame:
     """(query_id, vec_id, similarity, rank): the ``k`` most cosine-similar vectors of each query.
 
-    Exact. Similarity is rounded to ``digits`` before ranking; ties go to the smaller vector id. A query
-    never meets a vector of its own id when both tables are the same one under the same id name.
+    Exact. Similarity is rounded to ``digits`` before ranking; ties go to the smaller vector id. With
+    ``exclude_self`` a query is not answered by the vector of its own id. A vector that is null or zero has no
+    similarity and is left out, on either side.
 
     Both sides are dealt by the hash of their id into bands of about ``cell_rows`` rows, and every band
     of queries meets every band of vectors in one cell: one matrix product of bounded size per task.
     Neither side is broadcast, and a cell passes on only its ``k`` best per query. The counts that set
-    the number of bands are the actions here.
+    the number of bands are the actions here; the answer does not depend on them.
     """
     n_rows = max(1, -(-queries.count() // cell_rows))
     n_cols = max(1, -(-vectors.count() // cell_rows))
 
     def band(df: DataFrame, own: str, n_own: int, other: str, n_other: int, id_name: str) -> DataFrame:
-        return (df.select(F.col(id_name).alias("id"), F.col(embedding).cast("array<double>").alias("v"))
-                .withColumn(own, F.pmod(F.xxhash64("id"), F.lit(n_own)))
-                .withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(n_other - 1))).cast("bigint")))
+        sound = df.select(F.col(id_name).alias("id"), F.col(embedding).cast("array<double>").alias("v")).filter(
+            F.col("v").isNotNull() & F.exists("v", lambda x: x != 0))
+        return (sound.withColumn(own, F.pmod(F.xxhash64("id"), F.lit(n_own)))
+                .withColumn(other, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_other - 1).cast("bigint")))))
 
     left = band(queries, "_row", n_rows, "_col", n_cols, query_id)
     right = band(vectors, "_col", n_cols, "_row", n_rows, vector_id)
 
     def cell(query_rows: pd.DataFrame, vector_rows: pd.DataFrame) -> pd.DataFrame:
-        return best_in_cell(query_rows, vector_rows, k, digits)
+        return best_in_cell(query_rows, vector_rows, k, digits, exclude_self)
 
     id_type = queries.schema[query_id].dataType.simpleString()
     vec_type = vectors.schema[vector_id].dataType.simpleString()
@@ -46,7 +48,7 @@ def topk(queries: DataFrame, vectors: DataFrame, k: int, cell_rows: int = CELL_R
             .filter(F.col("rank") <= k))
 
 
-def best_in_cell(query_rows: pd.DataFrame, vector_rows: pd.DataFrame, k: int, digits: int) -> pd.DataFrame:
+def best_in_cell(query_rows: pd.DataFrame, vector_rows: pd.DataFrame, k: int, digits: int, exclude_self: bool) -> pd.DataFrame:
     """The ``k`` best vectors per query inside one cell, with exact tie-breaks."""
     columns = ["query_id", "vec_id", "similarity"]
     if query_rows.empty or vector_rows.empty:
@@ -61,7 +63,8 @@ def best_in_cell(query_rows: pd.DataFrame, vector_rows: pd.DataFrame, k: int, di
         asked = asked / np.linalg.norm(asked, axis=1, keepdims=True)
         similarity = np.round(asked @ vectors.T, digits) + 0.0
         asked_ids = batch["id"].to_numpy()
-        similarity[asked_ids[:, None] == ids[None, :]] = -np.inf
+        if exclude_self:
+            similarity[asked_ids[:, None] == ids[None, :]] = -np.inf
         if similarity.shape[1] > k:
             # All columns that reach the k-th value, so that ties are settled by id below.
             kth = np.partition(similarity, similarity.shape[1] - k, axis=1)[:, -k][:, None]

@@ -11,17 +11,13 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lettermill.operators.contain import contained
 from lettermill.operators.extract import producer_bias
 from lettermill.operators.urls import url_score
 from lettermill.rules import (
     CONTAINED_BONUS, DEFAULT_MIN_LENGTH, MIN_LENGTHS, NULL_SCORE, SCORE_KEYS,
 )
 
-# A (case, type) with more distinct options than this is matched through an index of text pieces.
-DIRECT_OPTIONS = 64
-ANCHOR_CHARS = 12
-
-
 def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The first row of each group; ``order`` must be total within a group."""
     window = Window.partitionBy(*keys).orderBy(*order)
@@ -114,17 +110,14 @@ def case_wide(best: DataFrame, types: Sequence[str]) -> DataFrame:
     return best.groupBy("case_id").agg(*columns)
 
 
-def best_per_rejection(scored: DataFrame, types: Sequence[str] = ("treatment",),
-                       direct_options: int = DIRECT_OPTIONS, mega_cases: bool | None = None) -> DataFrame:
+def best_per_rejection(scored: DataFrame, types: Sequence[str] = ("treatment",)) -> DataFrame:
     """Per rejection and type: the best option of the case when options found in the rejection gain a bonus.
 
     Returns ``rejection_path``, ``case_id``, ``letter_type``, ``option_path``, ``option_text``, ``score``.
 
     Not all pairs of a case are formed. Without the bonus the winner is the same for the whole case: one
-    row. With it only distinct texts count, and only those within the bonus of that winner can overtake
-    it. Where few of these are left, each rejection is checked against them; a case with more than
-    ``direct_options`` finds the contained ones through an index instead (``_contained_by_index``).
-    ``mega_cases=None`` looks whether there is such a case (one aggregation over the options).
+    row. With it only distinct texts count, and only those within the bonus of that winner can overtake it;
+    which of these a rejection holds is found through their words (``contain.contained``).
     """
     options = (scored.filter(F.col("letter_type").isin(*types) & F.col("text").isNotNull())
                .select("case_id", "letter_type", F.col("path").alias("option_path"),
@@ -133,66 +126,21 @@ def best_per_rejection(scored: DataFrame, types: Sequence[str] = ("treatment",),
     group = ["case_id", "letter_type"]
     distinct = first_by(options, [*group, "_needle"], ranking)
     leader = first_by(distinct, group, ranking)
-    bounds = distinct.groupBy(*group).agg(F.max("base_score").alias("_lead"), F.count("*").alias("_n"))
-    rivals = distinct.join(bounds, group).filter(F.col("base_score") + CONTAINED_BONUS >= F.col("_lead"))
+    bounds = distinct.groupBy(*group).agg(F.max("base_score").alias("_lead"))
+    rivals = distinct.join(bounds, group).filter(F.col("base_score") + CONTAINED_BONUS >= F.col("_lead")).drop("_lead")
     rejections = (scored.filter("letter_type = 'rejection'")
-                  .select("case_id", F.col("path").alias("rejection_path"), F.col("text").alias("_rejection")))
-
-    small = rivals.filter(F.col("_n") <= direct_options).drop("_n", "_lead")
-    found = (rejections.join(small, "case_id")
-             .filter(F.contains(F.lower("_rejection"), F.col("_needle"))).drop("_rejection", "_needle"))
-    if mega_cases is None:
-        mega_cases = not bounds.filter(F.col("_n") > direct_options).isEmpty()
-    if mega_cases:
-        large = rivals.filter(F.col("_n") > direct_options).drop("_n", "_lead")
-        found = found.unionByName(_contained_by_index(rejections, large))
+                  .select("case_id", F.col("path").alias("rejection_path"), F.lower("text").alias("_rejection")))
+    pairs = contained(rejections, ["rejection_path"], "_rejection", rivals, ["letter_type", "option_path"], "_needle", "case_id")
 
     plain = (rejections.select("case_id", "rejection_path").join(leader.drop("_needle"), "case_id")
              .withColumn("score", F.col("base_score")))
-    contained = found.withColumn("score", F.col("base_score") + F.lit(float(CONTAINED_BONUS)))
+    bonus = (pairs.join(rivals.drop("_needle"), ["case_id", "letter_type", "option_path"])
+             .withColumn("score", F.col("base_score") + F.lit(float(CONTAINED_BONUS))))
     # Grouped by the rejection alone: a path names one case, and a hot case then spreads over all tasks.
-    return first_by(plain.unionByName(contained).drop("base_score"), ["rejection_path", "letter_type"],
+    return first_by(plain.unionByName(bonus).drop("base_score"), ["rejection_path", "letter_type"],
                     [F.desc("score"), F.col("option_path")])
 
 
-def _pieces(text: Column, size: Column | int) -> Column:
-    """The distinct substrings of ``size`` characters, read off by a zero-width look-ahead."""
-    width = F.lit(size) if isinstance(size, int) else size
-    pattern = F.concat(F.lit("(?s)(?=(.{"), width.cast("string"), F.lit("}))"))
-    return F.array_distinct(F.regexp_extract_all(text, pattern, F.lit(1)))
-
-
-def _contained_by_index(rejections: DataFrame, options: DataFrame) -> DataFrame:
-    """Exact (rejection, option) pairs where the option's text occurs in the rejection of its case.
-
-    An option of at least ``ANCHOR_CHARS`` characters is filed under one piece of that size, the one
-    fewest options of its group share; a shorter one under its whole text. Rejections of these cases
-    look up their own pieces, and a hit is then checked on the texts. The empty text is in all.
-    """
-    group = ["case_id", "letter_type"]
-    chars = F.length("_needle")
-    long_options = options.filter(chars >= ANCHOR_CHARS)
-    pieces = long_options.select(*group, "option_path", F.explode(_pieces(F.col("_needle"), ANCHOR_CHARS)).alias("_piece"))
-    shared = pieces.groupBy(*group, "_piece").agg(F.count("*").alias("_shared"))
-    anchors = (pieces.join(shared, [*group, "_piece"])
-               .groupBy(*group, "option_path").agg(F.min(F.struct("_shared", "_piece"))["_piece"].alias("_piece")))
-    short_options = options.filter((chars > 0) & (chars < ANCHOR_CHARS))
-    anchors = anchors.unionByName(short_options.select(*group, "option_path", F.col("_needle").alias("_piece")))
-
-    # At most ANCHOR_CHARS sizes per case.
-    sizes = anchors.groupBy("case_id").agg(F.collect_set(F.length("_piece")).alias("_sizes"))
-    lookups = (rejections.join(sizes, "case_id")
-               .select("case_id", "rejection_path", F.lower("_rejection").alias("_text"), F.explode("_sizes").alias("_size"))
-               .select("case_id", "rejection_path", F.explode(_pieces(F.col("_text"), F.col("_size"))).alias("_piece")))
-    hits = lookups.join(anchors, ["case_id", "_piece"]).select("rejection_path", "option_path").distinct()
-    checked = (hits.join(options, "option_path")
-               .join(rejections.select("rejection_path", "_rejection"), "rejection_path")
-               .filter(F.contains(F.lower("_rejection"), F.col("_needle"))).drop("_rejection", "_needle"))
-    empty = options.filter("_needle = ''").drop("_needle")
-    always = rejections.select("case_id", "rejection_path").join(empty, "case_id")
-    return checked.unionByName(always)
-
-
 def first_good(attempts: DataFrame, prompt_keys: Sequence[str], max_attempts: int = 3,
                attempt: str = "attempt", answer: str = "answer", good: Column | None = None) -> DataFrame:
     """Per prompt the first answer, of its first ``max_attempts``, that is not empty and is good; else an error.
@@ -207,4 +155,5 @@ def first_good(attempts: DataFrame, prompt_keys: Sequence[str], max_attempts: in
     answered = F.min(F.when(usable, F.struct(F.col("_nth"), F.col(answer).alias("answer"))))
     return (tried.groupBy(*prompt_keys).agg(F.min_by("prompt", "_nth").alias("prompt"), answered.alias("_won"))
             .select(*prompt_keys, F.col("_won.answer").alias("result"),
+                    # Fixed value: the error text.
                     F.when(F.col("_won").isNull(), F.concat(F.lit("Could not generate for "), F.col("prompt"))).alias("error")))

@@ -51,13 +51,13 @@ def url_candidates(url: Column) -> Column:
 
 
 def url_ok(urls: DataFrame, status: DataFrame) -> DataFrame:
-    """(url, ok) for the distinct links of ``urls``: ok if the link, or a shortened form, is ok.
+    """(url, ok) for the distinct links of ``urls``: ok if the link, or a shortened form, is ok. Letter case is ignored.
 
     Links are made distinct before the join, with map-side partial aggregation, so the join sees each
     link once however often it occurs.
     """
-    good = status.filter(F.col("ok").cast("boolean")).select(F.col("url").alias("candidate")).distinct()
-    forms = urls.select("url").distinct().select("url", F.explode(url_candidates(F.col("url"))).alias("candidate"))
+    good = status.filter(F.col("ok").cast("boolean")).select(F.lower("url").alias("candidate")).distinct()
+    forms = urls.select("url").distinct().select("url", F.explode(url_candidates(F.lower("url"))).alias("candidate"))
     return (forms.join(good.withColumn("_ok", F.lit(True)), "candidate", "left")
             .groupBy("url").agg(F.coalesce(F.bool_or("_ok"), F.lit(False)).alias("ok")))
 

@@ -11,7 +11,7 @@ from lettermill.functions.jsonish import tolerant_json
 from lettermill.functions.text import parse_record
 from lettermill.operators.extract import decode_name
 from lettermill.operators.gate import gate
-from lettermill.operators.records import case_records
+from lettermill.operators.records import RecordSet, case_records
 from lettermill.operators.select import score_letters
 from lettermill.rules import LETTER_TYPES, RewriteSet, rewrite_by_type
 
@@ -36,17 +36,15 @@ def scored_letters(raw: DataFrame, phrases: Mapping[str, Sequence[str]], rewrite
     return score_letters(clean_letters(raw, phrases, rewrites), status, **scoring)
 
 
-def curate(raw: DataFrame, phrases: Mapping[str, Sequence[str]], rewrites: RewriteSet,
-           status: DataFrame | None = None, stage: str | None = None, **scoring) -> DataFrame:
+def curate(raw: DataFrame, phrases: Mapping[str, Sequence[str]], rewrites: RewriteSet, records: RecordSet,
+           stage: str, status: DataFrame | None = None, **scoring) -> DataFrame:
     """Raw letters to records.
 
-    The scored letters are read by several branches. With ``stage``, a path in shared storage, they are
-    written there once, laid out by type, and each branch scans only the types it needs; the records
-    then survive the loss of any executor without cleaning a letter again. Without it each branch cleans
-    the letters of its own types.
+    The cleaned letters are read by several branches, so they are written once under ``stage``, a path in
+    shared storage, laid out by type: each branch scans only the types it needs, and the loss of an
+    executor never cleans a letter again.
     """
-    scored = scored_letters(raw, phrases, rewrites, status, **scoring)
-    if stage is not None:
-        scored.write.mode("error").partitionBy("letter_type").parquet(stage)
-        scored = raw.sparkSession.read.schema(scored.schema).parquet(stage)
-    return case_records(scored)
+    cleaned = clean_letters(raw, phrases, rewrites)
+    cleaned.write.mode("error").partitionBy("letter_type").parquet(stage)
+    staged = raw.sparkSession.read.schema(cleaned.schema).parquet(stage)
+    return case_records(score_letters(staged, status, **scoring), records)

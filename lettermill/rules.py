@@ -51,10 +51,6 @@ DECISION_COLUMNS = (
     "DiagnosisSubCategory", "Type", "Findings", "ReferenceID",
 )
 JSON_REQUIRED_KEYS = ("condition", "approval_reason")
-# (pattern, replacement) passes over JSON-like text: bare keys, bare values, absent colons.
-JSON_KEY_PASS = (r"([{,])\s*([a-zA-Z_]\w*)\s*:", r' $1"$2":')
-JSON_VALUE_PASS = (r'(?<=[{,])\s*([a-zA-Z_]\w*)\s*:\s*([^,"}\]]+|null)', r' "$1": $2')
-JSON_COLON_PASS = (r'([{,])\s*([a-zA-Z_]\w*)\s+([^",}\]]+)', r' $1"$2": $3')
 # --- End of fixed values. ---------------------------------------------------------------------
 
 
@@ -83,10 +79,12 @@ class RewriteRule:
         return re.sub(r"\\(\d)", r"$\1", self.replacement.replace("$", "\\$"))
 
     def may_match(self, text: Column, lowered: Column) -> Column:
-        """True for every text the rule matches; a plain byte search where the rule allows it."""
+        """True for every text the rule matches; for ASCII text and pattern a plain byte search."""
+        tried = text.rlike(self.java_pattern())
         if not self.is_regex and self.pattern.isascii():
-            return F.contains(lowered, F.lit(self.pattern.lower()))
-        return text.rlike(self.java_pattern())
+            # Other letters may fold to ASCII ones in the pattern but not in lower(): there the pattern is tried.
+            return F.contains(lowered, F.lit(self.pattern.lower())) | ((F.octet_length(text) != F.length(text)) & tried)
+        return tried
 
     def apply(self, text: Column) -> Column:
         return F.regexp_replace(text, F.lit(self.java_pattern()), F.lit(self.java_replacement()))
@@ -119,12 +117,13 @@ def check_rewrites(rules: Sequence[RewriteRule]) -> None:
             raise ValueError(f"rewrite rule never settles: {rule.pattern!r} -> {rule.replacement!r}")
 
 
-def rewrite(text: Column, rules: Sequence[RewriteRule], max_passes: int = 16) -> Column:
+def rewrite(text: Column, rules: Sequence[RewriteRule], first_passes: int = 8) -> Column:
     """Apply ``rules`` in order, again and again until the text stops changing.
 
-    One pass is the chain of literal replacements, so every pattern is compiled once per task. A text
-    that no rule can match is left alone without running the chain: literal rules are looked up in the
-    lowercased bytes. The passes are a fold that stops working as soon as the text has settled.
+    One pass is the chain of replacements, so every pattern is compiled once per task; a text that no rule can
+    match is left alone. After ``first_passes`` the few texts still changing get as many passes as they have
+    characters, more than any rules that shrink a text need. Rules under which a text is then still not
+    settled (they feed one another) are an error, not a silent end.
     """
     if not rules:
         return text
@@ -153,26 +152,25 @@ def rewrite(text: Column, rules: Sequence[RewriteRule], max_passes: int = 16) ->
         return F.when(state["settled"] | ~needs_pass(before),
                       F.struct(before.alias("text"), F.lit(True).alias("settled"))).otherwise(after)
 
+    def finish(state: Column) -> Column:
+        """``state`` if it is settled, else what more passes make of it."""
+        more = F.aggregate(F.sequence(F.lit(0), F.length(state["text"]) + 1), state, step)
+        last = F.transform(F.array(more), lambda s: F.when(s["settled"], s["text"]).otherwise(
+            F.raise_error(F.lit("rewrite rules do not settle"))))[0]
+        return F.when(state["settled"], state["text"]).otherwise(last)
+
     start = F.struct(text.alias("text"), F.lit(False).alias("settled"))
-    folded = F.aggregate(F.sequence(F.lit(1), F.lit(max_passes)), start, step)["text"]
+    folded = F.aggregate(F.sequence(F.lit(1), F.lit(first_passes)), start, step, finish)
     return F.when(text.isNotNull(), folded)
 
 
-def is_settled(text: Column, rules: Sequence[RewriteRule]) -> Column:
-    """True where one more pass of ``rules`` would not change ``text``."""
-    value = text
-    for rule in rules:
-        value = rule.apply(value)
-    return value.eqNullSafe(text)
-
-
-def rewrite_by_type(text: Column, letter_type: Column, rules: RewriteSet, max_passes: int = 16) -> Column:
+def rewrite_by_type(text: Column, letter_type: Column, rules: RewriteSet) -> Column:
     """General rules, then those of the letter's own type."""
     result = None
     for name in rules.types():
-        own = rewrite(text, rules.for_type(name), max_passes)
+        own = rewrite(text, rules.for_type(name))
         result = F.when(letter_type == name, own) if result is None else result.when(letter_type == name, own)
-    general = rewrite(text, rules.for_type(None), max_passes)
+    general = rewrite(text, rules.for_type(None))
     return general if result is None else result.otherwise(general)
 
 

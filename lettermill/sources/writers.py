@@ -22,29 +22,52 @@ def write_sft(records: DataFrame, path: str, small: bool = False) -> None:
 
 
 def write_qa(qa: DataFrame, path: str) -> None:
-    qa.write.mode("error").option("header", True).option("escape", '"').csv(path)
+    """Questions and answers as CSV, white space at their ends kept."""
+    (qa.write.mode("error").option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def read_responses(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RESPONSE_SCHEMA).parquet(path)
 
 
-def append_responses(responses: DataFrame, path: str, phrases: Mapping[str, Sequence[str]],
-                     store: DataFrame | None = None) -> None:
-    """Append the good responses whose key has no good stored one; files are laid out by kind.
+def _laid_out(df: DataFrame, layout: str, per_value: int) -> DataFrame:
+    """Rows of one layout value in at most ``per_value`` tasks, so that a write makes no more files than that."""
+    spread = F.pmod(F.xxhash64(*df.columns), F.lit(per_value))
+    return df.repartition(F.col(layout), spread)
 
-    Bad responses are not stored and so stay pending. ``store`` is what the path holds already.
+
+def _stored(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
+    """What a store holds; null if there is none yet."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+        return None
+    return spark.read.schema(schema).parquet(path)
+
+
+def append_responses(responses: DataFrame, path: str, phrases: Mapping[str, Sequence[str]], per_kind: int = 8) -> None:
+    """Append the good responses whose key has no good stored one, once per key; files are laid out by kind.
+
+    Bad responses are not stored and so stay pending. Of good responses with one key in a batch the first in
+    text order is stored.
     """
     fresh = gate(responses, phrases, "response", "kind")
+    store = _stored(responses.sparkSession, path, RESPONSE_SCHEMA)
     if store is not None:
         fresh = pending(fresh, store, phrases)
-    fresh.select(*REQUEST_KEY, "response").write.mode("append").partitionBy("kind").parquet(path)
+    once = fresh.groupBy(*REQUEST_KEY).agg(F.min("response").alias("response"))
+    _laid_out(once, "kind", per_kind).write.mode("append").partitionBy("kind").parquet(path)
+
+
+KNOWN_SCHEMA = "index string, value string, kind string"
 
 
-def append_known(known: DataFrame, path: str, store: DataFrame | None = None) -> None:
+def append_known(known: DataFrame, path: str, per_kind: int = 8) -> None:
     """Append extracted facts (index, kind, value), once per key."""
+    store = _stored(known.sparkSession, path, KNOWN_SCHEMA)
     fresh = known if store is None else known.join(store, ["index", "kind"], "left_anti")
-    fresh.write.mode("append").partitionBy("kind").parquet(path)
+    once = fresh.groupBy("index", "kind").agg(F.min("value").alias("value"))
+    _laid_out(once, "kind", per_kind).write.mode("append").partitionBy("kind").parquet(path)
 
 
 def write_letters(letters: DataFrame, path: str) -> None:
@@ -52,6 +75,7 @@ def write_letters(letters: DataFrame, path: str) -> None:
     letters.write.mode("error").partitionBy("letter_type").parquet(path)
 
 
-def write_chunks(chunks: DataFrame, path: str, key: str, buckets: int = 16) -> None:
-    """Chunks (with or without vectors) laid out by a hash bucket of the key."""
-    chunks.withColumn("bucket", F.pmod(key_hash(F.col(key), 0), F.lit(buckets))).write.mode("error").partitionBy("bucket").parquet(path)
+def write_chunks(chunks: DataFrame, path: str, key: str, buckets: int) -> None:
+    """Chunks (with or without vectors) laid out by a hash bucket of the key, one file per bucket."""
+    bucketed = chunks.withColumn("bucket", F.pmod(key_hash(F.col(key), 0), F.lit(buckets)))
+    bucketed.repartition("bucket").write.mode("error").partitionBy("bucket").parquet(path)
