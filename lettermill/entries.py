@@ -12,7 +12,7 @@ from lettermill import fixtures as fx
 from lettermill.fixtures import view, with_views
 from lettermill.functions import jsonish, text as T
 from lettermill.operators import extract, gate, prep, records, requests, retrieval, select, urls
-from lettermill.plans.curation import clean_letters, curate
+from lettermill.plans.curation import clean_letters, curate, scored_letters, staged
 from lettermill.rules import LETTER_TYPES, PROMPT_ORDER
 from lettermill.sources import readers, writers
 from lettermill.sources.scratch import fresh_dir
@@ -646,7 +646,7 @@ _LINKED = f"{_URLS.format(text='lower(text)', source='(SELECT NULL AS doc_id, pa
 
 @entry("g6_url_score", f"WITH {_CLEANED}, {_LINKED} SELECT path, url_score FROM linked", "fx_letters", "fx_url_status")
 def _(spark, d):
-    cleaned = clean_letters(view(spark, d, "fx_letters"), fx.PHRASES, fx.REWRITES)
+    cleaned = staged(clean_letters(view(spark, d, "fx_letters"), fx.PHRASES, fx.REWRITES), fresh_dir(spark, "letters"))
     return urls.url_score(cleaned, view(spark, d, "fx_url_status"), ["path"])
 
 
@@ -659,8 +659,7 @@ _SCORED = f"""{_CLEANED}, {_LINKED}, scored AS (SELECT cleaned.*, CASE WHEN text
 
 
 def _scored(spark, d):
-    cleaned = clean_letters(view(spark, d, "fx_letters"), fx.PHRASES, fx.REWRITES)
-    return select.score_letters(cleaned, view(spark, d, "fx_url_status"))
+    return scored_letters(view(spark, d, "fx_letters"), fx.PHRASES, fx.REWRITES, fresh_dir(spark, "letters"), view(spark, d, "fx_url_status"))
 
 
 @entry("g2_choose_best", f"WITH {_SCORED} SELECT case_id, letter_type, path, round(score, 6) AS score FROM best", "fx_letters", "fx_url_status")

@@ -31,20 +31,25 @@ def clean_letters(raw: DataFrame, phrases: Mapping[str, Sequence[str]], rewrites
     return gated.select("path", "case_id", "producer", "letter_type", text.alias("text"))
 
 
-def scored_letters(raw: DataFrame, phrases: Mapping[str, Sequence[str]], rewrites: RewriteSet,
+def staged(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written once under a path in shared storage, laid out by letter type, and read from there.
+
+    Whoever reads one type scans no other, and nothing before it is worked out again, also not when an
+    executor is lost.
+    """
+    df.write.mode("error").partitionBy("letter_type").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def scored_letters(raw: DataFrame, phrases: Mapping[str, Sequence[str]], rewrites: RewriteSet, stage: str,
                    status: DataFrame | None = None, **scoring) -> DataFrame:
-    return score_letters(clean_letters(raw, phrases, rewrites), status, **scoring)
+    """Cleaned letters with ``base_score``. Scoring reads the letters several times, and so do the choices made by
+    score, so both are staged under ``stage``."""
+    cleaned = staged(clean_letters(raw, phrases, rewrites), f"{stage}/cleaned")
+    return staged(score_letters(cleaned, status, **scoring), f"{stage}/scored")
 
 
 def curate(raw: DataFrame, phrases: Mapping[str, Sequence[str]], rewrites: RewriteSet, records: RecordSet,
            stage: str, status: DataFrame | None = None, **scoring) -> DataFrame:
-    """Raw letters to records.
-
-    The cleaned letters are read by several branches, so they are written once under ``stage``, a path in
-    shared storage, laid out by type: each branch scans only the types it needs, and the loss of an
-    executor never cleans a letter again.
-    """
-    cleaned = clean_letters(raw, phrases, rewrites)
-    cleaned.write.mode("error").partitionBy("letter_type").parquet(stage)
-    staged = raw.sparkSession.read.schema(cleaned.schema).parquet(stage)
-    return case_records(score_letters(staged, status, **scoring), records)
+    """Raw letters to records; ``stage`` is a path in shared storage."""
+    return case_records(scored_letters(raw, phrases, rewrites, stage, status, **scoring), records)
