@@ -150,13 +150,13 @@ class Scanner:
 
 def scan_licences(documents: DataFrame, text: str = "text", notices: Sequence[Notice] = NOTICES,
                   phrases: Sequence[tuple[str, str]] = BASE_PHRASES) -> DataFrame:
-    """``documents`` with ``scan``: word count, exact phrase places, fuzzy spans (words from 0) and a score.
+    """``documents`` with ``scan`` (in place of the text and of a column of that name): word count, exact phrase places, fuzzy spans (words from 0) and a score.
 
     The score is 1 where a phrase stands exactly, else it falls with the errors per word of the best fuzzy
     match, 0 where there is none. Null and empty texts have no words and score 0. Whole texts are
     searched, whatever their length. Narrow work: one pass, no shuffle.
     """
-    kept = [c for c in documents.columns if c != text]
+    kept = [c for c in documents.columns if c not in (text, "scan")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(notices, phrases)

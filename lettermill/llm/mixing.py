@@ -109,15 +109,18 @@ def mix(documents: DataFrame, members: Column, size: Column, key: Column, seed:
 
     ``members`` is the array of sources a document belongs to (an element may be null). Adds ``size``,
     ``parts`` (array of source, taken) and ``taken`` (their sum, repeats counted, at most ``copies`` times the
-    size). Documents of a pattern stand in an order drawn by seed and ``key`` (null keys first); the pattern
+    size); columns of these names are replaced. Documents of a pattern stand in an order drawn by seed and ``key`` (null keys first); the pattern
     gives its routed tokens from the front of that order, whole rounds first, so only one document per
     pattern and source is cut. Equal keys are ordered by size. Source and pattern rows pass through the
     driver; more than ``max_patterns`` of them is an error.
 
     A pattern, however hot, is dealt into 4,096 ranges of the order; sums per range tell where each begins.
     """
+    documents = documents.select("*", members.alias("_given"), size.alias("_words"), key.alias("_key")).drop("size", "parts", "taken")
+    kept = [c for c in documents.columns if c not in ("_given", "_words", "_key")]
+    key = F.col("_key")
     order = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit(""))))
-    sized = (documents.withColumns({"_members": F.array_sort(F.array_distinct(members)), "size": size, "_order": order, "_key": key})
+    sized = (documents.withColumns({"_members": F.array_sort(F.array_distinct("_given")), "size": F.col("_words"), "_order": order})
              .withColumn("_range", F.substring("_order", 1, BUCKET_DIGITS)))
     rows = sized.groupBy("_members").agg(F.sum("size").alias("n")).limit(max_patterns + 1).collect()
     if len(rows) > max_patterns:
@@ -161,7 +164,7 @@ def mix(documents: DataFrame, members: Column, size: Column, key: Column, seed:
 
     parts = joined.withColumn("parts", F.transform("_routes", given))
     taken = F.aggregate("parts", F.lit(0).cast("bigint"), lambda total, p: total + p["taken"])
-    return parts.select(*documents.columns, "size", "parts", taken.alias("taken")), sizes, wanted
+    return parts.select(*kept, "size", "parts", taken.alias("taken")), sizes, wanted
 
 
 def mix_documents(documents: DataFrame, seed: int = 7) -> DataFrame:

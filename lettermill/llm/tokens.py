@@ -40,7 +40,7 @@ def byte_pair_counter(path: str = TOKENIZER_FILE) -> Callable[[], Callable[[str]
 
 def count_tokens(documents: DataFrame, counter: Callable[[], Callable[[str], int]], text: str = "text") -> DataFrame:
     """``documents`` with ``n_tokens`` in place of the text; null and empty texts have 0."""
-    kept = [c for c in documents.columns if c != text]
+    kept = [c for c in documents.columns if c not in (text, "n_tokens")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = counter()

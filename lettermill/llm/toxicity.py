@@ -324,22 +324,25 @@ def fit(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS,
     return Model(terms, exempt, fit_logistic(x, y))
 
 
-def score_texts(documents: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """``documents`` with ``score`` from 0 to 1; null and empty texts get that of a text without hits."""
+def score_texts(documents: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:
+    """``documents`` with ``out`` from 0 to 1, in place of a column of that name; null and empty texts get the score
+    of a text without hits."""
+    documents = documents.drop(out)
     names, at = documents.columns, documents.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = model.scorer()
         for batch in batches:
             scores = pa.array([score(t.as_py()) for t in batch.column(at)], pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, scores], [*names, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, scores], [*names, out])
 
-    return documents.mapInArrow(run, documents.withColumn("score", F.lit(0.0)).schema)
+    return documents.mapInArrow(run, documents.withColumn(out, F.lit(0.0)).schema)
 
 
 def drop_toxic(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents scored under 0.5; the columns stay."""
-    return score_texts(documents, fit(documents, labels)).filter("score < 0.5").select(*documents.columns)
+    scored = score_texts(documents, fit(documents, labels), out="_toxicity")
+    return scored.filter("_toxicity < 0.5").select(*documents.columns)
 
 
 def op10_toxicity(spark, sf_dir: str) -> DataFrame:
