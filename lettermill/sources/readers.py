@@ -52,7 +52,7 @@ def read_letters(spark: SparkSession, path: str, format: str = "text", suffix: s
     """
     if format == "parquet":
         return spark.read.parquet(path).select("path", "raw_text")
-    return (spark.read.option("wholetext", True).option("pathGlobFilter", suffix).text(path)
+    return (spark.read.option("pathGlobFilter", suffix).text(path, wholetext=True)
             .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("raw_text")))
 
 
@@ -71,7 +71,7 @@ def read_phrases(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
 
 def read_templates(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
     """(name, template): one text file each, taken whole."""
-    parts = [spark.read.option("wholetext", True).text(path).select(F.lit(name).alias("name"), F.col("value").alias("template"))
+    parts = [spark.read.text(path, wholetext=True).select(F.lit(name).alias("name"), F.col("value").alias("template"))
              for name, path in paths.items()]
     return reduce(DataFrame.unionByName, parts)
 
