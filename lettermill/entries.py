@@ -13,7 +13,7 @@ from lettermill.fixtures import view, with_views
 from lettermill.functions import jsonish, text as T
 from lettermill.operators import extract, gate, prep, records, requests, retrieval, select, urls
 from lettermill.plans.curation import clean_letters, curate, scored_letters, staged
-from lettermill.rules import LETTER_TYPES, PROMPT_ORDER
+from lettermill.rules import LETTER_TYPES, PROMPT_ORDER, URL_STRICT
 from lettermill.sources import readers, writers
 from lettermill.sources.scratch import fresh_dir
 
@@ -333,14 +333,11 @@ def _(spark, d):
     return _letters(spark, d).select("path", extract.producer_bias(F.col("producer")).alias("bias"))
 
 
-_STRICT = r"https?://(?:www\.)?[-a-zA-Z0-9@:%._+~#=]{1,256}\.[a-zA-Z0-9()]{1,6}\b[-a-zA-Z0-9@:%_+.~#?&/=]*"
-
-
 @entry("c6_extract_urls", rf"""
   SELECT doc_id, mode, unnest(found) AS url FROM (
     SELECT doc_id, 'score' AS mode, regexp_extract_all(lower(raw_text), 'https?://\S+') AS found FROM fx_letters
     UNION ALL SELECT doc_id, 'loose', regexp_extract_all(raw_text, 'https?://\S+') FROM fx_letters
-    UNION ALL SELECT doc_id, 'strict', regexp_extract_all(raw_text, '{_STRICT}') FROM fx_letters)""", "fx_letters")
+    UNION ALL SELECT doc_id, 'strict', regexp_extract_all(raw_text, '{URL_STRICT}') FROM fx_letters)""", "fx_letters")
 def _(spark, d):
     letters, out = view(spark, d, "fx_letters"), None
     for mode in ("score", "loose", "strict"):
