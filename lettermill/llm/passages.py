@@ -25,11 +25,11 @@ from pyspark.sql import functions as F
 from lettermill.llm.common import table
 
 WINDOW = 20
-GRAM = 8
+GRAM = 12
 SHARD_BYTES = 8 << 20
 PIECE = 1 << 20
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-_SECOND = np.uint64(0xC2B2AE3D27D4EB4F)
+_FIRST, _SECOND = 0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -86,34 +86,97 @@ def gram_hashes(words: np.ndarray, n: int, base: np.uint64 = _ODD) -> np.ndarray
     return _mix(out)
 
 
+def _running(of, values: np.ndarray, width: int) -> np.ndarray:
+    """``of`` (minimum or maximum) over every ``width`` consecutive values, by doubling the stretch."""
+    have = 1
+    while have < width:
+        step = min(have, width - have)
+        values = of(values[:-step], values[step:])
+        have += step
+    return values
+
+
 def kept_places(grams: np.ndarray, width: int) -> np.ndarray:
     """Places whose hash is the smallest of any ``width`` consecutive ones; of equal ones, all."""
     if len(grams) < width:
         return np.empty(0, np.int64)
-    least = np.lib.stride_tricks.sliding_window_view(grams, width).min(axis=1)
-    padded = np.concatenate([np.zeros(width - 1, np.uint64), least, np.zeros(width - 1, np.uint64)])
-    most = np.lib.stride_tricks.sliding_window_view(padded, width).max(axis=1)
-    return np.flatnonzero(grams == most)
+    rim = np.zeros(width - 1, np.uint64)
+    least = np.concatenate([rim, _running(np.minimum, grams, width), rim])
+    return np.flatnonzero(grams == _running(np.maximum, least, width))
+
+
+class _WindowHashes:
+    """Hashes of any windows of a text, from running sums: the cost is that of the text, not of the windows."""
+
+    def __init__(self, base: int) -> None:
+        self.base, self.powers, self.inverse = base, _powers(base, 1 << 12), _powers(pow(base, -1, 1 << 64), 1 << 12)
+
+    def at(self, words: np.ndarray, starts: np.ndarray, n: int) -> np.ndarray:
+        while len(self.powers) < len(words):
+            self.powers = _powers(self.base, 4 * len(self.powers))
+            self.inverse = _powers(pow(self.base, -1, 1 << 64), len(self.powers))
+        sums = np.concatenate([[np.uint64(0)], np.cumsum(words * self.powers[:len(words)])])
+        return _mix((sums[starts + n] - sums[starts]) * self.inverse[starts])
+
+
+def packed(df: DataFrame) -> DataFrame:
+    """``df`` with ``text`` compressed, for a shuffle of whole texts; null stays null."""
+    names, at = df.columns, df.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        pack = zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            texts = pa.array([None if t is None else pack.compress(t.encode()) for t in batch.column(at).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([texts if i == at else c for i, c in enumerate(batch.columns)], names)
+
+    return df.mapInArrow(run, df.withColumn("text", F.col("text").cast("binary")).schema)
+
+
+def _unpack(value: bytes | None) -> str | None:
+    import zstandard
+
+    return None if value is None else zstandard.ZstdDecompressor().decompress(value).decode()
 
 
 def _text_hash() -> Column:
     return F.xxhash64(F.coalesce("text", F.lit("")), F.lit(7))
 
 
-def _phrases(rows: DataFrame, window: int, gram: int) -> DataFrame:
-    """(shard, h): the kept phrases of each document, once per document."""
+def recurring_phrases(rows: DataFrame, window: int, gram: int) -> DataFrame:
+    """(shard, h): the kept phrases of each shard's documents that stand at two places or more anywhere.
+
+    Counted in one shuffle by phrase. A phrase that a batch of documents holds twice is known to recur, so the
+    batch sends it once to be counted and its shards apart from it: a phrase in a third of all documents
+    costs one row per batch where it is counted, not one per document.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            shards, hashes = [], []
+            shards, hashes, often = [], [], []
             for shard, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 grams = gram_hashes(word_hashes(one_line(text.as_py())), gram)
-                found = np.unique(grams[kept_places(grams, window - gram + 1)], return_counts=True)
-                hashes += [found[0], found[0][found[1] > 1]]  # twice where it recurs inside
-                shards.append(np.full(len(hashes[-1]) + len(hashes[-2]), shard, np.int32))
-            if hashes:
-                yield pa.RecordBatch.from_pydict({"shard": np.concatenate(shards), "h": np.concatenate(hashes).view(np.int64)})
-
-    return rows.select("shard", "text").mapInArrow(run, "shard int, h bigint")
+                own, n = np.unique(grams[kept_places(grams, window - gram + 1)], return_counts=True)
+                hashes.append(own)
+                often.append(n)
+                shards.append(np.full(len(own), shard, np.int32))
+            if not hashes:
+                continue
+            h, n, shard = np.concatenate(hashes), np.concatenate(often), np.concatenate(shards)
+            names, place = np.unique(h, return_inverse=True)
+            known = np.bincount(place, n, len(names))[place] > 1
+            again = np.unique(np.stack([h[known], shard[known].astype(np.uint64)]), axis=1)
+            once = np.unique(h[known])
+            one = ~known
+            yield pa.RecordBatch.from_pydict({
+                "h": np.concatenate([h[one], once, again[0]]).view(np.int64),
+                "shard": np.concatenate([shard[one], np.full(len(once), -1, np.int32), again[1].astype(np.int32)]),
+                "salt": np.concatenate([np.zeros(one.sum() + len(once), np.int32), again[1].astype(np.int32) + 1]).astype(np.int32),
+                "n": np.repeat(np.array([1, 2], np.int32), [int(one.sum()), len(once) + again.shape[1]])})
+
+    sent = rows.select("shard", "text").mapInArrow(run, "h bigint, shard int, salt int, n int")
+    total = F.sum("n").over(Window.partitionBy("h", "salt"))
+    return sent.withColumn("_total", total).filter("_total > 1 AND shard >= 0").select("shard", "h")
 
 
 class _Shard:
@@ -122,6 +185,11 @@ class _Shard:
     def __init__(self) -> None:
         self.hashes: list[np.ndarray] = []
         self.documents: list[tuple[int | None, int, bytes]] = []
+        self.words: list[np.ndarray] = []
+
+    def add(self, doc_id: int | None, text_hash: int, line: bytes) -> None:
+        self.documents.append((doc_id, text_hash, line))
+        self.words.append(word_hashes(line))
 
     def automaton(self, gram: int, width: int):
         """Compiled from the texts of the phrases of these documents that recur anywhere; None if none do."""
@@ -131,16 +199,17 @@ class _Shard:
         if not len(wanted):
             return None
         found, known = ahocorasick.Automaton(ahocorasick.STORE_LENGTH), set()
-        for _, _, line in self.documents:
-            grams = gram_hashes(word_hashes(line), gram)
+        for (_, _, line), hashes in zip(self.documents, self.words):
+            grams = gram_hashes(hashes, gram)
             places = kept_places(grams, width)
             own = grams[places]
             places = places[wanted[np.minimum(np.searchsorted(wanted, own), len(wanted) - 1)] == own]
             if len(places):
-                words = line.split(b" ")
+                words = None
                 for p, h in zip(places.tolist(), grams[places].tolist()):
                     if h not in known:
                         known.add(h)
+                        words = words or line.split(b" ")
                         found.add_word(f" {b' '.join(words[p:p + gram]).decode()} ")
         if not known:
             return None
@@ -152,6 +221,7 @@ class _Shard:
         automaton = self.automaton(gram, window - gram + 1)
         if automaton is None:
             return
+        first_hash, second_hash = _WindowHashes(_FIRST), _WindowHashes(_SECOND)
         for place, (_, _, line) in enumerate(self.documents):
             padded = f" {line.decode()} "
             ends = np.fromiter((end for end, _ in automaton.iter(padded)), np.int64)
@@ -160,7 +230,7 @@ class _Shard:
             raw = np.frombuffer(padded.encode(), np.uint8)
             spaces = (np.cumsum((raw & 0xC0) != 0x80) - 1)[raw == 32]  # in characters, as the automaton counts
             first = np.unique(np.searchsorted(spaces, ends) - gram)
-            words = word_hashes(line)
+            words = self.words[place]
             n = len(words) - window + 1
             if n <= 0:
                 continue
@@ -168,7 +238,7 @@ class _Shard:
             np.add.at(edge, np.maximum(first - (window - gram), 0), 1)
             np.add.at(edge, np.minimum(first + 1, n), -1)
             starts = np.flatnonzero(np.cumsum(edge[:n]) > 0)
-            yield place, starts, gram_hashes(words, window)[starts], gram_hashes(words, window, _SECOND)[starts]
+            yield place, starts, first_hash.at(words, starts, window), second_hash.at(words, starts, window)
 
     def rows(self, window: int, gram: int) -> Iterator[dict]:
         """The first occurrence here of every candidate window, and the word ranges of the later ones."""
@@ -183,10 +253,12 @@ class _Shard:
         later = np.concatenate([[False], (one[1:] == one[:-1]) & (two[1:] == two[:-1])])
         ids = np.array([d[0] for d in self.documents], object)
         hashes = np.array([d[1] for d in self.documents], np.int64)
-        for at in range(0, int((~later).sum()), 200_000):
-            chosen = np.flatnonzero(~later)[at:at + 200_000]
+        first = np.flatnonzero(~later)
+        first = first[np.lexsort((start[first], place[first]))]  # rows of a document together compress well
+        for at in range(0, len(first), 200_000):
+            chosen = first[at:at + 200_000]
             yield {"one": one[chosen].view(np.int64), "two": two[chosen].astype(np.uint32).view(np.int32), "doc_id": pa.array(ids[place[chosen]], pa.int64()),
-                   "text_hash": hashes[place[chosen]], "start": start[chosen].astype(np.int32), "stop": (start[chosen] + window).astype(np.int32)}
+                   "text_hash": hashes[place[chosen]], "start": start[chosen].astype(np.int32), "stop": pa.nulls(len(chosen), pa.int32())}
         again = np.flatnonzero(later)
         if len(again):
             again = again[np.lexsort((start[again], place[again]))]
@@ -200,7 +272,8 @@ class _Shard:
 
 
 def later_windows(documents: DataFrame, window: int = WINDOW, gram: int = GRAM, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """(doc_id, text_hash, start, stop): word ranges covered by windows that also start earlier.
+    """(doc_id, text_hash, start, stop): words covered by windows that also start earlier; ``stop`` is null for a
+    single window.
 
     Earlier is a smaller doc_id (null last), then a smaller hash of the text, then an earlier start. Rows equal
     in doc_id and text are one document. Inside a shard later windows are settled on the spot, so a window
@@ -210,11 +283,9 @@ def later_windows(documents: DataFrame, window: int = WINDOW, gram: int = GRAM,
     shards = max(1, ceil(total / shard_bytes))
     shard = F.pmod(F.xxhash64("doc_id", _text_hash()), F.lit(shards)).cast("int")
     dealt = documents.select("doc_id", _text_hash().alias("text_hash"), shard.alias("shard"), "text")
-    phrases = _phrases(dealt, window, gram)
-    recurring = phrases.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
-    wanted = phrases.join(recurring, "h", "left_semi").groupBy("shard", "h").agg(F.lit(0).alias("kind"))
-    lines = dealt.select("shard", F.lit(1).alias("kind"), F.lit(None).cast("bigint").alias("h"), "doc_id", "text_hash", "text")
-    marks = wanted.select("shard", "kind", "h", *[F.lit(None).cast(t).alias(c) for c, t in (("doc_id", "bigint"), ("text_hash", "bigint"), ("text", "string"))])
+    lines = packed(dealt).select("shard", F.lit(1).alias("kind"), F.lit(None).cast("bigint").alias("h"), "doc_id", "text_hash", "text")
+    marks = recurring_phrases(dealt, window, gram).select(
+        "shard", F.lit(0).alias("kind"), "h", *[F.lit(None).cast(t).alias(c) for c, t in (("doc_id", "bigint"), ("text_hash", "bigint"), ("text", "binary"))])
     sorted_rows = (marks.unionByName(lines).repartition("shard")
                    .sortWithinPartitions("shard", "kind", F.asc_nulls_last("doc_id"), "text_hash"))
 
@@ -234,7 +305,7 @@ def later_windows(documents: DataFrame, window: int = WINDOW, gram: int = GRAM,
                     for i in range(at, stop):
                         row = (batch.column(3)[i].as_py(), batch.column(4)[i].as_py())
                         if not held.documents or held.documents[-1][:2] != row:
-                            held.documents.append((*row, one_line(batch.column(5)[i].as_py())))
+                            held.add(*row, one_line(_unpack(batch.column(5)[i].as_py())))
                 at = stop
         yield from map(pa.RecordBatch.from_pydict, held.rows(window, gram))
 
@@ -251,22 +322,29 @@ def remove_passages(documents: DataFrame, window: int = WINDOW, gram: int = GRAM
     texts as they come. Null and blank texts have no words; texts of fewer words than a window stay whole.
     ``doc_id`` must be a whole number or null.
     """
-    ranges = (later_windows(documents, window, gram).groupBy("doc_id", "text_hash")
-              .agg(F.collect_list(F.struct("start", "stop")).alias("_ranges"))  # of one document
-              .select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "_ranges"))
-    joined = (documents.withColumn("_text_hash", _text_hash())
-              .join(ranges, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_hash")), "left")
-              .select(*documents.columns, "_ranges"))
+    # Null ids get a number of their own, so that both sides are dealt by the same two columns.
+    key = F.coalesce("doc_id", F.lit(-(1 << 63))).alias("_id")
+    later = later_windows(documents, window, gram).select(key, F.col("text_hash").alias("_hash"), "start", "stop")
+    single = F.col("stop").isNull()
+    found = later.groupBy("_id", "_hash").agg(  # lists of one document, as long as it at most
+        F.collect_list(F.when(single, F.col("start"))).alias("_starts"),
+        F.collect_list(F.when(~single, F.struct("start", "stop"))).alias("_ranges"))
+    keyed = packed(documents.select("*", key, _text_hash().alias("_hash")))
+    joined = keyed.join(found, ["_id", "_hash"], "left").select(*documents.columns, "_starts", "_ranges")
     names, at = documents.columns, documents.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts, removed, texts = [], [], []
-            for text, ranges in zip(batch.column(at), batch.column(batch.num_columns - 1)):
-                line = one_line(text.as_py())
+            counts, removed, texts, whole = [], [], [], []
+            for text, starts, ranges in zip(batch.column(at), *batch.columns[-2:]):
+                whole.append(_unpack(text.as_py()))
+                line = one_line(whole[-1])
                 n, gone = (line.count(b" ") + 1 if line else 0), 0
-                if ranges.is_valid:
+                if starts.is_valid:
                     edge = np.zeros(n + 1, np.int64)
+                    single = starts.values.to_numpy(zero_copy_only=False)
+                    np.add.at(edge, single, 1)
+                    np.add.at(edge, single + window, -1)
                     for r in ranges.as_py():
                         edge[r["start"]] += 1
                         edge[r["stop"]] -= 1
@@ -277,7 +355,7 @@ def remove_passages(documents: DataFrame, window: int = WINDOW, gram: int = GRAM
                 counts.append(n)
                 removed.append(gone)
                 texts.append(line.decode())
-            columns = [batch.column(i) for i in range(batch.num_columns - 1)]
+            columns = [pa.array(whole, pa.string()) if i == at else batch.column(i) for i in range(batch.num_columns - 2)]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(texts, pa.string())],
                                              [*names, "n_words", "n_removed", "kept_text"])
 
