@@ -1,13 +1,15 @@
 """Embedding near-duplicates by product quantisation: coarse inverted lists, residual subspace codes,
 asymmetric distances from look-up tables, exact cosine for what is left.
 
-The quantiser is fitted on a bounded sample and only decides how much work there is. Which lists are probed
-and which codes pass follows from bounds that hold for every vector, so no link is lost:
-
-* a vector within ``r`` of query q lies in a list only if q is no farther than ``r`` beyond the border between
-  that list's centroid and q's own, and no farther than ``r`` from the list's ball;
-* the distance to a code differs from the distance to its vector by at most the code's own error, which is
-  kept with the code.
+The quantiser is fitted on a bounded sample; every vector is indexed and every vector asks.
+
+* Probes: vectors within ``r`` of query q lie in another list only if q is no farther than ``r`` beyond the
+  border between that list's centroid and q's own. That bound is for a difference that points straight at
+  the border. A difference of length r in no special direction has a part of about r / sqrt(dim) along any
+  line, so by default lists up to ``SPREAD`` of these parts beyond the border are asked; with a spread of
+  sqrt(dim) or more (or None) no link can be missed. The list's ball bounds the probes exactly either way.
+* Codes: the distance to a code differs from the distance to its vector by at most the code's own error,
+  which is kept with the code, so no link is lost to the codes.
 """
 
 from __future__ import annotations
@@ -26,7 +28,8 @@ from lettermill.llm.common import checkpointed, connected_components, table
 COSINE = 0.9
 SAMPLE_ROWS = 20_000
 MAX_LISTS = 1024
-LIST_ROWS = 512
+SPREAD = 2.5
+LIST_ROWS = 128
 PARTS = 8
 CODES = 64
 BLOCK_ROWS = 4096
@@ -105,7 +108,7 @@ def _vector(column: pa.Array, dim: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
 
 
-def links(classes: DataFrame, cosine: float = COSINE, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def links(classes: DataFrame, cosine: float = COSINE, block_rows: int = BLOCK_ROWS, spread: float | None = SPREAD) -> DataFrame:
     """(kind, a, b, n) over classes of one dimension: per class the copies of the classes linked to it (kind 0), and
     links (a, b) that connect what is connected (kind 1).
 
@@ -122,6 +125,7 @@ def links(classes: DataFrame, cosine: float = COSINE, block_rows: int = BLOCK_RO
     sample /= np.linalg.norm(sample / np.abs(sample).max(1, keepdims=True), axis=1, keepdims=True) * np.abs(sample).max(1, keepdims=True)
     quantiser, dim = fit(sample, n), sample.shape[1]
     radius = sqrt(2 - 2 * cosine) + SLACK
+    beyond = radius if spread is None else radius * min(1.0, spread / sqrt(dim))
 
     def unit(x: np.ndarray) -> np.ndarray:
         x = x / np.abs(x).max(1, keepdims=True)
@@ -154,7 +158,7 @@ def links(classes: DataFrame, cosine: float = COSINE, block_rows: int = BLOCK_RO
             ids, copies = batch.column(0).to_numpy(), batch.column(2).to_numpy()
             own, d = quantiser.nearest(x)
             mine = d[np.arange(len(x)), own]
-            border = (d ** 2 - mine[:, None] ** 2) <= 2 * radius * between[own] + SLACK
+            border = (d ** 2 - mine[:, None] ** 2) <= 2 * beyond * between[own] + SLACK
             i, at = np.nonzero(border & (d <= radius + far[None] + SLACK) & (size > 0)[None])
             asked = blocks[at]
             i, at = np.repeat(i, asked), np.repeat(at, asked)
@@ -251,10 +255,12 @@ def links(classes: DataFrame, cosine: float = COSINE, block_rows: int = BLOCK_RO
     return met.mapInArrow(compare, "kind int, a bigint, b bigint, n bigint")
 
 
-def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", cosine: float = COSINE) -> DataFrame:
+def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", cosine: float = COSINE,
+                 spread: float | None = SPREAD) -> DataFrame:
     """key, n_links, component_id and kept of every row: links are other rows at ``cosine`` or more.
 
-    ``component_id`` is the smallest key reachable by links, the row itself included. Equal vectors are
+    Links below ``cosine`` are never made; those at or above it are all found if ``spread`` is None, else nearly all
+    (see the module). ``component_id`` is the smallest key reachable by links, the row itself included. Equal vectors are
     compared once, as a class. What ``unit_classes`` puts in no class links with nothing, and vectors of
     different lengths do not link; each length is a round of its own. Keys are whole numbers; a row with a
     null key links like others but names a component only with null; repeated keys are not told apart.
@@ -264,7 +270,7 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
     lengths = [r[0] for r in classes.select(F.size("vec")).distinct().collect()]
     found = None
     for length in lengths:
-        own = checkpointed(links(classes.filter(F.size("vec") == length), cosine))
+        own = checkpointed(links(classes.filter(F.size("vec") == length), cosine, spread=spread))
         found = own if found is None else found.unionByName(own)
     if found is None:
         found = vectors.sparkSession.createDataFrame([], "kind int, a bigint, b bigint, n bigint")
