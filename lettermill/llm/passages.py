@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 from lettermill.llm.common import table
 
 WINDOW = 20
-GRAM = 12
-SHARD_BYTES = 8 << 20
+GRAM = 10
+SHARD_BYTES = 6 << 20
 PIECE = 1 << 20
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _FIRST, _SECOND = 0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F
@@ -165,14 +165,17 @@ def recurring_phrases(rows: DataFrame, window: int, gram: int) -> DataFrame:
             h, n, shard = np.concatenate(hashes), np.concatenate(often), np.concatenate(shards)
             names, place = np.unique(h, return_inverse=True)
             known = np.bincount(place, n, len(names))[place] > 1
-            again = np.unique(np.stack([h[known], shard[known].astype(np.uint64)]), axis=1)
-            once = np.unique(h[known])
-            one = ~known
+            one, once = ~known, names[np.bincount(place, n, len(names)) > 1]
+            again_h, again_shard = h[known], shard[known]
+            order = np.lexsort((again_h, again_shard))
+            again_h, again_shard = again_h[order], again_shard[order]
+            new = np.concatenate([[True], (again_h[1:] != again_h[:-1]) | (again_shard[1:] != again_shard[:-1])])[:len(order)]
+            again_h, again_shard = again_h[new], again_shard[new]
             yield pa.RecordBatch.from_pydict({
-                "h": np.concatenate([h[one], once, again[0]]).view(np.int64),
-                "shard": np.concatenate([shard[one], np.full(len(once), -1, np.int32), again[1].astype(np.int32)]),
-                "salt": np.concatenate([np.zeros(one.sum() + len(once), np.int32), again[1].astype(np.int32) + 1]).astype(np.int32),
-                "n": np.repeat(np.array([1, 2], np.int32), [int(one.sum()), len(once) + again.shape[1]])})
+                "h": np.concatenate([h[one], once, again_h]).view(np.int64),
+                "shard": np.concatenate([shard[one], np.full(len(once), -1, np.int32), again_shard]),
+                "salt": np.concatenate([np.zeros(one.sum() + len(once), np.int32), again_shard + 1]).astype(np.int32),
+                "n": np.repeat(np.array([1, 2], np.int32), [int(one.sum()), len(once) + len(again_h)])})
 
     sent = rows.select("shard", "text").mapInArrow(run, "h bigint, shard int, salt int, n int")
     total = F.sum("n").over(Window.partitionBy("h", "salt"))
