@@ -114,7 +114,9 @@ def links(classes: DataFrame, cosine: float = COSINE, block_rows: int = BLOCK_RO
 
     A vector is indexed in its own list, and asks in every list that its bounds leave. A list of more than
     ``block_rows`` rows is dealt into blocks, and so are those that ask in it, so a task holds one block of
-    each. Links are counted where they are found; only spanning links come out, not all pairs.
+    each. A pair whose ends ask each other's lists is found twice and counted for the asker each time; one found from
+    one side only is counted for both ends there, so each index row brings the lists it asks. Only spanning links
+    come out, not all pairs.
     """
     spark = classes.sparkSession
     n = classes.count()
@@ -159,7 +161,9 @@ def links(classes: DataFrame, cosine: float = COSINE, block_rows: int = BLOCK_RO
             own, d = quantiser.nearest(x)
             mine = d[np.arange(len(x)), own]
             border = (d ** 2 - mine[:, None] ** 2) <= 2 * beyond * between[own] + SLACK
-            i, at = np.nonzero(border & (d <= radius + far[None] + SLACK) & (size > 0)[None])
+            asks = border & (d <= radius + far[None] + SLACK) & (size > 0)[None]
+            told = np.packbits(asks, axis=1, bitorder="little")
+            i, at = np.nonzero(asks)
             asked = blocks[at]
             i, at = np.repeat(i, asked), np.repeat(at, asked)
             block = np.concatenate([np.arange(b) for b in asked]) if len(asked) else np.empty(0, np.int64)
@@ -175,33 +179,36 @@ def links(classes: DataFrame, cosine: float = COSINE, block_rows: int = BLOCK_RO
                 who = both[3]
                 flat = pa.array(x[who].reshape(-1))
                 vectors = pa.ListArray.from_arrays(pa.array(np.arange(0, len(who) * dim + 1, dim), pa.int32()), flat)
+                # Only index rows tell what they ask; a query's are empty.
+                ends = np.concatenate([[0], np.cumsum(np.where(both[4] == 0, told.shape[1], 0))]).astype(np.int32)
+                lists = pa.Array.from_buffers(pa.binary(), len(who), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(told[who[both[4] == 0]].tobytes())])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(both[0], pa.int32()), pa.array(both[1], pa.int32()), pa.array(both[2], pa.int32()), pa.array(both[4], pa.int32()),
-                     pa.array(ids[who], pa.int64()), pa.array(copies[who], pa.int64()), vectors],
-                    ["list", "block", "turn", "kind", "id", "copies", "unit"])
+                     pa.array(ids[who], pa.int64()), pa.array(copies[who], pa.int64()), vectors,
+                     pa.array(own[who], pa.int32()), lists],
+                    ["list", "block", "turn", "kind", "id", "copies", "unit", "own", "asks"])
 
     dealt = (classes.select("class", "vec", "copies")
-             .mapInArrow(deal, "list int, block int, turn int, kind int, id bigint, copies bigint, unit array<double>"))
+             .mapInArrow(deal, "list int, block int, turn int, kind int, id bigint, copies bigint, unit array<double>, own int, asks binary"))
     met = dealt.repartition("list", "block", "turn").sortWithinPartitions("list", "block", "turn", "kind")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from lettermill.llm.simhash import _roots
 
-        group, held, ids, copies, codes, error = None, [], None, None, None, None
+        group, held, ids, copies, told, codes, error = None, [], None, None, None, None, None
         counts: list[tuple[np.ndarray, np.ndarray]] = []
         spanning: list[tuple[np.ndarray, np.ndarray]] = []
 
         def index(at: int) -> None:
-            nonlocal held, ids, copies, codes, error
-            x = np.concatenate([h[0] for h in held])
-            ids, copies = np.concatenate([h[1] for h in held]), np.concatenate([h[2] for h in held])
+            nonlocal held, ids, copies, told, codes, error
+            x, ids, copies, told = (np.concatenate([h[k] for h in held]) for k in range(4))
             codes, error = quantiser.encode(x, np.full(len(x), at))
-            held = [(x, ids, copies)]
+            held = [(x, ids, copies, told)]
 
-        def ask(at: int, q: np.ndarray, who: np.ndarray) -> None:
+        def ask(at: int, q: np.ndarray, who: np.ndarray, m: np.ndarray, own: np.ndarray) -> None:
             x = held[0][0]
             for a in range(0, len(q), 256):
-                part, name = q[a:a + 256], who[a:a + 256]
+                part, name, of, home = q[a:a + 256], who[a:a + 256], m[a:a + 256], own[a:a + 256]
                 look_up = quantiser.tables(part, at)
                 distance = np.zeros((len(part), len(x)))
                 for p in range(codes.shape[1]):
@@ -216,6 +223,11 @@ def links(classes: DataFrame, cosine: float = COSINE, block_rows: int = BLOCK_RO
                 if not len(i):
                     continue
                 counts.append((name, np.bincount(i, copies[j], len(part)).astype(np.int64)))
+                # Those found that do not ask in the asker's own list will not find it: the link is theirs too.
+                alone = (told[j, home[i] >> 3] >> (home[i] & 7) & 1) == 0
+                if alone.any():
+                    there, back = np.unique(j[alone], return_inverse=True)
+                    counts.append((ids[there], np.bincount(back, of[i[alone]]).astype(np.int64)))
                 nodes, place = np.unique(np.concatenate([name[i], ids[j]]), return_inverse=True)
                 root = _roots(len(nodes), place[:len(i)], place[len(i):])
                 moved = root != np.arange(len(nodes))
@@ -245,11 +257,11 @@ def links(classes: DataFrame, cosine: float = COSINE, block_rows: int = BLOCK_RO
                 if at != group:
                     group, held, codes = at, [], None
                 if kind == 0:
-                    held.append((x, who, m))
+                    held.append((x, who, m, np.frombuffer(b"".join(part.column(8).to_pylist()), np.uint8).reshape(len(x), -1)))
                 elif held:
                     if codes is None:
                         index(int(at[0]))
-                    ask(int(at[0]), x, who)
+                    ask(int(at[0]), x, who, m, part.column(7).to_numpy())
             yield from out()
 
     return met.mapInArrow(compare, "kind int, a bigint, b bigint, n bigint")

@@ -185,6 +185,34 @@ def test_recall_with_the_default_spread(spark):
     assert 0.9 * want <= sum(r["n_links"] for r in got.collect()) <= want
 
 
+def low_rank(rng, n, inner, dim, near):
+    """``n`` vectors that fill ``inner`` of ``dim`` dimensions and ``near`` near-copies of the first of them."""
+    base = rng.normal(size=(n, inner))
+    every = np.concatenate([base, base[:near] + rng.normal(size=(near, inner)) * 0.15])
+    return every @ np.linalg.qr(rng.normal(size=(dim, inner)))[0].T
+
+
+def cosine_links(every):
+    unit = every / np.linalg.norm(every, axis=1, keepdims=True)
+    close = unit @ unit.T >= 0.9
+    np.fill_diagonal(close, False)
+    return close
+
+
+def test_links_found_from_one_side_count_for_both_ends(spark):
+    every = low_rank(np.random.default_rng(13), 1200, 6, 48, 300)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(every)], "vec_id bigint, embedding array<double>")
+    close = cosine_links(every)
+    # A margin that leaves out some lists: what is found is counted at both ends, so in all an even number, and no
+    # vector of a component of two is without its link.
+    got = {r["vec_id"]: r for r in quantised.near_vectors(df, spread=0.5).collect()}
+    assert all(got[i]["n_links"] <= n for i, n in enumerate(close.sum(1).tolist()))
+    groups = defaultdict(list)
+    for r in got.values():
+        groups[r["component_id"]].append(r["n_links"])
+    assert all(min(g) > 0 and sum(g) % 2 == 0 for g in groups.values() if len(g) > 1)
+
+
 # --- toxicity ---
 
 
