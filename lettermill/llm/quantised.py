@@ -3,11 +3,10 @@ asymmetric distances from look-up tables, exact cosine for what is left.
 
 The quantiser is fitted on a bounded sample; every vector is indexed and every vector asks.
 
-* Probes: vectors within ``r`` of query q lie in another list only if q is no farther than ``r`` beyond the
-  border between that list's centroid and q's own. That bound is for a difference that points straight at
-  the border. A difference of length r in no special direction has a part of about r / sqrt(dim) along any
-  line, so by default lists up to ``SPREAD`` of these parts beyond the border are asked; with a spread of
-  sqrt(dim) or more (or None) no link can be missed. The list's ball bounds the probes exactly either way.
+* Probes: two vectors within ``r`` of one another in different lists stand on either side of the border between
+  the lists' centroids, and their distances from it add up to at most r. So one of them is within r / 2 of it,
+  whatever the dimension: each asks the lists whose border is that near, and no link is missed, though some are
+  found from one side only. The list's ball bounds the probes exactly too.
 * Codes: the distance to a code differs from the distance to its vector by at most the code's own error,
   which is kept with the code, so no link is lost to the codes.
 """
@@ -28,7 +27,6 @@ from lettermill.llm.common import checkpointed, connected_components, table
 COSINE = 0.9
 SAMPLE_ROWS = 20_000
 MAX_LISTS = 1024
-SPREAD = 2.5
 LIST_ROWS = 128
 PARTS = 8
 CODES = 64
@@ -108,7 +106,7 @@ def _vector(column: pa.Array, dim: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
 
 
-def links(classes: DataFrame, cosine: float = COSINE, block_rows: int = BLOCK_ROWS, spread: float | None = SPREAD) -> DataFrame:
+def links(classes: DataFrame, cosine: float = COSINE, block_rows: int = BLOCK_ROWS, spread: float | None = None) -> DataFrame:
     """(kind, a, b, n) over classes of one dimension: per class the copies of the classes linked to it (kind 0), and
     links (a, b) that connect what is connected (kind 1).
 
@@ -127,7 +125,7 @@ def links(classes: DataFrame, cosine: float = COSINE, block_rows: int = BLOCK_RO
     sample /= np.linalg.norm(sample / np.abs(sample).max(1, keepdims=True), axis=1, keepdims=True) * np.abs(sample).max(1, keepdims=True)
     quantiser, dim = fit(sample, n), sample.shape[1]
     radius = sqrt(2 - 2 * cosine) + SLACK
-    beyond = radius if spread is None else radius * min(1.0, spread / sqrt(dim))
+    beyond = radius / 2 if spread is None else radius * min(0.5, spread / sqrt(dim))
 
     def unit(x: np.ndarray) -> np.ndarray:
         x = x / np.abs(x).max(1, keepdims=True)
@@ -268,11 +266,11 @@ def links(classes: DataFrame, cosine: float = COSINE, block_rows: int = BLOCK_RO
 
 
 def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", cosine: float = COSINE,
-                 spread: float | None = SPREAD) -> DataFrame:
+                 spread: float | None = None) -> DataFrame:
     """key, n_links, component_id and kept of every row: links are other rows at ``cosine`` or more.
 
-    Links below ``cosine`` are never made; those at or above it are all found if ``spread`` is None, else nearly all
-    (see the module). ``component_id`` is the smallest key reachable by links, the row itself included. Equal vectors are
+    Links below ``cosine`` are never made; those at or above it are all found. Only a caller that gives a ``spread``
+    narrows the lists asked to borders within spread * r / sqrt(dim), and then links can be missed. ``component_id`` is the smallest key reachable by links, the row itself included. Equal vectors are
     compared once, as a class. What ``unit_classes`` puts in no class links with nothing, and vectors of
     different lengths do not link; each length is a round of its own. Keys are whole numbers; a row with a
     null key links like others but names a component only with null; repeated keys are not told apart.

@@ -213,6 +213,12 @@ def test_links_found_from_one_side_count_for_both_ends(spark):
     assert all(min(g) > 0 and sum(g) % 2 == 0 for g in groups.values() if len(g) > 1)
 
 
+def test_all_links_of_low_rank_vectors_are_found(spark):
+    every = low_rank(np.random.default_rng(17), 1200, 6, 48, 300)
+    got = quantised.near_vectors(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(every)], "vec_id bigint, embedding array<double>"))
+    assert {r["vec_id"]: r["n_links"] for r in got.collect()} == dict(enumerate(cosine_links(every).sum(1).tolist()))
+
+
 # --- toxicity ---
 
 
