@@ -88,7 +88,10 @@ def fit(sample: np.ndarray, rows: int, parts: int = PARTS, codes: int = CODES) -
 
 
 def unit_classes(vectors: DataFrame, key: str, vector: str) -> tuple[DataFrame, DataFrame]:
-    """(class rows, members): equal vectors are one class, (class, vec, copies), named by its smallest key.
+    """(class rows, members): equal vectors are one class, (class, vec, copies, first), with its smallest key.
+
+    Classes are named by numbers of their own, as a class may have no key but null; they are checkpointed, so that
+    the numbers stay.
 
     Vectors that are null or zero, or hold a null, a NaN or an infinity, are in no class; vectors of unequal
     lengths never meet. Members are all rows with their class, null for those in none.
@@ -97,7 +100,8 @@ def unit_classes(vectors: DataFrame, key: str, vector: str) -> tuple[DataFrame,
     fit_to_compare = (v.isNotNull() & ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
                       & F.exists(v, lambda x: x != 0))
     rows = vectors.select(F.col(key).alias("key"), F.when(fit_to_compare, v).alias("vec"))
-    classes = rows.filter("vec IS NOT NULL").groupBy("vec").agg(F.min("key").alias("class"), F.count("*").alias("copies"))
+    classes = rows.filter("vec IS NOT NULL").groupBy("vec").agg(F.min("key").alias("first"), F.count("*").alias("copies"))
+    classes = checkpointed(classes.withColumn("class", F.monotonically_increasing_id()))
     named = classes.select(F.col("vec").alias("_vec"), "class", "copies")
     return classes, rows.join(named, rows["vec"] == named["_vec"], "left").select("key", "class", "copies")
 
@@ -273,10 +277,9 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
     narrows the lists asked to borders within spread * r / sqrt(dim), and then links can be missed. ``component_id`` is the smallest key reachable by links, the row itself included. Equal vectors are
     compared once, as a class. What ``unit_classes`` puts in no class links with nothing, and vectors of
     different lengths do not link; each length is a round of its own. Keys are whole numbers; a row with a
-    null key links like others but names a component only with null; repeated keys are not told apart.
+    null key links like others but names a component only with null; rows of one key are rows like any others.
     """
     classes, members = unit_classes(vectors, key, vector)
-    classes = checkpointed(classes)
     lengths = [r[0] for r in classes.select(F.size("vec")).distinct().collect()]
     found = None
     for length in lengths:
@@ -286,8 +289,11 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
         found = vectors.sparkSession.createDataFrame([], "kind int, a bigint, b bigint, n bigint")
     counted = found.filter("kind = 0").groupBy(F.col("a").alias("class")).agg(F.sum("n").alias("linked"))
     components = connected_components(found.filter("kind = 1").select("a", "b"))
-    facts = (classes.select("class").join(counted, "class", "left").join(components.withColumnRenamed("node", "class"), "class", "left")
-             .select(F.col("class").alias("_class"), F.coalesce("linked", F.lit(0).cast("bigint")).alias("linked"), F.coalesce("component", "class").alias("component")))
+    placed = (classes.select("class", "first").join(counted, "class", "left").join(components.withColumnRenamed("node", "class"), "class", "left")
+              .withColumn("component", F.coalesce("component", "class")))
+    smallest = placed.groupBy("component").agg(F.min("first").alias("smallest"))
+    facts = placed.join(smallest, "component").select(
+        F.col("class").alias("_class"), F.coalesce("linked", F.lit(0).cast("bigint")).alias("linked"), F.col("smallest").alias("component"))
     whole = members.join(facts, members["class"] == facts["_class"], "left")
     component = F.coalesce("component", "key")
     return whole.select(

@@ -219,6 +219,14 @@ def test_all_links_of_low_rank_vectors_are_found(spark):
     assert {r["vec_id"]: r["n_links"] for r in got.collect()} == dict(enumerate(cosine_links(every).sum(1).tolist()))
 
 
+def test_vectors_without_a_key_link_like_others(spark):
+    rows = [(None, [1.0, 0.0]), (None, [1.0, 0.1]), (7, [1.0, 0.2]), (None, [0.0, 1.0]), (None, [0.1, -1.0]), (None, [0.1, -1.0]), (8, [-1.0, 0.0]), (None, None)]
+    got = quantised.near_vectors(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")).collect()
+    assert sorted(map(tuple, got), key=str) == sorted([
+        (None, 2, 7, None), (None, 2, 7, None), (7, 2, 7, True), (None, 0, None, None), (None, 1, None, None), (None, 1, None, None),
+        (8, 0, 8, True), (None, 0, None, None)], key=str)
+
+
 # --- toxicity ---
 
 
