@@ -8,12 +8,12 @@ coordinates, so most pairs are discarded without being compared. Survivors are v
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lettermill.llm.common import checkpointed, connected_components, table
@@ -49,15 +49,16 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> i
     return int(np.packbits(bits, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(documents: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(key, fp): the fingerprint of every row's whole text as a signed 64-bit number."""
+def fingerprints(documents: DataFrame, text: str = "text", key: str = "doc_id", also: Sequence[str] = ()) -> DataFrame:
+    """(key, fp, *also): the fingerprint of every row's whole text as a signed 64-bit number."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.array([fingerprint(t.as_py()) for t in batch.column(1)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64())], ["key", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64()), *batch.columns[2:]], ["key", "fp", *also])
 
+    kinds = "".join(f", {c} {documents.schema[c].dataType.simpleString()}" for c in also)
     kind = documents.schema[key].dataType.simpleString()
-    return documents.select(key, text).mapInArrow(run, f"key {kind}, fp bigint")
+    return documents.select(key, text, *also).mapInArrow(run, f"key {kind}, fp bigint{kinds}")
 
 
 def pivots(count: int = BITS) -> np.ndarray:
@@ -192,6 +193,18 @@ def link_edges(distinct: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     return grouped.mapInArrow(run, "a bigint, b bigint")
 
 
+def _placed(marked: DataFrame) -> DataFrame:
+    """(fp, component, component_id) of every fingerprint of ``marked`` (key, fp): a name of its component, never null,
+    and the smallest key in it."""
+    classes = marked.groupBy("fp").agg(F.min("key").alias("first"))
+    edges = checkpointed(link_edges(classes.select("fp")).distinct())
+    components = connected_components(edges)
+    joined = classes.join(components, classes["fp"] == components["node"], "left").select(
+        "fp", "first", F.coalesce("component", "fp").alias("component"))
+    smallest = joined.groupBy("component").agg(F.min("first").alias("component_id"))
+    return joined.join(smallest, "component").select("fp", "component", "component_id")
+
+
 def near_duplicates(documents: DataFrame) -> DataFrame:
     """doc_id, fingerprint and component_id of every row of ``documents`` (doc_id, text).
 
@@ -201,27 +214,24 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     never a component's id unless all are null. Repeated rows come out as often as they come in.
     """
     marked = checkpointed(fingerprints(documents))
-    classes = marked.groupBy("fp").agg(F.min("key").alias("first"))
-    edges = checkpointed(link_edges(classes.select("fp")).distinct())
-    components = connected_components(edges)
-    joined = classes.join(components, classes["fp"] == components["node"], "left").select(
-        "fp", "first", F.coalesce("component", "fp").alias("component"))
-    smallest = joined.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = joined.join(smallest, "component").select("fp", "component_id")
-    return marked.join(named, "fp").select(
+    return marked.join(_placed(marked).select("fp", "component_id"), "fp").select(
         F.col("key").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(documents: DataFrame) -> DataFrame:
-    """Of every component the document with the smallest doc_id, one row of it; the columns stay.
+    """Of every component one row: the one with the smallest doc_id; the columns stay.
 
-    Where that doc_id has several rows, the first by a hash of the row stays. Rows without a doc_id stay
-    only if their component has no other.
+    Where that doc_id has several rows in the component, the first by a hash of the row stays. A row without a
+    doc_id stays only if its component has no row with one, and then the first by that hash. Rows of one doc_id in
+    several components are chosen in each for themselves.
     """
-    kept = near_duplicates(documents).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    row = Window.partitionBy("doc_id").orderBy(F.xxhash64(*documents.columns))
-    return (documents.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
-            .withColumn("_nth", F.row_number().over(row)).filter("_nth = 1").select(*documents.columns))
+    # Told by two hashes of the whole row, nulls marked; rows alike in both are copies.
+    whole = [x for c in documents.columns for x in (F.col(c).isNull(), F.col(c))]
+    told = documents.withColumns({"_row": F.xxhash64(*whole), "_row2": F.xxhash64(F.lit(1), *whole)})
+    marked = checkpointed(fingerprints(told, also=["_row", "_row2"]))
+    first = F.min(F.struct(F.col("key").isNull().alias("without"), "key", "_row", "_row2")).alias("kept")
+    kept = marked.join(_placed(marked), "fp").groupBy("component").agg(first).select("kept._row", "kept._row2")
+    return told.join(kept, ["_row", "_row2"], "left_semi").dropDuplicates(["_row", "_row2"]).select(*documents.columns)
 
 
 def op8_simhash(spark, sf_dir: str) -> DataFrame:

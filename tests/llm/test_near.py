@@ -49,6 +49,15 @@ def test_keep_one_keeps_columns_and_one_row(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == [1, 3, 4]
 
 
+def test_keep_one_chooses_in_every_component(spark):
+    draw = random.Random(14)
+    alone, (a, b, c) = [prose(draw, 60, 5000) for _ in range(5)], [prose(draw, 60, 5000) for _ in range(3)]
+    # Rows without an id, unrelated and twice; 5 on a copy of 3's text and on one of its own; no id beside one.
+    texts = [(None, t) for t in alone] + [(None, alone[0]), (3, a), (5, a), (5, b), (None, c), (8, c)]
+    kept = sorted(((r["doc_id"], r["text"]) for r in simhash.keep_one(docs(spark, texts)).collect()), key=str)
+    assert kept == sorted([(None, t) for t in alone] + [(3, a), (5, b), (8, c)], key=str)
+
+
 def test_dense_group_in_blocks_is_one_component(spark):
     draw = random.Random(4)
     values = {draw.getrandbits(64) for _ in range(30)}
