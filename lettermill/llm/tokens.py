@@ -125,10 +125,20 @@ def changes_of(documents: DataFrame, tokenizer: str, n_tokens: str = "n_tokens",
                             F.col(n_tokens).cast("bigint").alias("n_tokens"), F.coalesce("n_chars", F.lit(0)).cast("bigint").alias("n_chars"))
 
 
+def keyed(documents: DataFrame) -> DataFrame:
+    """``documents`` (doc_id, text, source, lang, ...) where rows without a doc_id have one of their own: a negative hash
+    of their content and of a number among rows of the same content, the same whenever they are read."""
+    content = [x for c in ("text", "source", "lang") for x in (F.col(c).isNull(), F.col(c))]
+    told = documents.filter("doc_id IS NULL").withColumns({"_row": F.xxhash64(*content), "_row2": F.xxhash64(F.lit(1), *content)})
+    nth = F.row_number().over(Window.partitionBy("_row", "_row2").orderBy("_row"))
+    own = F.xxhash64("_row", "_row2", nth).bitwiseOR(F.lit(-1 << 63))
+    return documents.filter("doc_id IS NOT NULL").unionByName(told.withColumn("doc_id", own).drop("_row", "_row2"))
+
+
 def op5_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents come in with an estimate, are revised to counted tokens, and those without a token leave; the
-    middle batch is sent twice. The totals are those of the counted documents."""
-    documents = table(spark, sf_dir, "documents")
+    middle batch is sent twice. The totals are those of the counted documents, with or without a doc_id."""
+    documents = keyed(table(spark, sf_dir, "documents"))
     sized = documents.select("doc_id", "text", "source", "lang", F.length(F.coalesce("text", F.lit(""))).cast("bigint").alias("n_chars"))
     store = TokenRollup(spark, fresh_dir(spark, "token-rollup"))
     estimate = F.ceil(F.col("n_chars") / 4)

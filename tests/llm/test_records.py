@@ -105,6 +105,13 @@ def test_pieces_cover_the_notice():
 # --- tokens ---
 
 
+def test_documents_without_an_id_are_all_counted(spark, tmp_path):
+    rows = [(None, "one two", "s"), (None, "one two", "s"), (None, "other words here", "s"), (None, "", "s"), (None, None, "s"), (4, "one two", "s"), (None, "one two", "t")]
+    docs(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted((r["source"], r["n_docs"], r["n_chars"]) for r in tokens.op5_tokens(spark, str(tmp_path)).collect())
+    assert got == [("s", 4, 7 + 7 + 16 + 7), ("t", 1, 7)]
+
+
 def test_rollup_is_idempotent_and_signed(spark):
     store = tokens.TokenRollup(spark, fresh_dir(spark, "rollup"))
     schema = "doc_id bigint, tokenizer string, source string, lang string, deleted boolean, n_tokens bigint, n_chars bigint"
