@@ -20,11 +20,12 @@ from lettermill.llm.common import letter_words, table
 
 @dataclass(frozen=True)
 class Notice:
-    """A notice in lower-case words, its label, and how many character errors it may have."""
+    """A notice in lower-case words, its label, how many character errors it may have, and a word that may have none."""
 
     label: str
     words: str
     max_errors: int = 2
+    sure: str | None = None
 
 
 # Fixed by the contract of the query: phrase and label.
@@ -42,6 +43,10 @@ NOTICES = (
     Notice("cc-by-nc", "licensed under cc by nc", 2),
     Notice("cc-by-sa", "creative commons attribution sharealike", 3),
     Notice("reserved", "all rights reserved", 1),
+    # The base phrases after any lead-in. What tells them from other licences (MPL, version 1.1, CC BY-ND) must stand.
+    Notice("mit", "under the mit license", 2, "mit"),
+    Notice("apache-2", "apache license version 2", 2, "2"),
+    Notice("cc-by-nc", "cc by nc", 1, "nc"),
 )
 
 SCAN_SCHEMA = (
@@ -108,7 +113,8 @@ class Scanner:
                 low = line.rfind(" ", 0, low) + 1
                 high = line.find(" ", high)
                 best = self.verify(i, line[low:] if high < 0 else line[low:high])
-                if best:
+                sure = self.notices[i].sure
+                if best and (sure is None or sure in line[low + best[0]:low + best[1]].split(" ")):
                     a, b, errors = low + best[0], low + best[1], best[2]
                     while a < b and line[a] == " ":
                         a += 1

@@ -102,6 +102,13 @@ def test_pieces_cover_the_notice():
         assert "".join(p for _, p in licences.pieces(notice)) == notice.words and len(licences.pieces(notice)) == notice.max_errors + 1
 
 
+def test_licences_after_other_lead_ins(spark):
+    texts = [(1, "Distributed under the MIT Licence", "a"), (2, "available under the Apache Lisense, Version 2.0", "a"), (3, "terms: CCBY-NC", "a"),
+             (4, "distributed under the MPL License", "a"), (5, "the Apache License, Version 1.1", "a"), (6, "under CC BY-ND", "a")]
+    got = {r["doc_id"]: r["labels"] for r in licences.scan_digest(licences.scan_licences(docs(spark, texts))).collect()}
+    assert got == {1: "mit", 2: "apache-2", 3: "cc-by-nc", 4: "", 5: "", 6: ""}
+
+
 # --- tokens ---
 
 
