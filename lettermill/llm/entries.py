@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lettermill.llm import chat, licences, mixing, passages, quantised, simhash, tokens, toxicity, warc, winnow
+from lettermill.llm import chat, licences, mixing, passages, quantised, simhash, token_files, tokens, toxicity, warc, winnow
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_simhash": simhash.op8_simhash,
     "op9_mixing": mixing.op9_mixing,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op11_token_files": token_files.op11_token_files,
 }
 ORACLES = {
     "op1_warc": warc.OP1_SQL,
