@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lettermill.llm import chat, licences, mixing, passages, quantised, simhash, token_files, tokens, toxicity, warc, winnow
+from lettermill.llm import chat, licences, mixing, negatives, passages, quantised, simhash, token_files, tokens, toxicity, warc, winnow
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_mixing": mixing.op9_mixing,
     "op10_toxicity": toxicity.op10_toxicity,
     "op11_token_files": token_files.op11_token_files,
+    "op12_negatives": negatives.op12_negatives,
 }
 ORACLES = {
     "op1_warc": warc.OP1_SQL,
@@ -24,4 +25,5 @@ ORACLES = {
     "op4_winnow": winnow.OP4_SQL,
     "op7_passages": passages.OP7_SQL,
     "op9_mixing": mixing.OP9_SQL,
+    "op12_negatives": negatives.OP12_SQL,
 }
