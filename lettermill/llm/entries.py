@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lettermill.llm import chat, licences, mixing, negatives, passages, quantised, simhash, token_files, tokens, toxicity, warc, winnow
+from lettermill.llm import chat, filter_audit, licences, mixing, negatives, passages, quantised, simhash, token_files, tokens, toxicity, warc, winnow
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_toxicity": toxicity.op10_toxicity,
     "op11_token_files": token_files.op11_token_files,
     "op12_negatives": negatives.op12_negatives,
+    "op13_filter_audit": filter_audit.op13_filter_audit,
 }
 ORACLES = {
     "op1_warc": warc.OP1_SQL,
@@ -26,4 +27,5 @@ ORACLES = {
     "op7_passages": passages.OP7_SQL,
     "op9_mixing": mixing.OP9_SQL,
     "op12_negatives": negatives.OP12_SQL,
+    "op13_filter_audit": filter_audit.OP13_SQL,
 }
