@@ -52,17 +52,15 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def broadcast_within(df: DataFrame, max_rows: int) -> DataFrame:
-    """``df`` with a broadcast hint if it has at most ``max_rows`` rows (they are counted), else as it is.
-
-    The rows must be narrow: the caller's bound times the row width is what each executor holds.
-    """
-    return F.broadcast(df) if df.count() <= max_rows else df
-
-
-def row_hash(*columns) -> "F.Column":
-    """A hash that spreads rows; the same for the same values."""
-    return F.xxhash64(*columns)
+def unused(columns: list[str], *names: str) -> list[str]:
+    """``names``, each with as many underscores in front as it takes to be in ``columns`` in no letter case."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:

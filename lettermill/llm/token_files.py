@@ -22,7 +22,8 @@ import json
 import re
 import struct
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 from math import ceil
 
 import numpy as np
@@ -38,13 +39,15 @@ RUN = 64
 ROW_TOKENS = 1 << 16
 BLOCK_TOKENS = 1 << 18
 FILE_TOKENS = 1 << 24
-KNOWN_PIECES = 500_000  # pieces whose ids a worker remembers; forgotten all at once when full, it only saves work
+KNOWN_PIECES = 300_000  # pieces whose ids a worker remembers, and stretches of them; it only saves work
 FILE, BLOCK = b"HTF1", b"HTB1"
 
 # A single space between characters that are no white space: byte-level pieces never reach across its left side.
 _BORDER = re.compile(r"(?<=\S) (?=\S)")
 _ODD_SPACE = re.compile(r"[^\S \n]")
 _ASCII_PIECES = re.compile(r"'(?:s|t|re|ve|m|ll|d)| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+", re.ASCII)
+# A word of Latin letters and what closes it: two pieces at most.
+_WORD = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([,.;:!?]*)")
 
 
 # --- ids of texts ---
@@ -76,50 +79,68 @@ class TextEncoder:
         # Byte-level pairs are over characters: a printable Latin-1 byte stands for itself, the others follow from 256 on.
         printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
         self.letters = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in printable)}
-        self.pieces: dict[str, bytes] = {}
-        self.after_space = _AfterSpace(self)
+        self.space = chr(self.letters[32])
+        self.by_word = self.by_piece and not any(_WORD.fullmatch(s) for s in self.special)
+        self.pieces, self.stretches = _Known(self._piece, known), _Known(self._after_border, known)
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _piece(self, letters: str) -> bytes:
         """Ids of a piece in the vocabulary's own letters."""
-        found = self.pieces.get(letters)
-        if found is None:
-            if len(self.pieces) >= self.known:
-                self.pieces.clear()
-            found = self.pieces[letters] = np.array([t.id for t in self.tokenizer.model.tokenize(letters)], "<u4").tobytes()
-        return found
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(letters)]).tobytes()
 
-    def stretch(self, text: str) -> bytes:
+    def _stretch(self, text: str) -> bytes:
         """Ids of a text that starts and ends where pieces do."""
         if any(s in text for s in self.special):
             return self._whole(text)
         if text.isascii():
-            return b"".join([self._piece(p.translate(self.letters)) for p in _ASCII_PIECES.findall(text)])
-        return b"".join([self._piece(p) for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)])
+            return b"".join([self.pieces[p.translate(self.letters)] for p in _ASCII_PIECES.findall(text)])
+        return b"".join([self.pieces[p] for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)])
+
+    def _after_border(self, rest: str) -> bytes:
+        """Ids of a stretch that comes after a border, given without its space; a line feed at its start it keeps."""
+        line = rest[0] == "\n"
+        word = self.by_word and _WORD.fullmatch(rest, line)
+        if not word:
+            return self._stretch(rest if line else " " + rest)
+        letters, close = word.groups()
+        if not letters.isascii():
+            letters = letters.encode().decode("latin-1").translate(self.letters)
+        found = self.pieces[letters] if line else self.pieces[self.space + letters]
+        if close:
+            found += self.pieces[close]
+        return self.pieces[chr(self.letters[10])] + found if line else found
 
     def __call__(self, text: str) -> bytes:
         if not self.by_piece:
             return self._whole(text)
         if not text:
             return b""
-        plain = not ("  " in text or " \n" in text or "\n " in text or text[0].isspace() or text[-1].isspace() or _ODD_SPACE.search(text))
-        first, *rest = text.split(" ") if plain else _BORDER.split(text)
-        return self.stretch(first) + b"".join(map(self.after_space.__getitem__, rest))
+        if ("  " in text or "\n\n" in text or " \n" in text or "\n " in text or text[0].isspace() or text[-1].isspace()
+                or _ODD_SPACE.search(text)):
+            first, *rest = _BORDER.split(text)
+        else:
+            # A line feed between other characters is a piece of its own, so what comes before it ends there.
+            first, *rest = text.replace("\n", " \n").split(" ")
+        return self._stretch(first) + b"".join(map(self.stretches.__getitem__, rest))
 
 
-class _AfterSpace(dict):
-    """Ids of a stretch with the space before it."""
+class _Known(dict):
+    """What was worked out lately: at most twice ``size`` values, of which those not asked for longest go."""
 
-    def __init__(self, encoder: TextEncoder) -> None:
+    def __init__(self, work_out: Callable[[str], bytes], size: int) -> None:
         super().__init__()
-        self.encoder = encoder
+        self.work_out, self.size, self.before = work_out, size, {}
 
-    def __missing__(self, rest: str) -> bytes:
-        if len(self) >= self.encoder.known:
+    def __missing__(self, key: str) -> bytes:
+        found = self.before.get(key)
+        if found is None:
+            found = self.work_out(key)
+        if len(self) >= self.size:
+            self.before = self.copy()
             self.clear()
-        found = self[rest] = self.encoder.stretch(" " + rest)
+        self[key] = found
         return found
 
 
