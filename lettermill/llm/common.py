@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Patterns of the word forms the operators count in; the same text works in Java, RE2 and Python.
@@ -29,16 +28,14 @@ def letter_words(text: str | None) -> list[bytes]:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share. Only where none is configured (tests) is one made."""
+    """The folder all executors share, as configured."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if configured:
         return configured.rstrip("/")
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get().rstrip("/")
-    made = f"file://{tempfile.mkdtemp(prefix='lettermill-')}"
-    spark.sparkContext.setCheckpointDir(made)
-    return made
+    raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
 
 
 def fresh_dir(spark: SparkSession, name: str) -> str:
@@ -63,6 +60,17 @@ def unused(columns: list[str], *names: str) -> list[str]:
     return out
 
 
+def row_hashes(df: DataFrame) -> tuple[Column, Column]:
+    """Two hashes of the whole row, nulls marked: rows alike in both are copies. Columns that Spark cannot hash (maps,
+    variants) go in as JSON."""
+    whole = []
+    for f in df.schema.fields:
+        own = F.col(f"`{f.name}`")
+        plain = not any(kind in f.dataType.simpleString() for kind in ("map<", "variant"))
+        whole += [own.isNull(), own if plain else F.to_json(F.struct(own.alias("c")))]
+    return F.xxhash64(*whole), F.xxhash64(F.lit(1), *whole)
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, component) for every node of ``edges`` (a, b); ``component`` is the smallest node reachable.
 

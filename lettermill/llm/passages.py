@@ -16,18 +16,21 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from math import ceil
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lettermill.llm.common import table
+from lettermill.llm.common import table, unused
 
 WINDOW = 20
 GRAM = 10
-SHARD_BYTES = 6 << 20
+HEAD = 4  # words of a phrase that its shard's automaton looks for
+SHARD_BYTES = 12 << 20
 PIECE = 1 << 20
+RESULTS = ("n_words", "n_removed", "kept_text")
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _FIRST, _SECOND = 0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F
 
@@ -194,53 +197,70 @@ class _Shard:
         self.documents.append((doc_id, text_hash, line))
         self.words.append(word_hashes(line))
 
-    def automaton(self, gram: int, width: int):
-        """Compiled from the texts of the phrases of these documents that recur anywhere; None if none do."""
+    def recurs(self, grams: np.ndarray) -> np.ndarray:
+        """Whether these are recurring phrases of the shard."""
+        return self.wanted[np.minimum(np.searchsorted(self.wanted, grams), len(self.wanted) - 1)] == grams
+
+    def automaton(self, window: int, gram: int):
+        """Compiled from the heads of the phrases of these documents that recur anywhere; None if none do.
+
+        A head is the phrase's first ``HEAD`` words. What follows a head is compared by the phrase's hash.
+        """
         import ahocorasick
 
-        wanted = np.sort(np.concatenate(self.hashes)) if self.hashes else np.empty(0, np.uint64)
-        if not len(wanted):
+        self.wanted = np.sort(np.concatenate(self.hashes)) if self.hashes else np.empty(0, np.uint64)
+        if not len(self.wanted):
             return None
-        found, known = ahocorasick.Automaton(ahocorasick.STORE_LENGTH), set()
+        found, known, head = ahocorasick.Automaton(ahocorasick.STORE_LENGTH), set(), min(HEAD, gram)
         for (_, _, line), hashes in zip(self.documents, self.words):
             grams = gram_hashes(hashes, gram)
-            places = kept_places(grams, width)
-            own = grams[places]
-            places = places[wanted[np.minimum(np.searchsorted(wanted, own), len(wanted) - 1)] == own]
+            places = kept_places(grams, window - gram + 1)
+            places = places[self.recurs(grams[places])]
             if len(places):
                 words = None
                 for p, h in zip(places.tolist(), grams[places].tolist()):
                     if h not in known:
                         known.add(h)
                         words = words or line.split(b" ")
-                        found.add_word(f" {b' '.join(words[p:p + gram]).decode()} ")
+                        found.add_word(f" {b' '.join(words[p:p + head]).decode()} ")
         if not known:
             return None
         found.make_automaton()
         return found
 
     def locate(self, window: int, gram: int) -> Iterator[tuple[np.ndarray, ...]]:
-        """Per document with recurring phrases: its place here, the candidate starts and their two hashes."""
-        automaton = self.automaton(gram, window - gram + 1)
+        """Per document with recurring phrases: its place here, the candidate starts and their two hashes.
+
+        A window is a candidate if a recurring phrase stands in it and the one of its phrases with the smallest hash
+        recurs: equal windows have the same one.
+        """
+        automaton = self.automaton(window, gram)
         if automaton is None:
             return
-        first_hash, second_hash = _WindowHashes(_FIRST), _WindowHashes(_SECOND)
+        first_hash, second_hash, head = _WindowHashes(_FIRST), _WindowHashes(_SECOND), min(HEAD, gram)
         for place, (_, _, line) in enumerate(self.documents):
-            padded = f" {line.decode()} "
-            ends = np.fromiter((end for end, _ in automaton.iter(padded)), np.int64)
-            if not len(ends):
-                continue
-            raw = np.frombuffer(padded.encode(), np.uint8)
-            spaces = (np.cumsum((raw & 0xC0) != 0x80) - 1)[raw == 32]  # in characters, as the automaton counts
-            first = np.unique(np.searchsorted(spaces, ends) - gram)
             words = self.words[place]
             n = len(words) - window + 1
             if n <= 0:
                 continue
+            padded = f" {line.decode()} "
+            ends = np.fromiter(map(itemgetter(0), automaton.iter(padded)), np.int64)
+            if not len(ends):
+                continue
+            raw = np.frombuffer(line, np.uint8)
+            spaces = np.flatnonzero(raw == 32) + 1
+            if len(padded) != len(line) + 2:  # the automaton counts in characters
+                spaces -= np.cumsum((raw & 0xC0) == 0x80)[spaces - 1]
+            spaces = np.concatenate([[0], spaces, [len(padded) - 1]])
+            grams = gram_hashes(words, gram)
+            first = np.unique(np.searchsorted(spaces, ends) - head)
+            first = first[first < len(grams)]
+            first = first[self.recurs(grams[first])]
             edge = np.zeros(n + 1, np.int64)
             np.add.at(edge, np.maximum(first - (window - gram), 0), 1)
             np.add.at(edge, np.minimum(first + 1, n), -1)
             starts = np.flatnonzero(np.cumsum(edge[:n]) > 0)
+            starts = starts[self.recurs(_running(np.minimum, grams, window - gram + 1)[starts])]
             yield place, starts, first_hash.at(words, starts, window), second_hash.at(words, starts, window)
 
     def rows(self, window: int, gram: int) -> Iterator[dict]:
@@ -254,13 +274,14 @@ class _Shard:
         order = np.lexsort((start, place, two, one))
         place, start, one, two = place[order], start[order], one[order], two[order]
         later = np.concatenate([[False], (one[1:] == one[:-1]) & (two[1:] == two[:-1])])
-        ids = np.array([d[0] for d in self.documents], object)
+        unnamed = np.array([d[0] is None for d in self.documents])
+        ids = np.array([d[0] or 0 for d in self.documents], np.int64)
         hashes = np.array([d[1] for d in self.documents], np.int64)
         first = np.flatnonzero(~later)
         first = first[np.lexsort((start[first], place[first]))]  # rows of a document together compress well
         for at in range(0, len(first), 200_000):
             chosen = first[at:at + 200_000]
-            yield {"one": one[chosen].view(np.int64), "two": two[chosen].astype(np.uint32).view(np.int32), "doc_id": pa.array(ids[place[chosen]], pa.int64()),
+            yield {"one": one[chosen].view(np.int64), "two": two[chosen].astype(np.uint32).view(np.int32), "doc_id": pa.array(ids[place[chosen]], mask=unnamed[place[chosen]]),
                    "text_hash": hashes[place[chosen]], "start": start[chosen].astype(np.int32), "stop": pa.nulls(len(chosen), pa.int32())}
         again = np.flatnonzero(later)
         if len(again):
@@ -270,7 +291,7 @@ class _Shard:
             new = np.concatenate([[True], (p[1:] != p[:-1]) | (s[1:] > s[:-1] + window)])
             begin = np.flatnonzero(new)
             end = np.concatenate([begin[1:], [len(s)]]) - 1
-            yield {"one": hashes[p[begin]], "two": pa.nulls(len(begin), pa.int32()), "doc_id": pa.array(ids[p[begin]], pa.int64()),
+            yield {"one": hashes[p[begin]], "two": pa.nulls(len(begin), pa.int32()), "doc_id": pa.array(ids[p[begin]], mask=unnamed[p[begin]]),
                    "text_hash": hashes[p[begin]], "start": s[begin].astype(np.int32), "stop": (s[end] + window).astype(np.int32)}
 
 
@@ -318,22 +339,25 @@ def later_windows(documents: DataFrame, window: int = WINDOW, gram: int = GRAM,
             .select("doc_id", "text_hash", "start", "stop"))
 
 
-def remove_passages(documents: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """``documents`` with ``n_words``, ``n_removed`` and ``kept_text``: the words left, joined by one space.
+def remove_passages(documents: DataFrame, window: int = WINDOW, gram: int = GRAM, results: tuple[str, str, str] = RESULTS) -> DataFrame:
+    """``documents`` with n_words, n_removed and kept_text: the words left, joined by one space.
 
-    A word goes if a window of ``window`` words that also starts earlier covers it; windows are judged on the
-    texts as they come. Null and blank texts have no words; texts of fewer words than a window stay whole.
-    ``doc_id`` must be a whole number or null.
+    These columns have the names ``results``, and replace columns of the same names; all others stay. A word goes if a
+    window of ``window`` words that also starts earlier covers it; windows are judged on the texts as they come. Null
+    and blank texts have no words; texts of fewer words than a window stay whole. ``doc_id`` must be a whole number
+    or null.
     """
+    documents = documents.drop(*results)
+    doc, text_hash, starts, ranges = unused([*documents.columns, *results], "doc", "text_hash", "starts", "ranges")
     # Null ids get a number of their own, so that both sides are dealt by the same two columns.
-    key = F.coalesce("doc_id", F.lit(-(1 << 63))).alias("_id")
-    later = later_windows(documents, window, gram).select(key, F.col("text_hash").alias("_hash"), "start", "stop")
+    key = F.coalesce("doc_id", F.lit(-(1 << 63))).alias(doc)
+    later = later_windows(documents.select("doc_id", "text"), window, gram).select(key, F.col("text_hash").alias(text_hash), "start", "stop")
     single = F.col("stop").isNull()
-    found = later.groupBy("_id", "_hash").agg(  # lists of one document, as long as it at most
-        F.collect_list(F.when(single, F.col("start"))).alias("_starts"),
-        F.collect_list(F.when(~single, F.struct("start", "stop"))).alias("_ranges"))
-    keyed = packed(documents.select("*", key, _text_hash().alias("_hash")))
-    joined = keyed.join(found, ["_id", "_hash"], "left").select(*documents.columns, "_starts", "_ranges")
+    found = later.groupBy(doc, text_hash).agg(  # lists of one document, as long as it at most
+        F.collect_list(F.when(single, F.col("start"))).alias(starts),
+        F.collect_list(F.when(~single, F.struct("start", "stop"))).alias(ranges))
+    keyed = packed(documents.select("*", key, _text_hash().alias(text_hash)))
+    joined = keyed.join(found, [doc, text_hash], "left").select(*[f"`{c}`" for c in documents.columns], starts, ranges)
     names, at = documents.columns, documents.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -360,9 +384,9 @@ def remove_passages(documents: DataFrame, window: int = WINDOW, gram: int = GRAM
                 texts.append(line.decode())
             columns = [pa.array(whole, pa.string()) if i == at else batch.column(i) for i in range(batch.num_columns - 2)]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(texts, pa.string())],
-                                             [*names, "n_words", "n_removed", "kept_text"])
+                                             [*names, *results])
 
-    new = [F.lit(None).cast(t).alias(c) for c, t in (("n_words", "bigint"), ("n_removed", "bigint"), ("kept_text", "string"))]
+    new = [F.lit(None).cast(t).alias(c) for c, t in zip(results, ("bigint", "bigint", "string"))]
     return joined.mapInArrow(run, documents.select("*", *new).schema)
 
 
