@@ -2,29 +2,28 @@
 
 Spark sums document sizes per membership pattern; the flow between the few patterns and sources is worked
 out on the driver; Spark then selects documents in a seeded order. What reaches the driver is one row per
-source and one per membership pattern.
+membership pattern.
 """
 
 from __future__ import annotations
 
-from collections import deque
 from collections.abc import Mapping, Sequence
-from math import floor
+from math import ceil, floor, log
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lettermill.llm.common import SPACED_WORDS, table
+from lettermill.llm.common import fresh_dir, table, unused
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MAX_COPIES = 2
-BUCKET_DIGITS = 3  # hex digits: 4,096 ranges of the seeded order
+RANGE_ROWS = 4096  # rows a range of the seeded order has about, if none of the patterns is hot
 
 
 def word_count(text: Column) -> Column:
     """Number of words between white space; 0 for null."""
-    return F.coalesce(F.regexp_count(text, F.lit(SPACED_WORDS)), F.lit(0)).cast("bigint")
+    return F.coalesce(F.regexp_count(text, F.lit(r"\S+")), F.lit(0)).cast("bigint")  # \s is ASCII white space
 
 
 def source_order(names: Sequence[str | None]) -> list[str | None]:
@@ -55,77 +54,115 @@ def targets(sizes: Mapping[str | None, int], weights: Sequence[int] = WEIGHTS, s
     return {n: out.get(n, weight[n] * level) for n in names}
 
 
+class _Network:
+    """Arcs with capacities, and flow pushed through them by blocking flows: all shortest paths of a length at once."""
+
+    def __init__(self, nodes: int) -> None:
+        self.out: list[list[int]] = [[] for _ in range(nodes)]
+        self.to: list[int] = []
+        self.room: list[int] = []
+
+    def arc(self, a: int, b: int, capacity: int) -> int:
+        """The number of a new arc; the next number is its way back."""
+        self.out[a].append(len(self.to))
+        self.out[b].append(len(self.to) + 1)
+        self.to += [b, a]
+        self.room += [capacity, 0]
+        return len(self.to) - 2
+
+    def _levels(self, begin: int, end: int) -> list[int]:
+        level = [-1] * len(self.out)
+        level[begin], front = 0, [begin]
+        while front and level[end] < 0:
+            reached = []
+            for a in front:
+                for arc in self.out[a]:
+                    b = self.to[arc]
+                    if self.room[arc] > 0 and level[b] < 0:
+                        level[b] = level[a] + 1
+                        reached.append(b)
+            front = reached
+        return level
+
+    def fill(self, begin: int, end: int) -> None:
+        """Pushes as much as goes from ``begin`` to ``end``."""
+        while True:
+            level, nth = self._levels(begin, end), [0] * len(self.out)
+            if level[end] < 0:
+                return
+            path: list[int] = []
+            at = begin
+            while True:
+                if at == end:
+                    least = min(self.room[arc] for arc in path)
+                    for arc in path:
+                        self.room[arc] -= least
+                        self.room[arc ^ 1] += least
+                    cut = next(i for i, arc in enumerate(path) if not self.room[arc])
+                    at = self.to[path[cut] ^ 1]
+                    del path[cut:]
+                    continue
+                arcs = self.out[at]
+                while nth[at] < len(arcs) and not (self.room[arcs[nth[at]]] > 0 and level[self.to[arcs[nth[at]]]] == level[at] + 1):
+                    nth[at] += 1
+                if nth[at] < len(arcs):
+                    path.append(arcs[nth[at]])
+                    at = self.to[path[-1]]
+                elif path:
+                    at = self.to[path.pop() ^ 1]
+                    nth[at] += 1
+                else:
+                    break
+
+
 def route(patterns: Mapping[tuple, int], quotas: Mapping[str | None, int], copies: int = MAX_COPIES) -> dict[tuple, dict]:
     """Tokens each membership pattern gives to each of its sources: a flow that fills the quotas as far as
     possible and, among those, costs least.
 
     The k-th copy of a token costs more than the (k-1)-th, so the costs are convex, and they lie on the arcs
-    that leave the origin only: opening those arcs copy by copy and augmenting to the limit each time gives
-    the least cost. Augmenting is by shortest paths, so its length depends on patterns and sources, not on
-    their sizes.
+    that leave the origin only: opening those arcs copy by copy and filling to the limit each time gives
+    the least cost. Paths have three arcs where sources do not overlap, so their patterns, however many, are filled at
+    once; the length of others depends on patterns and sources, not on their sizes.
     """
-    names = list(patterns)
-    arc: dict[object, dict[object, int]] = {"origin": {}, "end": {}}
-
-    def add(a, b, capacity):
-        arc.setdefault(a, {})[b] = arc.setdefault(a, {}).get(b, 0) + capacity
-        arc.setdefault(b, {}).setdefault(a, 0)
-
-    total = sum(quotas.values())
-    for i, pattern in enumerate(names):
-        add("origin", ("pattern", i), 0)
-        for source in pattern:
-            add(("pattern", i), ("source", source), total)
+    names, place = list(patterns), {source: 1 + len(patterns) + i for i, source in enumerate(quotas)}
+    end = 1 + len(patterns) + len(quotas)
+    network = _Network(end + 1)
+    opened = [network.arc(0, 1 + i, 0) for i in range(len(names))]
+    given = [{s: network.arc(1 + i, place[s], copies * patterns[pattern]) for s in pattern} for i, pattern in enumerate(names)]
     for source, quota in quotas.items():
-        add(("source", source), "end", quota)
+        network.arc(place[source], end, quota)
     for _ in range(copies):
-        for i, pattern in enumerate(names):
-            arc["origin"][("pattern", i)] += patterns[pattern]
-        while True:
-            came, queue = {"origin": None}, deque(["origin"])
-            while queue and "end" not in came:
-                a = queue.popleft()
-                for b, capacity in arc[a].items():
-                    if capacity > 0 and b not in came:
-                        came[b] = a
-                        queue.append(b)
-            if "end" not in came:
-                break
-            path, b = [], "end"
-            while came[b] is not None:
-                path.append((came[b], b))
-                b = came[b]
-            least = min(arc[a][b] for a, b in path)
-            for a, b in path:
-                arc[a][b] -= least
-                arc[b][a] += least
-    return {pattern: {s: arc[("source", s)][("pattern", i)] for s in pattern} for i, pattern in enumerate(names)}
+        for arc, pattern in zip(opened, names):
+            network.room[arc] += patterns[pattern]
+        network.fill(0, end)
+    return {pattern: {s: network.room[arc + 1] for s, arc in arcs.items()} for pattern, arcs in zip(names, given)}
 
 
 def mix(documents: DataFrame, members: Column, size: Column, key: Column, seed: int = 7,
-        weights: Sequence[int] = WEIGHTS, share: float = SHARE, copies: int = MAX_COPIES,
-        max_patterns: int = 100_000) -> tuple[DataFrame, dict[str | None, int], dict[str | None, float]]:
+        weights: Sequence[int] = WEIGHTS, share: float = SHARE, copies: int = MAX_COPIES) -> tuple[DataFrame, dict[str | None, int], dict[str | None, float]]:
     """Documents with what the mix takes of them, and size and target per source.
 
     ``members`` is the array of sources a document belongs to (an element may be null). Adds ``size``,
-    ``parts`` (array of source, taken) and ``taken`` (their sum, repeats counted, at most ``copies`` times the
-    size); columns of these names are replaced. Documents of a pattern stand in an order drawn by seed and ``key`` (null keys first); the pattern
-    gives its routed tokens from the front of that order, whole rounds first, so only one document per
-    pattern and source is cut. Equal keys are ordered by size. Source and pattern rows pass through the
-    driver; more than ``max_patterns`` of them is an error.
-
-    A pattern, however hot, is dealt into 4,096 ranges of the order; sums per range tell where each begins.
+    ``parts`` (array of source, taken, source_size, target) and ``taken`` (their sum, repeats counted, at most
+    ``copies`` times the size); columns of these names are replaced, all others stay. Documents of a pattern stand in an
+    order drawn by seed and ``key`` (null keys first); the pattern gives its routed tokens from the front of that order,
+    whole rounds first, so only one document per pattern and source is cut. Equal keys are ordered by size. One row per
+    membership pattern passes through the driver, where the flow is worked out.
+
+    ``documents`` are staged with their sizes, so these are counted once. A pattern, however hot, is dealt into ranges
+    of the order, the more the larger the table; sums per range tell where each begins.
     """
-    documents = documents.select("*", members.alias("_given"), size.alias("_words"), key.alias("_key")).drop("size", "parts", "taken")
-    kept = [c for c in documents.columns if c not in ("_given", "_words", "_key")]
-    key = F.col("_key")
-    order = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit(""))))
-    sized = (documents.withColumns({"_members": F.array_sort(F.array_distinct("_given")), "size": F.col("_words"), "_order": order})
-             .withColumn("_range", F.substring("_order", 1, BUCKET_DIGITS)))
-    rows = sized.groupBy("_members").agg(F.sum("size").alias("n")).limit(max_patterns + 1).collect()
-    if len(rows) > max_patterns:
-        raise ValueError(f"more than {max_patterns} membership patterns")
-    patterns = {tuple(r["_members"] or ()): int(r["n"]) for r in rows}
+    spark = documents.sparkSession
+    given_as, words, key_as, members_as, order_as, range_as, upto = unused(
+        [*documents.columns, "size", "parts", "taken"], "given", "words", "key", "members", "order", "range", "upto")
+    place = fresh_dir(spark, "sized-documents")
+    documents.select("*", F.coalesce(F.array_sort(F.array_distinct(members)), F.array().cast("array<string>")).alias(members_as), size.alias(words), key.alias(key_as)).drop(
+        "size", "parts", "taken").withColumnRenamed(words, "size").write.parquet(place)
+    documents = spark.read.parquet(place)
+    kept = [c for c in documents.columns if c not in (members_as, key_as, "size")]
+    rows = documents.groupBy(F.col(members_as).alias("members")).agg(F.sum("size").alias("n"), F.count("*").alias("rows")).collect()
+    patterns = {tuple(r["members"] or ()): int(r["n"]) for r in rows}
+    digits = max(1, ceil(log(max(1, sum(r["rows"] for r in rows) / RANGE_ROWS), 16)))
     sizes: dict[str | None, int] = {}
     for pattern, n in patterns.items():
         for source in pattern:
@@ -138,33 +175,34 @@ def mix(documents: DataFrame, members: Column, size: Column, key: Column, seed:
     for pattern, n in patterns.items():
         at, parts = 0, []
         for source in pattern:
-            parts.append((source, at, at + flow[pattern][source]))
+            parts.append((source, at, at + flow[pattern][source], sizes[source], wanted[source]))
             at += flow[pattern][source]
         stretches.append((list(pattern), n, parts))
-    spark = documents.sparkSession
     routes = spark.createDataFrame(
-        stretches, "_members array<string>, _pattern_size bigint, _routes array<struct<source: string, begin: bigint, end: bigint>>")
-    ranges = sized.groupBy("_members", "_range").agg(F.sum("size").alias("_n"))
-    before = Window.partitionBy("_members").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = ranges.select("_members", "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_begin"))
-    # Each list is one row per pattern, or 4,096 at most: the pattern count is checked above.
-    ranges = ranges.join(F.broadcast(routes), ranges["_members"].eqNullSafe(routes["_members"])).drop(routes["_members"])
-    inside = Window.partitionBy("_members", "_range").orderBy("_order", "_key", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = sized.withColumn("_upto", F.sum("size").over(inside))
-    ranges = ranges.select(F.col("_members").alias("_m"), F.col("_range").alias("_r"), "_begin", "_pattern_size", "_routes")
-    joined = placed.join(ranges, placed["_members"].eqNullSafe(ranges["_m"]) & (placed["_range"] == ranges["_r"]))
-    start = F.col("_begin") + F.col("_upto") - F.col("size")
+        stretches, "m array<string>, pattern_size bigint, routes array<struct<source: string, begin: bigint, end: bigint, source_size: bigint, target: double>>")
+    order = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key_as).cast("string"), F.lit(""))))
+    sized = documents.withColumn(order_as, order).withColumn(range_as, F.substring(order_as, 1, digits))
+    ranges = sized.groupBy(F.col(members_as).alias("members"), F.col(range_as).alias("r")).agg(F.sum("size").alias("n"))
+    before = Window.partitionBy("members").orderBy("r").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.select("members", "r", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("range_begin"))
+    facts = ranges.join(routes, ranges["members"].eqNullSafe(routes["m"])).select(
+        F.struct("members", "r", "range_begin", "pattern_size", "routes").alias(given_as))
+    inside = Window.partitionBy(members_as, range_as).orderBy(order_as, key_as, "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = sized.withColumn(upto, F.sum("size").over(inside))
+    fact = F.col(given_as)
+    joined = placed.join(facts, F.col(members_as).eqNullSafe(fact["members"]) & (F.col(range_as) == fact["r"]))
+    start = fact["range_begin"] + F.col(upto) - F.col("size")
 
     def given(one: Column) -> Column:
         value = F.lit(0).cast("bigint")
         for copy in range(copies):
-            low = start + F.col("_pattern_size") * copy
+            low = start + fact["pattern_size"] * copy
             value = value + F.greatest(F.lit(0).cast("bigint"), F.least(low + F.col("size"), one["end"]) - F.greatest(low, one["begin"]))
-        return F.struct(one["source"].alias("source"), value.alias("taken"))
+        return F.struct(one["source"].alias("source"), value.alias("taken"), one["source_size"].alias("source_size"), one["target"].alias("target"))
 
-    parts = joined.withColumn("parts", F.transform("_routes", given))
+    parts = joined.withColumn("parts", F.transform(fact["routes"], given))
     taken = F.aggregate("parts", F.lit(0).cast("bigint"), lambda total, p: total + p["taken"])
-    return parts.select(*kept, "size", "parts", taken.alias("taken")), sizes, wanted
+    return parts.select(*[f"`{c}`" for c in kept], "size", "parts", taken.alias("taken")), sizes, wanted
 
 
 def mix_documents(documents: DataFrame, seed: int = 7) -> DataFrame:
@@ -172,13 +210,10 @@ def mix_documents(documents: DataFrame, seed: int = 7) -> DataFrame:
 
     Null text has size 0; a null source is a source of its own; an empty table gives an empty result.
     """
-    spark = documents.sparkSession
-    narrow = documents.select("doc_id", "source", word_count(F.col("text")).alias("_size"))
-    mixed, sizes, wanted = mix(narrow, F.array("source"), F.col("_size"), F.col("doc_id"), seed)
-    facts = spark.createDataFrame([(s, sizes[s], wanted[s]) for s in sizes], "_source string, source_size bigint, target double")
-    # One row per source, at most max_patterns of them.
-    return (mixed.join(F.broadcast(facts), mixed["source"].eqNullSafe(facts["_source"]))
-            .select("doc_id", "source", "size", "source_size", "target", "taken"))
+    narrow = documents.select("doc_id", "source", word_count(F.col("text")).alias("words"))
+    mixed, _, _ = mix(narrow, F.array("source"), F.col("words"), F.col("doc_id"), seed)
+    only = F.col("parts")[0]
+    return mixed.select("doc_id", "source", "size", only["source_size"].alias("source_size"), only["target"].alias("target"), "taken")
 
 
 def op9_mixing(spark, sf_dir: str) -> DataFrame:
