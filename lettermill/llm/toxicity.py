@@ -11,17 +11,16 @@ import re
 from collections import Counter
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
-from math import exp, lgamma, log, log1p
+from math import ceil, exp, log, log1p
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lettermill.llm.common import LETTER_WORDS, UPPER, LOWER, letter_words, table
+from lettermill.llm.common import LETTER_WORDS, LOWER, UPPER, fresh_dir, letter_words, table, unused
 
 SAMPLE_ROWS = 30_000  # labelled rows the lexicon and the weights are fitted on, drawn by a hash of doc_id
-MAX_TERMS = 5_000  # terms of the lexicon, and words exempt from it: the strongest ones
 PREFIXES = range(3, 9)
 SURE = 0.8  # share of toxic documents among those that hold a term
 CONTEXT = 6  # words on either side of a hit
@@ -181,13 +180,24 @@ def _marks(words: set[bytes]) -> set[str]:
 
 
 def _tail(t: int, n: int, share: float) -> float:
-    """Logarithm of the chance that of n documents t or more are toxic, if each is with that share."""
-    logs = [lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1) + k * log(share) + (n - k) * log(1 - share) for k in range(t, min(n, t + 50) + 1)]
-    most = max(logs)
-    return most + log(sum(exp(x - most) for x in logs))
+    """Logarithm of the chance that of n documents t or more are toxic, if each is with that share: the whole tail."""
+    k = np.arange(t, n + 1)
+    if not len(k):
+        return -np.inf
+    # Sums of logarithms: log C(n, k) for all k at once.
+    factorial = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, n + 1)))])
+    logs = factorial[n] - factorial[k] - factorial[n - k] + k * log(share) + (n - k) * log(1 - share)
+    most = logs.max()
+    return float(most + log(np.exp(logs - most).sum()))
 
 
-def choose_terms(counts: Mapping[str, tuple[int, int]], toxic: int, clean: int, tests: int, max_terms: int = MAX_TERMS) -> dict[str, float]:
+def least_count(toxic: int, clean: int, tests: int) -> int:
+    """Toxic documents a mark needs to stand out beyond chance even if no clean one holds it."""
+    share, limit = toxic / (toxic + clean), log(0.05 / max(1, tests))
+    return max(2, ceil(limit / log(share) - 1e-9))
+
+
+def choose_terms(counts: Mapping[str, tuple[int, int]], toxic: int, clean: int, tests: int) -> dict[str, float]:
     """Terms and weights from (toxic, clean) documents per mark.
 
     A term must be sure (``SURE``) and stand out beyond chance, given how many marks were tried. The weight is
@@ -214,8 +224,7 @@ def choose_terms(counts: Mapping[str, tuple[int, int]], toxic: int, clean: int,
         chosen[term] = weight[term]
         letters = term.rstrip("*")
         covered.update([term, *longer.get(term, []), *(letters[:k] + "*" for k in range(1, len(letters) + 1))])
-    strongest = sorted(chosen, key=lambda m: (-good[m][0] * chosen[m], m))[:max_terms]
-    return {m: chosen[m] for m in strongest}
+    return chosen
 
 
 @dataclass
@@ -286,22 +295,28 @@ def _counted(sample: DataFrame, marks) -> DataFrame:
             .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")))
 
 
-def fit(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, max_terms: int = MAX_TERMS) -> Model:
+def fit(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     """A model from the labelled training rows among ``documents``; only their texts and labels are used.
 
+    The rows are at most ``sample_rows``; their texts are staged, so ``documents`` is read once. All marks of theirs that
+    pass the test become terms, and all their doubtful words are exempt: the sample alone bounds how many they are.
+
     Without toxic or without clean rows there is nothing to tell apart: all texts get the share of toxic rows.
     """
-    sample = _sample(documents, labels, sample_rows)
+    place = fresh_dir(documents.sparkSession, "toxicity-sample")
+    _sample(documents, labels, sample_rows).write.parquet(place)
+    sample = documents.sparkSession.read.parquet(place)
     total = sample.agg(F.count_if(F.col("toxic") > 0), F.count_if(F.col("toxic") <= 0)).first()
     toxic, clean = int(total[0]), int(total[1])
     if not toxic or not clean:
         return Model(base=1.0 if toxic else 0.0)
     marked = _counted(sample, lambda text: _marks(set(letter_words(text))))
-    # Marks that could be sure: the strongest of them, 20 per term.
+    # Marks that could be sure. Those in too few documents to stand out, whoever they are, stay out of the driver's way.
     likely = marked.filter((F.col("toxic") >= 2) & (F.col("toxic") >= SURE * (F.col("toxic") + F.col("clean"))))
     tests = toxic * len(PREFIXES) * 100
-    rows = likely.orderBy(F.desc("toxic"), "mark").limit(20 * max_terms).collect()
-    terms = choose_terms({r["mark"]: (r["toxic"], r["clean"]) for r in rows}, toxic, clean, tests, max_terms)
+    fewest = least_count(toxic, clean, tests)
+    rows = likely.filter(F.col("toxic") >= fewest).collect()
+    terms = choose_terms({r["mark"]: (r["toxic"], r["clean"]) for r in rows}, toxic, clean, tests)
 
     def near(text: str | None, lexicon: list = []) -> set[str]:  # noqa: B006  (compiled once per worker)
         if not lexicon:
@@ -310,7 +325,7 @@ def fit(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS,
 
     # Words within reach of a term that stand in clean documents as a matter of course are not misspellings.
     doubtful = _counted(sample, near).filter((F.col("clean") >= 2) & (F.col("clean") * toxic >= F.col("toxic") * clean * F.lit(0.2)))
-    exempt = [r["mark"] for r in doubtful.orderBy(F.desc("clean"), "mark").limit(max_terms).collect()]
+    exempt = [r["mark"] for r in doubtful.select("mark").collect()]
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = Lexicon(terms, exempt)
@@ -340,9 +355,9 @@ def score_texts(documents: DataFrame, model: Model, text: str = "text", out: str
 
 
 def drop_toxic(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents scored under 0.5; the columns stay."""
-    scored = score_texts(documents, fit(documents, labels), out="_toxicity")
-    return scored.filter("_toxicity < 0.5").select(*documents.columns)
+    """The documents scored under 0.5; the columns stay, whatever their names."""
+    score, = unused(documents.columns, "toxicity")
+    return score_texts(documents, fit(documents, labels), out=score).filter(F.col(score) < 0.5).drop(score)
 
 
 def op10_toxicity(spark, sf_dir: str) -> DataFrame:
