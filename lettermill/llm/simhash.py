@@ -1,9 +1,9 @@
 """SimHash near-duplicates: candidates that share blocks, pivot distance tables, verified distances.
 
 Fingerprints of at most ``MAX_DISTANCE`` differing bits agree on two of six blocks of bits, so those are the
-keys under which they meet. There a table of Hamming distances to reference fingerprints is worked out:
-by the triangle inequality two fingerprints are never closer than the largest difference of their
-coordinates, so most pairs are discarded without being compared. Survivors are verified.
+keys under which they meet. Every distinct fingerprint carries a table of its Hamming distances to reference
+fingerprints, worked out once: by the triangle inequality two fingerprints are never closer than the largest
+difference of their coordinates, so most pairs are discarded without being compared. Survivors are verified.
 """
 
 from __future__ import annotations
@@ -16,13 +16,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lettermill.llm.common import checkpointed, connected_components, table
+from lettermill.llm.common import checkpointed, connected_components, row_hashes, table, unused
 
 BITS = 64
 MAX_DISTANCE = 4
 SHINGLE = 4
 SEED = 42
 BLOCK_ROWS = 2048
+PIVOTS = 32
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
@@ -61,11 +62,12 @@ def fingerprints(documents: DataFrame, text: str = "text", key: str = "doc_id",
     return documents.select(key, text, *also).mapInArrow(run, f"key {kind}, fp bigint{kinds}")
 
 
-def pivots(count: int = BITS) -> np.ndarray:
-    """Reference fingerprints far from one another: rows of a Hadamard matrix, as bits."""
+def pivots(count: int = PIVOTS) -> np.ndarray:
+    """Reference fingerprints far from one another: rows of a Hadamard matrix, as bits; those of most changes first."""
     rows = np.array([[1]], np.int8)
     while len(rows) < BITS:
         rows = np.block([[rows, rows], [rows, -rows]])
+    rows = rows[np.argsort(-np.abs(np.diff(rows, axis=1)).sum(axis=1), kind="stable")]
     bits = (rows[:count] < 0).astype(np.uint8)
     return np.packbits(bits, axis=1, bitorder="little").view(np.uint64).reshape(-1)
 
@@ -75,15 +77,28 @@ def pivot_table(values: np.ndarray, references: np.ndarray) -> np.ndarray:
     return np.bitwise_count(values[:, None] ^ references[None, :]).astype(np.int8)
 
 
-def close_pairs(a: np.ndarray, b: np.ndarray, references: np.ndarray, distance: int = MAX_DISTANCE) -> tuple[np.ndarray, np.ndarray]:
+def with_distances(distinct: DataFrame) -> DataFrame:
+    """(fp, coordinates): the fingerprints with their distances to all references, a byte each."""
+    references = pivots()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            table_of = pivot_table(batch.column(0).to_numpy().view(np.uint64), references)
+            ends = np.arange(0, table_of.size + 1, len(references), dtype=np.int32)
+            cells = pa.Array.from_buffers(pa.binary(), len(table_of), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(table_of.tobytes())])
+            yield pa.RecordBatch.from_arrays([batch.column(0), cells], ["fp", "coordinates"])
+
+    return distinct.select("fp").mapInArrow(run, "fp bigint, coordinates binary")
+
+
+def close_pairs(a: np.ndarray, b: np.ndarray, table_a: np.ndarray, table_b: np.ndarray, distance: int = MAX_DISTANCE) -> tuple[np.ndarray, np.ndarray]:
     """Places (i, j) where a[i] and b[j] differ in at most ``distance`` bits.
 
     The coordinates are compared reference after reference, and a pair is gone with the first difference
     over ``distance``; only the pairs left by all are verified on the fingerprints.
     """
-    table_a, table_b = pivot_table(a, references), pivot_table(b, references)
     i, j = np.nonzero(np.abs(table_a[:, None, 0] - table_b[None, :, 0]) <= distance)
-    for r in range(1, len(references)):
+    for r in range(1, table_a.shape[1]):
         if not len(i):
             break
         keep = np.abs(table_a[i, r] - table_b[j, r]) <= distance
@@ -105,13 +120,14 @@ def _roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
             return root
 
 
-def _links(group: np.ndarray, references: np.ndarray, half: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links that span the groups of one block: each fingerprint to the smallest place it reaches here."""
-    group = np.unique(group)
+def _links(group: np.ndarray, coordinates: np.ndarray, half: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links that span a group: each fingerprint to the smallest place it reaches here."""
+    group, first = np.unique(group, return_index=True)
+    coordinates = coordinates[first]
     every_i, every_j = [], []
     for a in range(0, len(group), half):
         for b in range(a, len(group), half):
-            i, j = close_pairs(group[a:a + half], group[b:b + half], references)
+            i, j = close_pairs(group[a:a + half], group[b:b + half], coordinates[a:a + half], coordinates[b:b + half])
             i, j = i + a, j + b
             every_i.append(i[i < j])
             every_j.append(j[i < j])
@@ -142,35 +158,34 @@ def link_edges(distinct: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     than two blocks whatever the key. Of a group only spanning links come out, at most one per
     fingerprint, not all pairs.
     """
+    known = with_distances(distinct)
     keyed = distinct.select("fp", F.explode(block_keys(F.col("fp"))).alias("k"))
     counts = keyed.groupBy("k").agg(F.count("*").alias("n")).filter("n > 1")
     blocks = F.ceil(F.col("n") / block_rows).cast("int")
-    met = keyed.join(counts, "k").withColumn("m", blocks)
+    met = known.select("fp", "coordinates", F.explode(block_keys(F.col("fp"))).alias("k")).join(counts, "k").withColumn("m", blocks)
     own = F.pmod(F.xxhash64("fp"), F.col("m")).cast("int")
     # The groups block x belongs to: (x, y) for every y, told as the smaller and the larger of the two.
     dealt = met.withColumn("x", own).select(
-        "fp", "k", F.explode(F.transform(F.sequence(F.lit(0), F.col("m") - 1), lambda y: F.struct(
+        "fp", "k", "coordinates", F.explode(F.transform(F.sequence(F.lit(0), F.col("m") - 1), lambda y: F.struct(
             F.least("x", y).alias("lo"), F.greatest("x", y).alias("hi")))).alias("g"))
-    grouped = (dealt.select("fp", "k", "g.lo", "g.hi").repartition("k", "lo", "hi").sortWithinPartitions("k", "lo", "hi"))
-    references = pivots()
+    grouped = (dealt.select("fp", "k", "g.lo", "g.hi", "coordinates").repartition("k", "lo", "hi").sortWithinPartitions("k", "lo", "hi"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.empty((0, 4), np.int64)
+        held, held_cells = np.empty((0, 4), np.int64), np.empty((0, PIVOTS), np.int8)
 
-        def out(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+        def out(rows: np.ndarray, cells: np.ndarray) -> Iterator[pa.RecordBatch]:
             new = np.flatnonzero(np.any(rows[1:, 1:] != rows[:-1, 1:], axis=1)) + 1
             bounds = np.concatenate([[0], new, [len(rows)]])
             size = np.diff(bounds)
             values = rows[:, 0].copy().view(np.uint64)
             # Groups of two are the most frequent by far: all at once.
             two = bounds[:-1][size == 2]
-            first, second = np.minimum(values[two], values[two + 1]), np.maximum(values[two], values[two + 1])
-            keep = np.abs(pivot_table(first, references[:8]) - pivot_table(second, references[:8])).max(axis=1, initial=0) <= MAX_DISTANCE
-            first, second = first[keep], second[keep]
-            keep = np.bitwise_count(first ^ second) <= MAX_DISTANCE
-            a, b = [second[keep]], [first[keep]]
+            keep = np.abs(cells[two] - cells[two + 1]).max(axis=1, initial=0) <= MAX_DISTANCE
+            keep[keep] = np.bitwise_count(values[two[keep]] ^ values[two[keep] + 1]) <= MAX_DISTANCE
+            pair = values[two[keep]], values[two[keep] + 1]
+            a, b = [np.maximum(*pair)], [np.minimum(*pair)]
             for at in np.flatnonzero(size > 2):
-                x, y = _links(values[bounds[at]:bounds[at + 1]], references, 512)
+                x, y = _links(values[bounds[at]:bounds[at + 1]], cells[bounds[at]:bounds[at + 1]], 512)
                 a.append(x)
                 b.append(y)
             a, b = np.concatenate(a).view(np.int64), np.concatenate(b).view(np.int64)
@@ -178,17 +193,18 @@ def link_edges(distinct: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
                 yield pa.RecordBatch.from_pydict({"a": a, "b": b})
 
         for batch in batches:
-            rows = np.column_stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in range(4)])
-            rows = np.concatenate([held, rows])
-            if not len(rows):
+            if not batch.num_rows:
                 continue
+            rows = np.column_stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in range(4)])
+            cells = np.frombuffer(b"".join(batch.column(4).to_pylist()), np.int8).reshape(-1, PIVOTS)
+            rows, cells = np.concatenate([held, rows]), np.concatenate([held_cells, cells])
             last = rows[-1, 1:]
             whole = len(rows) - int(np.argmax(np.any(rows[::-1, 1:] != last, axis=1)) or len(rows))
-            held = rows[whole:]
+            held, held_cells = rows[whole:], cells[whole:]
             if whole:
-                yield from out(rows[:whole])
+                yield from out(rows[:whole], cells[:whole])
         if len(held):
-            yield from out(held)
+            yield from out(held, held_cells)
 
     return grouped.mapInArrow(run, "a bigint, b bigint")
 
@@ -219,19 +235,18 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
 
 
 def keep_one(documents: DataFrame) -> DataFrame:
-    """Of every component one row: the one with the smallest doc_id; the columns stay.
+    """Of every component one row: the one with the smallest doc_id; the columns stay, whatever their names.
 
     Where that doc_id has several rows in the component, the first by a hash of the row stays. A row without a
     doc_id stays only if its component has no row with one, and then the first by that hash. Rows of one doc_id in
     several components are chosen in each for themselves.
     """
-    # Told by two hashes of the whole row, nulls marked; rows alike in both are copies.
-    whole = [x for c in documents.columns for x in (F.col(c).isNull(), F.col(c))]
-    told = documents.withColumns({"_row": F.xxhash64(*whole), "_row2": F.xxhash64(F.lit(1), *whole)})
-    marked = checkpointed(fingerprints(told, also=["_row", "_row2"]))
-    first = F.min(F.struct(F.col("key").isNull().alias("without"), "key", "_row", "_row2")).alias("kept")
-    kept = marked.join(_placed(marked), "fp").groupBy("component").agg(first).select("kept._row", "kept._row2")
-    return told.join(kept, ["_row", "_row2"], "left_semi").dropDuplicates(["_row", "_row2"]).select(*documents.columns)
+    one, two = unused(documents.columns, "row_one", "row_two")
+    told = documents.withColumns(dict(zip((one, two), row_hashes(documents))))
+    marked = checkpointed(fingerprints(told, also=[one, two]))
+    first = F.min(F.struct(F.col("key").isNull().alias("without"), "key", one, two)).alias("kept")
+    kept = marked.join(_placed(marked), "fp").groupBy("component").agg(first).select(f"kept.{one}", f"kept.{two}")
+    return told.join(kept, [one, two], "left_semi").dropDuplicates([one, two]).drop(one, two)
 
 
 def op8_simhash(spark, sf_dir: str) -> DataFrame:

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lettermill.llm.common import fresh_dir, table
+from lettermill.llm.common import fresh_dir, table, unused
 
 TOKENIZER_FILE = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # The public pre-tokenization pattern of this vocabulary.
@@ -129,10 +129,11 @@ def keyed(documents: DataFrame) -> DataFrame:
     """``documents`` (doc_id, text, source, lang, ...) where rows without a doc_id have one of their own: a negative hash
     of their content and of a number among rows of the same content, the same whenever they are read."""
     content = [x for c in ("text", "source", "lang") for x in (F.col(c).isNull(), F.col(c))]
-    told = documents.filter("doc_id IS NULL").withColumns({"_row": F.xxhash64(*content), "_row2": F.xxhash64(F.lit(1), *content)})
-    nth = F.row_number().over(Window.partitionBy("_row", "_row2").orderBy("_row"))
-    own = F.xxhash64("_row", "_row2", nth).bitwiseOR(F.lit(-1 << 63))
-    return documents.filter("doc_id IS NOT NULL").unionByName(told.withColumn("doc_id", own).drop("_row", "_row2"))
+    one, two = unused(documents.columns, "row_one", "row_two")
+    told = documents.filter("doc_id IS NULL").withColumns({one: F.xxhash64(*content), two: F.xxhash64(F.lit(1), *content)})
+    nth = F.row_number().over(Window.partitionBy(one, two).orderBy(one))
+    own = F.xxhash64(one, two, nth).bitwiseOR(F.lit(-1 << 63))
+    return documents.filter("doc_id IS NOT NULL").unionByName(told.withColumn("doc_id", own).drop(one, two))
 
 
 def op5_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:

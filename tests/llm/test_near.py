@@ -6,8 +6,10 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
-from lettermill.llm import passages, quantised, simhash, toxicity, winnow
+from lettermill.llm import mixing, passages, quantised, simhash, tokens, toxicity, winnow
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, score double, component_id bigint"
 
@@ -78,6 +80,25 @@ def test_pivot_distances_bound_the_distance():
     a, b = rng.integers(0, 1 << 63, 200, dtype=np.uint64), rng.integers(0, 1 << 63, 200, dtype=np.uint64)
     difference = np.abs(simhash.pivot_table(a, simhash.pivots()).astype(int) - simhash.pivot_table(b, simhash.pivots()).astype(int)).max(axis=1)
     assert (difference <= np.bitwise_count(a ^ b)).all()
+    assert len(set(simhash.pivots().tolist())) == simhash.PIVOTS
+
+
+def fingerprint_bit_by_bit(text):
+    """The contract's words, without the operator's code."""
+    import xxhash
+
+    words = [w for w in re.split("[\x20\x09-\x0d]+", "".join(c.lower() if c.isascii() else c for c in text or "")) if w]
+    shingles = [" ".join(words[i:i + 4]) for i in range(max(1, len(words) - 3))] if words else []
+    hashes = [xxhash.xxh64(s.encode(), seed=42).intdigest() for s in shingles]
+    return sum(1 << bit for bit in range(64) if 2 * sum(h >> bit & 1 for h in hashes) > len(hashes))
+
+
+def test_fingerprints_bit_by_bit(spark):
+    draw = random.Random(21)
+    texts = [(i, prose(draw, draw.randint(0, 90), 40).replace(" w1", draw.choice([" É", "\n\x0bW1", " A\x1cB", "\u00a0w"]))) for i in range(120)]
+    texts += [(200, None), (201, ""), (202, "one"), (203, "a b c"), (204, "a b c d"), (205, "x " * 70_000)]
+    got = {r["key"]: r["fp"] % (1 << 64) for r in simhash.fingerprints(docs(spark, texts)).collect()}
+    assert got == {i: fingerprint_bit_by_bit(t) for i, t in texts}
 
 
 # --- passages ---
@@ -287,4 +308,51 @@ def test_toxicity_learns_and_is_held_out(spark):
     assert got[1000] == got[1001] < 0.5 and all(0 <= s <= 1 for s in got.values())
     kept = toxicity.drop_toxic(docs(spark, rows), known)
     assert kept.count() == 600 - 150 + 4 - (got[1002] >= 0.5)
+    scores = toxicity.score_texts(docs(spark, rows).drop("score"), model).select("doc_id", "score").collect()
+    assert all(r["score"] == model.scorer()(dict(rows)[r["doc_id"]]) for r in scores)
     assert toxicity.fit(docs(spark, rows), known.limit(0)).base == 0.0 and toxicity.fit(docs(spark, []).limit(0), known).base == 0.0
+
+
+def test_tail_is_the_whole_tail():
+    from math import comb, log
+
+    for t, n, share in [(0, 5, 0.3), (3, 3, 0.1), (2, 40, 0.5), (100, 1000, 0.5), (7, 900, 0.002), (990, 1000, 0.9)]:
+        want = log(sum(comb(n, k) * share ** k * (1 - share) ** (n - k) for k in range(t, n + 1)))
+        assert abs(toxicity._tail(t, n, share) - want) < 1e-6
+    fewest = toxicity.least_count(300, 2700, 100_000)
+    assert toxicity._tail(fewest, fewest, 0.1) <= log(0.05 / 100_000) < toxicity._tail(fewest - 1, fewest - 1, 0.1)
+
+
+def test_toxicity_query_says_who_was_held_out(spark):
+    import zlib
+
+    sf = "/root/testdata/sf0.001"
+    got = toxicity.op10_toxicity(spark, sf).collect()
+    assert len(got) == spark.read.parquet(f"{sf}/documents.parquet").count()
+    for r in got:
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) and r["predicted"] == int(r["score"] >= 0.5) and 0 <= r["score"] <= 1
+
+
+# --- columns of the caller ---
+
+CLASHING = ("_toxicity", "toxicity", "row_one", "_row", "bad_id", "text_hash", "_id", "_hash", "doc", "starts", "n_words", "kept_text", "members", "_key", "given", "TOXICITY", "score")
+
+
+@pytest.mark.parametrize("name", ["drop_toxic", "keep_one", "remove_passages", "drop_contaminated", "mix", "keyed"])
+def test_columns_of_the_caller_stay(spark, name):
+    draw = random.Random(2)
+    texts = [(i, prose(draw, 40, 5000)) for i in range(12)] + [(None, "no id"), (20, None)]
+    columns = [c for c in dict.fromkeys(CLASHING) if c != "TOXICITY"]
+    rows = [(i, t, "en", "s", 1, {"k": str(i)}, *[f"{c} {i}" for c in columns]) for i, t in texts]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint, `a map` map<string,string>, " + ", ".join(f"`{c}` string" for c in columns))
+    labels = spark.createDataFrame([(0, 1, 0), (1, 1, 0)], "doc_id bigint, quality int, toxic int")
+    items = spark.createDataFrame([(1, prose(draw, 12, 9))], "item_id bigint, text string")
+    done = {
+        "drop_toxic": lambda: toxicity.drop_toxic(df, labels), "keep_one": lambda: simhash.keep_one(df),
+        "remove_passages": lambda: passages.remove_passages(df, results=("r1", "r2", "r3")).drop("r1", "r2", "r3"),
+        "drop_contaminated": lambda: winnow.drop_contaminated(df, items),
+        "mix": lambda: mixing.mix(df, F.array("source"), F.length(F.coalesce("text", F.lit(""))).cast("bigint"), F.col("doc_id"))[0].drop("size", "parts", "taken"),
+        "keyed": lambda: tokens.keyed(df)}[name]()
+    assert done.columns == df.columns
+    got = {r["n_words"]: tuple(r)[1:] for r in done.collect()}
+    assert got == {f"n_words {i}": tuple(r[1:]) for r, (i, _) in zip(rows, texts)}
