@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lettermill.llm.common import fresh_dir, table
+from lettermill.llm.common import fresh_dir, table, unused
 from lettermill.llm.mixing import mix_documents
 from lettermill.llm.passages import remove_passages
 from lettermill.llm.simhash import keep_one
@@ -33,12 +33,13 @@ def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A text without one stays as it is, a document of which nothing is left goes.
     """
-    done = remove_passages(docs)
-    cut = F.col("n_removed") > 0
-    return done.filter(~(cut & (F.col("n_removed") == F.col("n_words")))).select(
-        *[F.when(cut, F.col("kept_text")).otherwise(F.col("text")).alias("text") if c == "text"
-          else F.when(cut, F.length("kept_text").cast("bigint")).otherwise(F.col("n_chars")).alias("n_chars") if c == "n_chars"
-          else F.col(c) for c in docs.columns])
+    words, removed, kept = unused(docs.columns, "n_words", "n_removed", "kept_text")
+    done = remove_passages(docs, results=(words, removed, kept))
+    cut = F.col(removed) > 0
+    return done.filter(~(cut & (F.col(removed) == F.col(words)))).select(
+        *[F.when(cut, F.col(kept)).otherwise(F.col("text")).alias("text") if c == "text"
+          else F.when(cut, F.length(kept).cast("bigint")).otherwise(F.col("n_chars")).alias("n_chars") if c == "n_chars"
+          else F.col(f"`{c}`") for c in docs.columns])
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
