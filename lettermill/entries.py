@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lettermill import fixtures as fx
 from lettermill.fixtures import view, with_views
 from lettermill.functions import jsonish, text as T
-from lettermill.operators import extract, gate, prep, records, requests, retrieval, select, urls
+from lettermill.operators import extract, gate, packing, prep, records, requests, retrieval, select, urls
 from lettermill.plans.curation import clean_letters, curate, scored_letters, staged
 from lettermill.rules import LETTER_TYPES, PROMPT_ORDER, URL_STRICT
 from lettermill.sources import readers, writers
@@ -806,10 +806,16 @@ def _(spark, d):
     return prep.truncate_rows(view(spark, d, "documents"), "text").select("doc_id", "text")
 
 
-@entry("k8_pack")
+@entry("k8_pack", r"""WITH RECURSIVE sized AS (
+    SELECT doc_id, least(coalesce(len(regexp_extract_all(text, '\S+')), 0), 8192) AS n, CAST('0x' || substr(md5(doc_id || '|0'), 1, 8) AS BIGINT) AS h FROM documents),
+  ordered AS (SELECT doc_id, CAST(n AS BIGINT) AS n, row_number() OVER (ORDER BY h, doc_id) AS r FROM sized),
+  fold AS (SELECT r, doc_id, n, CAST(0 AS BIGINT) AS bin, CAST(0 AS BIGINT) AS position FROM ordered WHERE r = 1
+    UNION ALL SELECT o.r, o.doc_id, o.n, CASE WHEN f.position + f.n + o.n > 8192 THEN f.bin + 1 ELSE f.bin END, CASE WHEN f.position + f.n + o.n > 8192 THEN 0 ELSE f.position + f.n END
+    FROM fold f JOIN ordered o ON o.r = f.r + 1)
+  SELECT doc_id, n AS n_tokens, bin, position FROM fold""")
 def _(spark, d):
     sized = view(spark, d, "documents").select("doc_id", F.size(T.tokens(F.col("text"))).alias("n"))
-    return prep.pack(sized, "doc_id", "n")
+    return packing.pack(sized, "doc_id", "n")
 
 
 @entry("k9_chunk", _CHUNKS)

@@ -1,10 +1,9 @@
-"""Training-set preparation: instruct format, splits, truncation, packing, chunking."""
+"""Training-set preparation: instruct format, splits, truncation, chunking."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -88,43 +87,6 @@ def apply_tokenizer(df: DataFrame, encode, text: str = "text", limit: int = 512)
     return df.withColumn("token_ids", encoded(F.col(text)))
 
 
-def pack(df: DataFrame, key: str, n_tokens: str, limit: int = 8192, shards: int = 64) -> DataFrame:
-    """(key, n_tokens, shard, bin, position): rows packed, in hash order, into sequences of ``limit`` tokens.
-
-    Rows are dealt into ``shards`` by the hash of their key: choose as many as keep a shard's keys and counts
-    in the memory of a task. A shard's sequences depend on its own rows only. Inside a shard a sequence is
-    closed when the next row does not fit. Only keys and counts travel; the texts are joined by whoever
-    writes the sequences. A row longer than ``limit`` counts as ``limit``; its text must be cut by whoever
-    writes it.
-    """
-    sized = df.select(F.col(key), F.least(F.col(n_tokens).cast("bigint"), F.lit(limit)).alias("n_tokens"))
-    hashed = sized.withColumn("_hash", key_hash(F.col(key), 0)).withColumn("shard", F.pmod("_hash", F.lit(shards)))
-
-    def fill(shard: pd.DataFrame) -> pd.DataFrame:
-        shard = shard.sort_values(["_hash", key], kind="stable")
-        bins, starts = next_fit(shard["n_tokens"].to_numpy(), limit)
-        return shard.assign(bin=bins, position=starts)[[key, "n_tokens", "shard", "bin", "position"]]
-
-    key_type = df.schema[key].dataType.simpleString()
-    return hashed.groupBy("shard").applyInPandas(
-        fill, f"{key} {key_type}, n_tokens bigint, shard bigint, bin bigint, position bigint")
-
-
-def next_fit(sizes: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
-    """Bin number and start within the bin of each size, in the order given."""
-    ends = np.cumsum(sizes)
-    bins = np.zeros(len(sizes), dtype=np.int64)
-    starts = np.zeros(len(sizes), dtype=np.int64)
-    first, number = 0, 0
-    while first < len(sizes):
-        base = ends[first] - sizes[first]
-        last = max(first + 1, int(np.searchsorted(ends, base + limit, side="right")))
-        bins[first:last] = number
-        starts[first:last] = ends[first:last] - sizes[first:last] - base
-        first, number = last, number + 1
-    return bins, starts
-
-
 def chunk(df: DataFrame, key: str, text: str = "text", size: int = 512, overlap: int = 20) -> DataFrame:
     """(key, chunk_no, n_tokens, text): windows of ``size`` tokens, each starting ``overlap`` before the last end."""
     step = size - overlap

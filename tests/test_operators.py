@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lettermill.functions import jsonish, text as T
-from lettermill.operators import contain, extract, gate, prep, requests, retrieval, select, urls
+from lettermill.operators import contain, extract, gate, packing, prep, requests, retrieval, select, urls
 from lettermill.rules import ExtractRule, RewriteRule, RewriteSet, rewrite
 from lettermill.sources import readers, writers
 
@@ -145,14 +145,34 @@ def test_prompts_and_requests(spark):
     assert sorted({(r["kind"], r["prompt"]) for r in asked.collect()}) == [("appeal", "A t=pill"), ("appeal", "B"), ("studies", "S found in a journal")]
 
 
-def test_pack_holds_the_limit_and_is_stable(spark):
-    rows = [(i, (i * 37) % 900) for i in range(500)]
-    packed = [values(prep.pack(spark.createDataFrame(rows, "k bigint, n bigint").repartition(parts), "k", "n", 1000, shards=3)) for parts in (1, 64)]
-    assert packed[0] == packed[1]
-    filled = {}
-    for _, n, shard, number, _ in packed[0]:
-        filled[shard, number] = filled.get((shard, number), 0) + n
-    assert len(packed[0]) == 500 and max(filled.values()) <= 1000
+def next_fit(rows, limit):
+    """Rows (key, n) put one after the other, a new bin where one does not fit."""
+    import hashlib
+
+    sized = [(int(hashlib.md5(f"{k}|0".encode()).hexdigest()[:8], 16), k, min(max(n or 0, 0), limit)) for k, n in rows]
+    out, number, at = [], 0, 0
+    for _, k, n in sorted(sized):
+        if at + n > limit:
+            number, at = number + 1, 0
+        out.append((k, n, number, at))
+        at += n
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("sizes,limit,parts", [([0, 1, 3, 700, 999, 1000, 1001, 5000, None, -4], 1000, 16), ([1], 7, 1), ([0], 10, 1), ([10, 0], 10, 1)])
+def test_pack_equals_next_fit(spark, sizes, limit, parts):
+    draw = random.Random(limit)
+    rows = [(k, draw.choice(sizes)) for k in range(100)]
+    assert values(packing.pack(spark.createDataFrame(rows, "k bigint, n bigint").repartition(parts), "k", "n", limit)) == next_fit(rows, limit)
+
+
+def test_pack_in_many_ranges(spark, monkeypatch):
+    monkeypatch.setattr(packing, "RANGE_ROWS", 40)
+    monkeypatch.setattr(packing, "CELLS", 3)
+    draw = random.Random(3)
+    rows = [(k, draw.randint(0, 60)) for k in range(1000)]
+    assert values(packing.pack(spark.createDataFrame(rows, "k bigint, n bigint"), "k", "n", 64)) == next_fit(rows, 64)
+    assert packing.pack(spark.createDataFrame([], "k bigint, n bigint"), "k", "n").count() == 0
 
 
 def sentence_bounds(counts, size, overlap):
