@@ -56,6 +56,32 @@ def test_tolerant_json(spark, text, valid):
 
 def test_repair_json(spark):
     assert one(spark, '{a: 1, b "x"}', jsonish.repair_json_text) == '{"a": 1, "b": "x"}'
+    assert one(spark, '{a: "one, two: 3", b_2 4,\n c :\t5 , "d, e: 6": {f: [g, h]}}', jsonish.repair_json_text) == (
+        '{"a": "one, two: 3", "b_2": 4,\n "c" :\t5 , "d, e: 6": {"f": [g, "h"]}}'.replace('"h"', "h"))
+    assert one(spark, r'{a: "say \"x, b: 1\" \\", c: 2}', jsonish.quote_keys) == r'{"a": "say \"x, b: 1\" \\", "c": 2}'
+    for same in ('{"a": "open, b', "", " \n ", "plain words, and: more", '"', '{"a\n: 1}', "{1: 2, x"):
+        assert one(spark, same, jsonish.quote_keys) == same.replace(", and:", ', "and":')
+    assert one(spark, None, jsonish.repair_json_text) is None
+
+
+def test_lines_as_json(spark):
+    import json
+
+    found = json.loads(one(spark, 'condition: "old"\napproval_reason: a: b,\ncondition: new\nn: 5\nnull: None', jsonish.tolerant_json))
+    assert found == {"condition": "new", "approval_reason": "a: b", "n": 5, "null": None}
+
+
+@pytest.mark.parametrize("line", ["some key {0}: a value, with words", "k{0}: {0}", '"q{0}": "v {0}', 'x: \\"' + '\\"' * 3])
+def test_long_texts_are_read_in_a_moment(spark, line):
+    import time
+
+    long = "\n".join(["condition: x", "approval_reason: y", *[line.format(i) for i in range(20_000)]])
+    df = spark.createDataFrame([(long,)], "t string").select(F.length(jsonish.tolerant_json(F.col("t"))).alias("n"))
+    df.collect()
+    began = time.time()
+    assert df.first()["n"] > 20
+    assert time.time() - began < 8  # about a second on an idle machine
+
 
 
 def test_rewrite_settles_on_long_runs(spark):
