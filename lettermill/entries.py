@@ -625,6 +625,24 @@ def _(spark, d):
     return gate.match_phrases(_letters(spark, d), rules, ["path"], "raw_text")
 
 
+# Ten phrases of one to six words out of every document: many, of all shapes, common and rare.
+_PICKED = r"""phrases AS (SELECT DISTINCT lang, {join} AS phrase FROM (
+    SELECT lang, words, (doc_id * 7 + k * 131) % {n} AS place, 1 + (doc_id + k) % 6 AS n
+    FROM (SELECT doc_id, lang, {words} AS words FROM documents) {each} WHERE {n} > 0) picked)"""
+
+
+@entry("f7_phrase_index", "WITH " + _PICKED.format(
+    join="array_to_string(words[CAST(place + 1 AS BIGINT):CAST(place + n AS BIGINT)], ' ')", n="len(words)", words=r"regexp_extract_all(lower(text), '\S+')", each="CROSS JOIN range(10) r(k)")
+    + """ SELECT d.lang, phrase, count(*) AS n_texts, min(doc_id) AS first_doc FROM documents d JOIN phrases p ON d.lang = p.lang AND contains(lower(d.text), phrase) GROUP BY d.lang, phrase""")
+def _(spark, d):
+    documents = view(spark, d, "documents")
+    picked = spark.sql("WITH " + _PICKED.format(
+        join="array_join(slice(words, CAST(place + 1 AS INT), CAST(n AS INT)), ' ')", n="size(words)", words=r"regexp_extract_all(lower(text), r'\S+', 0)",
+        each="LATERAL VIEW explode(sequence(0, 9)) r AS k") + " SELECT * FROM phrases")
+    found = gate.match_phrases(documents, picked, ["doc_id"], letter_type="lang")
+    return found.groupBy("lang", "phrase").agg(F.count("*").alias("n_texts"), F.min("doc_id").alias("first_doc"))
+
+
 @entry("f8_attach_results", f"SELECT conv_id, attempt, {_ANSWER} AS answer FROM fx_completions", "fx_completions")
 def _(spark, d):
     done = view(spark, d, "fx_completions")

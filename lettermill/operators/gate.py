@@ -9,7 +9,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lettermill.operators.contain import contained
+from lettermill.operators.contain import phrases_in
 from lettermill.rules import TYPE_ALIASES
 
 
@@ -103,12 +103,12 @@ def split_good_bad(df: DataFrame, phrases: Mapping[str, Sequence[str]], text: st
 def match_phrases(df: DataFrame, rules: DataFrame, key: Sequence[str], text: str = "text", letter_type: str = "letter_type") -> DataFrame:
     """(letter_type, key, phrase) for every phrase of a text's type found in it, any case.
 
-    ``rules`` is a table (letter_type, phrase) of any size, ``key`` names a text. Texts are read once, and
-    phrases are looked up by their words (``contain.contained``).
+    ``rules`` is a table (letter_type, phrase) of any size, ``key`` names a text. Phrases are looked up by their rarest run of
+    characters (``contain.phrases_in``); blank ones occur nowhere.
     """
-    listed = rules.select(F.col(letter_type), F.lower("phrase").alias("phrase")).filter(F.btrim("phrase") != "").distinct()
+    listed = rules.select(F.col(letter_type), F.lower("phrase").alias("phrase")).filter(F.btrim("phrase") != "")
     folded = df.select(letter_type, *key, F.lower(text).alias("_folded"))
-    return contained(folded, key, "_folded", listed.withColumn("_needle", F.col("phrase")), ["phrase"], "_needle", letter_type)
+    return phrases_in(folded, key, "_folded", listed, "phrase", letter_type)
 
 
 def drop_prompt_if(df: DataFrame, kind: str, condition: Column, prompts: str = "prompts") -> DataFrame:

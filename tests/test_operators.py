@@ -152,6 +152,19 @@ def test_contained_equals_trying_all_pairs(spark):
     assert values(got) == sorted(want, key=str)
 
 
+def test_phrases_in_equals_trying_all_pairs(spark):
+    draw = random.Random(6)
+    words = ["a", "ab", "abc", "é", "😀x", "of", "the", "\n", "x" * 9]
+    texts = [(draw.randint(0, 2), i, " ".join(draw.choice(words) for _ in range(draw.randint(0, 12)))) for i in range(60)] + [(None, 90, "a"), (1, 91, None), (1, 92, "")]
+    needles = [(draw.randint(0, 3), " ".join(draw.choice(words) for _ in range(draw.randint(1, 6)))) for _ in range(150)]
+    needles += [(0, t[3:9]) for _, _, t in texts[:40] if t] + [(1, ""), (1, None), (None, "a"), (1, "b"), (1, "b"), (2, " ")]
+    got = contain.phrases_in(spark.createDataFrame(texts, "g int, t int, x string"), ["t"], "x", spark.createDataFrame(needles, "g int, p string"), "p", "g")
+    want = {(g, i, p) for g, i, x in texts for h, p in needles if g is not None and g == h and x is not None and p and p in x}
+    assert sorted(map(tuple, got.collect())) == sorted(want) and len(want) > 200
+    none = spark.createDataFrame([], "g int, p string")
+    assert contain.phrases_in(spark.createDataFrame(texts, "g int, t int, x string"), ["t"], "x", none, "p", "g").count() == 0
+
+
 def test_best_per_rejection_prefers_contained_options(spark):
     rows = [("c", "rejection", "r1", "we refuse the blue pill now", 0.0), ("c", "treatment", "t1", "a red pill", 5.0), ("c", "treatment", "t2", "the blue pill", 1.0)]
     scored = spark.createDataFrame(rows, "case_id string, letter_type string, path string, text string, base_score double")
