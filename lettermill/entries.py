@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,8 +12,8 @@ from pyspark.sql import functions as F
 from lettermill import fixtures as fx
 from lettermill.fixtures import view, with_views
 from lettermill.functions import jsonish, text as T
-from lettermill.operators import extract, gate, packing, prep, records, requests, retrieval, select, urls
-from lettermill.plans.curation import clean_letters, curate, scored_letters, staged
+from lettermill.operators import chain, extract, gate, generate, packing, prep, records, requests, retrieval, select, urls
+from lettermill.plans.curation import clean_letters, curate, scored_letters, staged, staged_with_counts
 from lettermill.rules import LETTER_TYPES, PROMPT_ORDER, URL_STRICT
 from lettermill.sources import readers, writers
 from lettermill.sources.scratch import fresh_dir
@@ -59,6 +60,24 @@ def _(spark, d):
     return readers.read_letters(spark, path, format="parquet")
 
 
+@entry("a2_repair_utf8", "SELECT doc_id, concat(substr(text, 1, 7), chr(65533), substr(text, 8)) AS text FROM documents")
+def _(spark, d):
+    cut = lambda *at: F.substring("text", *at).cast("binary")
+    bad = [F.unhex(F.lit(h)) for h in ("FF", "E282", "C0AF", "EDA080", "F4908080", "80")]
+    end = F.length(F.coalesce("text", F.lit("")))
+    # Bytes that are no UTF-8 before, inside and after the text, between them a replacement character that belongs there.
+    raw = F.concat(bad[0], cut(F.lit(1), F.lit(7)), bad[1], F.lit("\ufffd").cast("binary"), bad[2], cut(F.lit(8), end), *bad[3:])
+    return readers.repair_utf8(view(spark, d, "documents").select("doc_id", raw.alias("text")), "text")
+
+
+@entry("a3_letter_files", "SELECT path, raw_text FROM fx_letters", "fx_letters")
+def _(spark, d):
+    path = fresh_dir(spark, "letter-files")
+    writers.write_letter_files(view(spark, d, "fx_letters"), path)
+    files = readers.read_letters(spark, path, suffix="part-*")
+    return files.withColumn("raw_text", F.substring("raw_text", F.lit(1), F.length("raw_text") - 1))
+
+
 @entry("a4_merge_corpora", "SELECT path, CASE WHEN contains(raw_text, 'See http') THEN concat('second: ', raw_text) ELSE raw_text END AS raw_text FROM fx_letters", "fx_letters")
 def _(spark, d):
     letters = view(spark, d, "fx_letters").select("path", "raw_text")
@@ -90,6 +109,14 @@ def _drug_records(spark, d):
     return records.drug_records(asked, fx.DRUG_SYSTEM)
 
 
+@entry("a9_articles", "SELECT conv_id, turn, role, CASE WHEN turn % 5 = 0 THEN '' WHEN turn % 7 = 0 THEN NULL ELSE concat(' <b>&', text, chr(10)) END AS text FROM conversations")
+def _(spark, d):
+    path = fresh_dir(spark, "articles")
+    text = F.when(F.col("turn") % 5 == 0, "").when(F.col("turn") % 7 != 0, F.concat(F.lit(" <b>&"), "text", F.lit("\n")))
+    writers.write_articles(view(spark, d, "conversations").withColumn("text", text), path)
+    return readers.read_articles(spark, path, "conv_id bigint, turn bigint, role string, text string")
+
+
 @entry("a10_write_sft", f"SELECT {_WRAP.format(s="'You know drugs.'", i=_DRUG_Q)} AS instruction, {_DRUG_A} AS output FROM fx_drugs WHERE primary_site IS NOT NULL", "fx_drugs")
 def _(spark, d):
     path = fresh_dir(spark, "sft")
@@ -577,6 +604,31 @@ def _(spark, d):
     return requests.substitute(asked, answers).select("index", "variant", "prompt")
 
 
+_ROUND = """{name} AS (SELECT CAST(conv_id AS STRING) AS index, '{name}' AS kind, CAST(turn AS BIGINT) AS variant, {prompt} AS prompt, concat(CAST(turn AS STRING), ':', substr({prompt}, 1, 40)) AS response
+    FROM conversations {joins} WHERE role = '{role}'),
+  last_{name} AS (SELECT index AS {name}_index, max_by(response, variant) AS {name}_response FROM {name} GROUP BY index)"""
+_CHAINED = ", ".join(_ROUND.format(name=name, prompt=prompt, role=role, joins=" ".join(f"LEFT JOIN last_{k} ON {k}_index = CAST(conv_id AS STRING)" for k in joins)) for name, role, prompt, joins in (
+    ("treatment", "assistant", "text", ()),
+    ("diagnosis", "user", "concat(coalesce(treatment_response, '#treatment#'), ' so? ', text)", ("treatment",)),
+    ("studies", "system", "concat('#unknown# ', coalesce(diagnosis_response, '#diagnosis#'), text)", ("diagnosis",)),
+    ("appeal", "user", "concat(coalesce(studies_response, '#studies#'), ' ', coalesce(treatment_response, '#treatment#'))", ("studies", "treatment"))))
+
+
+@entry("e4_chain", f"WITH {_CHAINED} " + " UNION ALL ".join(f"SELECT index, kind, variant, prompt, response FROM {k}" for k in ("treatment", "diagnosis", "studies", "appeal")))
+def _(spark, d):
+    turns = view(spark, d, "conversations")
+    prompts = {"appeal": ("user", F.lit("#studies# #treatment#")), "studies": ("system", F.concat(F.lit("#unknown# #diagnosis#"), "text")),
+               "treatment": ("assistant", F.col("text")), "diagnosis": ("user", F.concat(F.lit("#treatment# so? "), "text"))}
+    asked = [turns.filter(F.col("role") == role).select(F.col("conv_id").cast("string").alias("index"), F.lit(kind).alias("kind"), "turn", prompt.alias("prompt"))
+             for kind, (role, prompt) in prompts.items()]
+    rows = reduce(DataFrame.unionByName, asked).select("index", "kind", F.lit(0).cast("bigint").alias("model_index"), F.col("turn").alias("variant"), "prompt")
+
+    def answer(round_: DataFrame) -> DataFrame:
+        return round_.withColumn("response", F.concat(F.col("variant").cast("string"), F.lit(":"), F.substring("prompt", 1, 40)))
+
+    return chain.answer_in_rounds(rows, answer, fresh_dir(spark, "rounds")).drop("model_index")
+
+
 @entry("e5_chat_payload", """SELECT conv_id, turn, 1 AS place, 'user' AS role, text AS content FROM conversations
   UNION ALL SELECT conv_id, turn, 2, 'assistant', role FROM conversations WHERE role <> 'system'
   UNION ALL SELECT conv_id, turn, 3, 'user', concat('Again: ', role) FROM conversations WHERE role <> 'system'""")
@@ -695,6 +747,17 @@ def _(spark, d):
     return records.concat_per(records.recommendations(view(spark, d, "fx_guideline_pages")), "pdf", "recommendation", ["page_no", "pos"], "-\n")
 
 
+@entry("l2_generate", """SELECT conv_id, turn, CASE WHEN length(text) % 11 = 0 OR attempt > 3 THEN NULL ELSE concat(CAST(attempt AS STRING), ':', substr(text, 1, 20)) END AS response,
+    CAST(CASE WHEN length(text) % 11 = 0 THEN 3 ELSE least(attempt, 3) END AS INTEGER) AS attempts,
+    CASE WHEN length(text) % 11 = 0 OR attempt > 3 THEN concat('Could not generate for ', text) END AS error
+  FROM (SELECT *, 1 + (4 - length(text) % 4) % 4 AS attempt FROM conversations)""")
+def _(spark, d):
+    def make():
+        return lambda prompts, attempt: [None if len(p) % 11 == 0 else f"{attempt}:{p[:20]}" if (len(p) + attempt - 1) % 4 == 0 else "" for p in prompts]
+
+    return generate.generate(view(spark, d, "conversations"), make, lambda answer: answer != "", prompt="text").select("conv_id", "turn", "response", "attempts", "error")
+
+
 @entry("g5_counts", "SELECT count(*) AS total, count(*) FILTER (contains(Determination, 'Overturned')) AS overturned, count(*) FILTER (Determination IS NULL) AS unknown FROM fx_imr", "fx_imr")
 def _(spark, d):
     return records.counts(view(spark, d, "fx_imr"), overturned=F.contains("Determination", F.lit("Overturned")), unknown=F.col("Determination").isNull())
@@ -841,7 +904,35 @@ def _(spark, d):
     return prep.chunk(view(spark, d, "documents"), "doc_id")
 
 
-@entry("k9_chunk_sentences")
+@entry("g5_observed", f"""WITH {_CLEANED} SELECT 'read' AS step, count(*) AS n, count(*) FILTER (coalesce(raw_text, '') = '') AS n_empty FROM fx_letters
+  UNION ALL SELECT 'decoded', count(*), count(*) FILTER (coalesce(raw_text, '') = '') FROM decoded WHERE case_id IS NOT NULL
+  UNION ALL SELECT 'gated', count(*), count(*) FILTER (coalesce(raw_text, '') = '') FROM gated WHERE case_id IS NOT NULL
+  UNION ALL SELECT 'cleaned', count(*), count(*) FILTER (coalesce(text, '') = '') FROM cleaned""", "fx_letters")
+def _(spark, d):
+    return staged_with_counts(view(spark, d, "fx_letters"), fx.PHRASES, fx.REWRITES, fresh_dir(spark, "letters"))[1]
+
+
+_SENTENCES = r"""
+  WITH RECURSIVE sentences AS (
+    SELECT doc_id, pos, sentence FROM (SELECT doc_id, string_split(regexp_replace(text, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)) AS s FROM documents),
+      unnest(s) WITH ORDINALITY AS u(sentence, pos)),
+  units AS (
+    SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY pos, i) AS u, t[i + 1:i + 512] AS piece
+    FROM (SELECT doc_id, pos, t, unnest(range(0, len(t), 512)) AS i FROM (SELECT doc_id, pos, regexp_extract_all(sentence, '\S+') AS t FROM sentences))),
+  sums AS (
+    SELECT doc_id, list_prepend(CAST(0 AS BIGINT), list(s ORDER BY u)) AS s FROM (
+      SELECT doc_id, u, CAST(sum(len(piece)) OVER (PARTITION BY doc_id ORDER BY u) AS BIGINT) AS s FROM units) GROUP BY doc_id),
+  cut AS (
+    SELECT doc_id, s, CAST(0 AS BIGINT) AS chunk_no, CAST(0 AS BIGINT) AS first, CAST(len(list_filter(s, lambda x: x <= 512)) - 1 AS BIGINT) AS upto FROM sums
+    UNION ALL
+    SELECT doc_id, s, chunk_no + 1, next, CAST(len(list_filter(s, lambda x: x <= s[next + 1] + 512)) - 1 AS BIGINT) FROM (
+      SELECT doc_id, s, chunk_no, CAST(len(list_filter(s, lambda x: x < s[upto + 1] - least(20, 512 - (s[upto + 2] - s[upto + 1])))) AS BIGINT) AS next
+      FROM cut WHERE upto < len(s) - 1))
+  SELECT c.doc_id, chunk_no, any_value(c.s[upto + 1] - c.s[first + 1]) AS n_tokens, string_agg(array_to_string(piece, ' '), ' ' ORDER BY u) AS text
+  FROM cut c JOIN units ON c.doc_id = units.doc_id AND u > first AND u <= upto GROUP BY c.doc_id, chunk_no"""
+
+
+@entry("k9_chunk_sentences", _SENTENCES)
 def _(spark, d):
     return prep.chunk_sentences(view(spark, d, "documents"), "doc_id")
 

@@ -16,11 +16,17 @@ from lettermill.rules import (
 CURLY_QUOTES = "\u201c\u201d"
 
 
+# Bytes as Latin-1 characters: the sequences of two to four bytes that are UTF-8, as the standard tells them.
+_SEQUENCE = (r"[\xC2-\xDF][\x80-\xBF]|\xE0[\xA0-\xBF][\x80-\xBF]|[\xE1-\xEC\xEE\xEF][\x80-\xBF]{2}|\xED[\x80-\x9F][\x80-\xBF]"
+             r"|\xF0[\x90-\xBF][\x80-\xBF]{2}|[\xF1-\xF3][\x80-\xBF]{3}|\xF4[\x80-\x8F][\x80-\xBF]{2}")
+
+
 def repair_utf8(raw: Column) -> Column:
-    """Decode bytes, dropping those that are not valid UTF-8; valid text is returned as it is."""
+    """Decode bytes, dropping those that are part of no UTF-8 sequence; all others stay, a replacement character that was
+    there among them."""
     decoded = raw.cast("string")
-    cleaned = F.replace(F.make_valid_utf8(decoded), F.lit("\ufffd"), F.lit(""))
-    return F.when(F.is_valid_utf8(decoded), decoded).otherwise(cleaned)
+    kept = F.regexp_replace(F.decode(raw, "ISO-8859-1"), rf"({_SEQUENCE})|[\x80-\xFF]", "$1")
+    return F.when(F.is_valid_utf8(decoded), decoded).otherwise(F.encode(kept, "ISO-8859-1").cast("string"))
 
 
 def strip_control(text: Column) -> Column:

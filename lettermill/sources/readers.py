@@ -14,6 +14,7 @@ from lettermill.rules import DECISION_COLUMNS, TYPE_ALIASES
 
 DRUG_COLUMNS = {"Name": "name", "Primary Site": "primary_site", "Category": "category", "Remarks": "remarks"}
 SFT_SCHEMA = "instruction string, output string"
+XML_NULL = "\ue000"  # stands for null in XML; a private character that no text should hold
 
 
 def read_csv(spark: SparkSession, path: str, columns: Sequence[str], multi_line: bool = True) -> DataFrame:
@@ -48,12 +49,14 @@ def repair_utf8(df: DataFrame, column: str) -> DataFrame:
 def read_letters(spark: SparkSession, path: str, format: str = "text", suffix: str = "*.txt") -> DataFrame:
     """(path, raw_text): a directory of letter files, or with ``format='parquet'`` a table of them.
 
-    One file per letter costs a task and a listing entry each; a large corpus belongs in a table.
+    One file per letter costs a task and a listing entry each; a large corpus belongs in a table. Files under folders
+    ``path=<name>``, as ``writers.write_letter_files`` lays them out, get that name, any others their own.
     """
     if format == "parquet":
         return spark.read.parquet(path).select("path", "raw_text")
-    return (spark.read.option("pathGlobFilter", suffix).text(path, wholetext=True)
-            .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("raw_text")))
+    files = spark.read.option("pathGlobFilter", suffix).option("recursiveFileLookup", False).text(path, wholetext=True)
+    name = F.col("path").cast("string") if "path" in files.columns else F.col("_metadata.file_path")
+    return files.select(name.alias("path"), F.col("value").alias("raw_text"))
 
 
 def read_pages(df: DataFrame, suffix: str = ".pdf") -> DataFrame:
@@ -77,7 +80,9 @@ def read_templates(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
 
 
 def read_articles(spark: SparkSession, path: str, schema: str, row_tag: str = "article") -> DataFrame:
-    return spark.read.format("xml").option("rowTag", row_tag).schema(schema).load(path)
+    """Articles of XML files, by a given schema; white space round values is part of them, an empty element is ''."""
+    return (spark.read.format("xml").option("rowTag", row_tag).option("ignoreSurroundingSpaces", False).option("nullValue", XML_NULL)
+            .schema(schema).load(path))
 
 
 def read_sft(spark: SparkSession, path: str) -> DataFrame:

@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from lettermill.operators.gate import REQUEST_KEY, gate, pending
 from lettermill.operators.prep import key_hash
 from lettermill.operators.records import to_sft
+from lettermill.sources.readers import XML_NULL
 
 SMALL_ORIGIN = "guideline"
+LETTER_END = "\n"  # after the text of a letter file
 RESPONSE_SCHEMA = "index string, model_index bigint, variant bigint, response string, kind string"
 
 
@@ -75,6 +77,18 @@ def write_letters(letters: DataFrame, path: str) -> None:
     letters.write.mode("error").partitionBy("letter_type").parquet(path)
 
 
+def write_letter_files(letters: DataFrame, path: str, files: int = 64) -> None:
+    """(path, raw_text) as one text file per letter, in a folder named after it; a small corpus only."""
+    spread = letters.select("path", "raw_text").repartition(files, "path")
+    spread.write.mode("error").option("lineSep", LETTER_END).partitionBy("path").text(path)
+
+
+def write_articles(articles: DataFrame, path: str, row_tag: str = "article", root_tag: str = "articles") -> None:
+    """Rows as XML elements; null and '' are told apart."""
+    (articles.write.mode("error").format("xml").option("rowTag", row_tag).option("rootTag", root_tag)
+     .option("nullValue", XML_NULL).save(path))
+
+
 def write_chunks(chunks: DataFrame, path: str, key: str, buckets: int) -> None:
     """Chunks (with or without vectors) laid out by a hash bucket of the key, one file per bucket."""
     bucketed = chunks.withColumn("bucket", F.pmod(key_hash(F.col(key), 0), F.lit(buckets)))
