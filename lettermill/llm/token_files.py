@@ -2,13 +2,13 @@
 
 1. Every text is encoded once; its ids are staged (Parquet), cut into rows of at most ``ROW_TOKENS``.
 2. All ids are counted. The counts, one per id of the vocabulary, give the code; it is stated by its lengths alone.
-3. Rows are coded, dealt into ranges of doc_id and sorted there; a range is a file, written by Spark's text writer
+3. Rows are coded, dealt into ranges of doc_id and sorted there; a range is a part, written by Spark's text writer
    and its commit, so that lost executors and repeated tasks leave no half or double file.
-4. A reader needs a file alone: its header holds the code lengths. Files are read whole, blocks one at a time.
+4. A reader needs a part alone: its header holds the code lengths. Files are read whole, blocks one at a time.
 
-A file is a row of frames, each ``<4s magic><u32 bytes><u32 crc32 of the body><body><line feed>``:
+A file holds one part or more, a part is a row of frames, each ``<4s magic><u32 bytes><u32 crc32 of the body><body><line feed>``:
 
-* ``HTF1``, once, first: ``<u32 part><u32 ids in the code><u8 longest code>`` and the code lengths, a byte per id, deflated.
+* ``HTF1``, first: ``<u32 part><u32 ids in the code><u8 longest code>`` and the code lengths, a byte per id, deflated.
 * ``HTB1``, a block that can be decoded by itself: ``<u32 rows>``, then arrays by row (doc_id i64; flags u8: 1 no doc_id, 2 a
   document starts; tokens u32), bits of every run of ``RUN`` tokens (u16, the bit offsets of the checkpoints by adding
   them up), and the bits. A row starts at a byte, and so every checkpoint's place is known without reading any bits.
@@ -39,7 +39,8 @@ RUN = 64
 ROW_TOKENS = 1 << 16
 BLOCK_TOKENS = 1 << 18
 FILE_TOKENS = 1 << 24
-KNOWN_PIECES = 300_000  # pieces whose ids a worker remembers, and stretches of them; it only saves work
+KNOWN_PIECES = 250_000  # pieces whose ids a worker remembers, and stretches of them; it only saves work
+MARKS = 1 << 22
 FILE, BLOCK = b"HTF1", b"HTB1"
 
 # A single space between characters that are no white space: byte-level pieces never reach across its left side.
@@ -127,16 +128,26 @@ class TextEncoder:
 
 
 class _Known(dict):
-    """What was worked out lately: at most twice ``size`` values, of which those not asked for longest go."""
+    """What was worked out for keys that came twice: at most twice ``size`` values, of which those not asked for longest go.
+
+    Keys that come only once, most of the rare ones, leave a mark but take no room.
+    """
 
     def __init__(self, work_out: Callable[[str], bytes], size: int) -> None:
         super().__init__()
         self.work_out, self.size, self.before = work_out, size, {}
+        self.marks, self.marked = bytearray(MARKS), 0
 
     def __missing__(self, key: str) -> bytes:
         found = self.before.get(key)
         if found is None:
-            found = self.work_out(key)
+            found, place = self.work_out(key), hash(key) % MARKS
+            if not self.marks[place]:
+                if self.marked > MARKS // 2:
+                    self.marks, self.marked = bytearray(MARKS), 0
+                self.marks[place] = 1
+                self.marked += 1
+                return found
         if len(self) >= self.size:
             self.before = self.copy()
             self.clear()
@@ -330,25 +341,40 @@ def block(doc_ids: np.ndarray, flags: np.ndarray, sizes: np.ndarray, run_bits: b
                   + sizes.astype("<u4").tobytes() + run_bits + bits)
 
 
+def frames(content: bytes) -> Iterator[tuple[bytes, memoryview]]:
+    """(magic, body) of every frame; a damaged one is an error."""
+    at = 0
+    while at < len(content):
+        magic, size, check = struct.unpack_from("<4sII", content, at) if at + 12 <= len(content) else (b"", 0, 0)
+        body = memoryview(content)[at + 12:at + 12 + size]
+        if magic not in (FILE, BLOCK) or len(body) < size or zlib.crc32(body) != check:
+            raise ValueError(f"damaged frame at byte {at}")
+        yield magic, body
+        at += 13 + size
+
+
+def parts(content: bytes) -> list[TokenFile]:
+    """The parts in a file's bytes, one after the other: each begins with a header of its own."""
+    found: list[TokenFile] = []
+    for magic, body in frames(content):
+        if magic == FILE:
+            found.append(TokenFile(body))
+        elif not found:
+            raise ValueError("a block before any header")
+        else:
+            found[-1].frames.append(body)
+    return found
+
+
 class TokenFile:
-    """A file's bytes; blocks are decoded when they are asked for."""
-
-    def __init__(self, content: bytes) -> None:
-        self.part, self.code, self.frames, at = None, None, [], 0
-        while at < len(content):
-            magic, size, check = struct.unpack_from("<4sII", content, at)
-            body = memoryview(content)[at + 12:at + 12 + size]
-            if magic not in (FILE, BLOCK) or len(body) < size or zlib.crc32(body) != check:
-                raise ValueError(f"damaged frame at byte {at}")
-            if magic == FILE:
-                self.part, n, _ = struct.unpack_from("<IIB", body)
-                lengths = np.frombuffer(zlib.decompress(body[9:]), np.uint8)
-                if len(lengths) != n:
-                    raise ValueError("damaged code")
-                self.code = Code(lengths)
-            else:
-                self.frames.append(body)
-            at += 13 + size
+    """A part's code and blocks; blocks are decoded when they are asked for."""
+
+    def __init__(self, header: memoryview) -> None:
+        self.part, n, _ = struct.unpack_from("<IIB", header)
+        lengths = np.frombuffer(zlib.decompress(header[9:]), np.uint8)
+        if len(lengths) != n:
+            raise ValueError("damaged code")
+        self.code, self.frames = Code(lengths), []
 
     def _layout(self, body: memoryview) -> tuple[np.ndarray, ...]:
         n, = struct.unpack_from("<I", body)
@@ -371,7 +397,7 @@ class TokenFile:
             yield ids, flags, sizes, unpack(self.code, bytes(bits), at, run_sizes)
 
     def ids(self, start: int, n: int) -> np.ndarray:
-        """``n`` ids from the ``start``-th of the file on: only the blocks and runs that hold them are decoded."""
+        """``n`` ids from the ``start``-th of the part on: only the blocks and runs that hold them are decoded."""
         out, before = [], 0
         for body in self.frames:
             _, _, sizes, at, run_sizes, bits = self._layout(body)
@@ -387,6 +413,27 @@ class TokenFile:
         return np.concatenate(out) if out else np.empty(0, np.uint32)
 
 
+def file_bounds(staged: DataFrame, files: int) -> tuple[list[int], int]:
+    """(doc_ids that part the rows with an id into files of about as many rows, files of the rows without one)."""
+    rows, unnamed = staged.agg(F.count("*"), F.count_if(F.col("doc_id").isNull())).first()
+    own = ceil(files * unnamed / rows) if rows else 0
+    named = max(1, files - own)
+    shares = [i / named for i in range(1, named)]
+    found = staged.approxQuantile("doc_id", shares, 1 / (20 * named)) if shares and rows > unnamed else []
+    return [int(b) for b in found], own
+
+
+def file_numbers(doc_ids: pa.Array, told: np.ndarray, bounds: list[int], unnamed: int) -> np.ndarray:
+    """The file of every row, in the order of doc_id and ``told``; an id that makes several bounds is spread over their
+    files by ``told``, and so are the rows without one over theirs."""
+    missing = doc_ids.is_null().to_numpy(zero_copy_only=False)
+    ids, edges = doc_ids.fill_null(0).to_numpy(), np.array(bounds, np.int64)
+    first, last = np.searchsorted(edges, ids, "left"), np.searchsorted(edges, ids, "right")
+    first, last = np.where(missing, len(edges) + 1, first), np.where(missing, len(edges) + max(1, unnamed), last)
+    share = (told.view(np.uint64) ^ np.uint64(1 << 63)).astype(np.float64) / 2.0 ** 64  # in the order of the signed numbers
+    return np.minimum(last, first + np.floor(share * (last - first + 1)).astype(np.int64)).astype(np.int32)
+
+
 def write_token_files(documents: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, max_bits: int = MAX_BITS,
                       file_tokens: int = FILE_TOKENS) -> None:
     """The ids of all texts (null: empty), each closed by ``end_id``, as files under ``path`` in ascending doc_id order.
@@ -399,7 +446,7 @@ def write_token_files(documents: DataFrame, path: str, tokenizer: str, end_id: i
     kind = width_of(tokenizer, end_id)
     counts = count_ids(staged, kind)
     lengths = limited_lengths(counts, max_bits)
-    files = max(1, ceil(int(counts.sum()) / file_tokens))
+    bounds, unnamed = file_bounds(staged, max(1, ceil(int(counts.sum()) / file_tokens)))
 
     def code_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = Code(lengths)
@@ -409,35 +456,38 @@ def write_token_files(documents: DataFrame, path: str, tokenizer: str, end_id: i
                 part, own = batch.slice(begin, end - begin), sizes[begin:end]
                 ids = np.frombuffer(b"".join(part.column(5).to_pylist()), kind)
                 bits, n_bytes, run_bits = pack(code, ids, own)
-                yield pa.RecordBatch.from_arrays([*part.columns[:5], _cut(run_bits.astype("<u2").tobytes(), 2 * -(-own // RUN)), _cut(bits, n_bytes)],
-                                                 ["doc_id", "told", "nth", "part", "n", "run_bits", "bits"])
+                files = file_numbers(part.column(0), part.column(1).to_numpy(), bounds, unnamed)
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns[:5], _cut(run_bits.astype("<u2").tobytes(), 2 * -(-own // RUN)), _cut(bits, n_bytes), pa.array(files, pa.int32())],
+                    ["doc_id", "told", "nth", "part", "n", "run_bits", "bits", "file"])
 
     def file_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        head = file_header(TaskContext.get().partitionId(), Code(lengths))
+        code, current = Code(lengths), None
         for batch in batches:
-            sizes = batch.column(4).to_numpy().astype(np.int64)
-            for begin, end in _stretches(sizes, BLOCK_TOKENS):
+            sizes, numbers = batch.column(4).to_numpy().astype(np.int64), batch.column(7).to_numpy()
+            for begin, end in _stretches(sizes, BLOCK_TOKENS, numbers):
                 rows = batch.slice(begin, end - begin)
+                head = file_header(int(numbers[begin]), code) if numbers[begin] != current else None
+                current = numbers[begin]
                 doc_ids = rows.column(0)
                 flags = doc_ids.is_null().to_numpy(zero_copy_only=False) + 2 * (rows.column(3).to_numpy() == 0)
                 body = block(doc_ids.fill_null(0).to_numpy(), flags, sizes[begin:end], b"".join(rows.column(5).to_pylist()), b"".join(rows.column(6).to_pylist()))
-                frames, head = [body] if head is None else [head, body], None
+                frames = [body] if head is None else [head, body]
                 yield pa.RecordBatch.from_pydict({"value": pa.array(frames, pa.binary())})
 
-    coded = staged.mapInArrow(code_rows, "doc_id bigint, told bigint, nth bigint, part int, n int, run_bits binary, bits binary")
-    order = [F.asc_nulls_last("doc_id"), F.asc("told"), F.asc("nth")]
-    placed = coded.repartitionByRange(files, *order).sortWithinPartitions(*order, "part")
+    coded = staged.mapInArrow(code_rows, "doc_id bigint, told bigint, nth bigint, part int, n int, run_bits binary, bits binary, file int")
+    placed = coded.repartition(len(bounds) + 1 + unnamed, "file").sortWithinPartitions("file", F.asc_nulls_last("doc_id"), "told", "nth", "part")
     placed.mapInArrow(file_of, "value binary").select(F.col("value").cast("string").alias("value")).write.mode("error").text(path)
 
 
-def _stretches(sizes: np.ndarray, tokens: int) -> Iterator[tuple[int, int]]:
-    """Rows one after the other that have at most ``tokens`` ids together, or one row."""
+def _stretches(sizes: np.ndarray, tokens: int, of: np.ndarray | None = None) -> Iterator[tuple[int, int]]:
+    """Rows one after the other that have at most ``tokens`` ids together, or one row; none with another value of ``of``."""
     ends, begin = np.cumsum(sizes), 0
+    cuts = np.append(np.flatnonzero(of[1:] != of[:-1]) + 1, len(sizes)) if of is not None else np.array([len(sizes)])
     while begin < len(sizes):
         before = ends[begin - 1] if begin else 0
         end = max(begin + 1, int(np.searchsorted(ends, before + tokens, "right")))
+        end = min(end, int(cuts[np.searchsorted(cuts, begin, "right")]))
         yield begin, end
         begin = end
 
@@ -453,7 +503,7 @@ READ = "part bigint, nth bigint, doc_id bigint, before bigint, n_tokens bigint,
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     """(part, nth, doc_id, before, n_tokens, ids_crc32) of every document in the files, decoded from them.
 
-    ``before`` counts the ids of the file before the document. A damaged file ends the job.
+    ``before`` counts the ids of the part before the document. A damaged file ends the job.
     """
     names = [c.split(" ")[0] for c in READ.split(", ")]
 
@@ -480,8 +530,8 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for content in batch.column(0):
-                if content.as_py():
-                    yield from rows(TokenFile(content.as_py()))
+                for file in parts(content.as_py()):
+                    yield from rows(file)
 
     return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, READ)
 

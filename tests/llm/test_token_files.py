@@ -78,7 +78,7 @@ def test_packed_rows_decode_from_their_checkpoints(n_symbols, limit):
     flags = np.array([2, 3, 2, 2, 2, 2, 2, 0])
     content = b"\n".join([token_files.file_header(4, code), token_files.block(np.arange(8), flags, sizes, run_bits.astype("<u2").tobytes(), bits)] * 1) + b"\n"
     content += content[len(token_files.file_header(4, code)) + 1:]  # the block once more
-    file = token_files.TokenFile(content)
+    file, = token_files.parts(content)
     assert file.part == 4 and [(i.tolist(), f.tolist(), s.tolist(), x.tolist()) for i, f, s, x in file.blocks()] == [
         (list(range(8)), flags.tolist(), sizes.tolist(), ids.tolist())] * 2
     twice = ids.tolist() * 2
@@ -87,7 +87,7 @@ def test_packed_rows_decode_from_their_checkpoints(n_symbols, limit):
     damaged = bytearray(content)
     damaged[-5] ^= 1
     with pytest.raises(ValueError):
-        token_files.TokenFile(bytes(damaged))
+        token_files.parts(bytes(damaged))
 
 
 def test_pieces_change_no_id():
@@ -123,7 +123,8 @@ def test_files_equal_a_plain_loop(spark, path):
     assert got == expected(texts, path)
     contents = [r["content"] for r in spark.read.format("binaryFile").load(place).collect() if r["content"]]
     assert len(contents) > 3
-    files = sorted((token_files.TokenFile(c) for c in contents), key=lambda f: f.part)
+    files = sorted((f for c in contents for f in token_files.parts(c)), key=lambda f: f.part)
+    assert len({f.part for f in files}) == len(files)
     whole = np.concatenate([x for f in files for *_, x in f.blocks()])
     assert whole.tolist() == [x for i, t in sorted(texts, key=lambda r: (r[0] is None, r[0] or 0))
                               for x in Tokenizer.from_file(path).encode(t or "", add_special_tokens=False).ids + [2]]
@@ -140,6 +141,17 @@ def test_repeated_rows_follow_each_other(spark):
     assert all(b[1] == a[1] + a[2] for a, b in zip(got, got[1:]))
 
 
+def test_hot_ids_and_rows_without_one_are_spread(spark):
+    texts = [(5, f"text {i}") for i in range(60)] + [(None, f"none {i}") for i in range(60)] + [(i, "x y") for i in range(60)]
+    place = fresh_dir(spark, "t")
+    token_files.write_token_files(docs(spark, texts), place, BYTE_PAIRS, file_tokens=40)
+    got = sorted((tuple(r) for r in token_files.documents_in(spark, place).collect()), key=lambda r: r[1])
+    assert [r[0] for r in got] == sorted([t[0] for t in texts], key=lambda i: (i is None, i or 0))
+    assert all(b[1] == a[1] + a[2] for a, b in zip(got, got[1:])) and sorted(r[3] for r in got) == sorted(r[3] for r in expected(texts))
+    sizes = [sum(len(x) for *_, x in f.blocks()) for r in spark.read.format("binaryFile").load(place).collect() for f in token_files.parts(r["content"])]
+    assert len(sizes) > 8 and max(sizes) < sum(sizes) / 4
+
+
 def test_empty_table(spark):
     place = fresh_dir(spark, "t")
     token_files.write_token_files(docs(spark, [(1, "x")]).limit(0), place, BYTE_PAIRS)
