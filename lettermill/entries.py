@@ -13,10 +13,12 @@ from lettermill import fixtures as fx
 from lettermill.fixtures import view, with_views
 from lettermill.functions import jsonish, text as T
 from lettermill.operators import chain, extract, gate, generate, packing, prep, records, requests, retrieval, select, urls
+from lettermill.operators.rewriting import rewrite_in_rounds
 from lettermill.plans.curation import clean_letters, curate, scored_letters, staged, staged_with_counts
-from lettermill.rules import LETTER_TYPES, PROMPT_ORDER, URL_STRICT
+from lettermill.rules import LETTER_TYPES, PROMPT_ORDER, URL_STRICT, RewriteRule, RewriteSet
 from lettermill.sources import readers, writers
 from lettermill.sources.scratch import fresh_dir
+from lettermill.sources.store import KeyedStore
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -156,6 +158,21 @@ _ANSWER = """CASE WHEN contains(raw, 'The reviewer determined that the requested
   WHEN contains(raw, '[/INST]') THEN split_part(raw, '[/INST]', 2) ELSE raw END"""
 
 
+@entry("a12_store_commits", "SELECT CAST(conv_id AS STRING) AS index, min(raw) AS response FROM fx_completions GROUP BY conv_id", "fx_completions")
+def _(spark, d):
+    store = KeyedStore(spark, fresh_dir(spark, "store"), "index string, response string", ["index"])
+    rows = view(spark, d, "fx_completions").select(F.col("conv_id").cast("string").alias("index"), F.col("raw").alias("response"), "conv_id")
+    part = lambda n: rows.filter(F.col("conv_id") % 3 == n)
+    store.append("1", part(0))
+    # Rows of a batch that broke off before its commit.
+    rows.select("response", F.lit("lost").alias("index")).write.parquet(f"{store.path}/data/batch=2/bucket=0")
+    store.append("2", part(1).unionByName(part(0).withColumn("response", F.lit(""))))
+    store.compact("3")
+    store.append("2", part(2))
+    store.append("4", rows)
+    return store.current()
+
+
 @entry("a13_letters", f"SELECT concat('letters/', CAST(conv_id AS STRING), '_', CAST(attempt AS STRING), '.txt') AS path, concat('To whom it may concern: ', {_ANSWER}, ' Yours') AS text FROM fx_completions", "fx_completions")
 def _(spark, d):
     answered = view(spark, d, "fx_completions").withColumn("answer", T.clean_completion(F.col("prompt"), F.col("raw")))
@@ -454,6 +471,23 @@ def _(spark, d):
     return clean_letters(view(spark, d, "fx_letters"), fx.PHRASES, fx.REWRITES).select("path", "case_id", "letter_type", "text")
 
 
+# Texts with "queux" never settle under these rules; the others need a pass for every few letters of a run.
+_STUBBORN = RewriteSet(
+    general=(RewriteRule("beux", "ceux"), RewriteRule("queux", "beux"), RewriteRule("ceux", "queux"), RewriteRule("qqq", "qq")),
+    by_type={"denial": (RewriteRule("erst", "er"),)})
+
+
+@entry("d2_rounds", f"""WITH {_DECODED}, long AS (SELECT path, letter_type, concat('k', repeat('q', CAST(1 + doc_id % 97 AS INTEGER)), ' ', raw_text) AS t, doc_id FROM decoded WHERE case_id IS NOT NULL),
+  told AS (SELECT *, regexp_matches(t, '(?i)(qu|b|c)eux') AS cyclic FROM long)
+  SELECT path, letter_type, NOT cyclic AS converged, CASE WHEN NOT cyclic THEN CASE letter_type
+    WHEN 'rejection' THEN regexp_replace(regexp_replace(t, 'q{{3,}}', 'qq', 'gi'), 'er(st)+', 'er', 'gi') ELSE regexp_replace(t, 'q{{3,}}', 'qq', 'gi') END END AS text FROM told""", "fx_letters")
+def _(spark, d):
+    run = F.concat(F.lit("k"), F.repeat(F.lit("q"), (F.lit(1) + F.col("doc_id") % 97).cast("int")), F.lit(" "), "raw_text")
+    letters = _letters(spark, d).filter("case_id IS NOT NULL").select("path", "letter_type", run.alias("text"))
+    done = rewrite_in_rounds(letters, "text", "letter_type", _STUBBORN, fresh_dir(spark, "rounds"))
+    return done.withColumn("text", F.when(F.col("converged"), F.col("text")))
+
+
 @entry("d3_negate", r"SELECT doc_id, regexp_replace(text, '(?i)(the|of)\s*and\s*(in|to|the)', '\1 not and \2', 'g') AS text FROM documents")
 def _(spark, d):
     return view(spark, d, "documents").select("doc_id", T.negate(F.col("text"), ["the", "of"], "and", ["in", "to", "the"]).alias("text"))

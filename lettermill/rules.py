@@ -7,7 +7,7 @@ the data. Rules kept in a table are handled by ``operators.gate.match_phrases``.
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column
@@ -117,19 +117,39 @@ def check_rewrites(rules: Sequence[RewriteRule]) -> None:
             raise ValueError(f"rewrite rule never settles: {rule.pattern!r} -> {rule.replacement!r}")
 
 
-def rewrite(text: Column, rules: Sequence[RewriteRule], first_passes: int = 8) -> Column:
-    """Apply ``rules`` in order, again and again until the text stops changing.
+# What a text under rewriting is: still changing, changed by no rule, back at what it was before.
+OPEN, SETTLED, CYCLIC = 0, 1, 2
+Passer = tuple[Callable[[Column], Column], Callable[[Column], Column]]
+
+
+def open_state(text: Column) -> Column:
+    """A text of which no pass was made: (text, status, seen), ``seen`` being hashes of what it was."""
+    return F.struct(text.alias("text"), F.lit(OPEN).alias("status"), F.array(F.xxhash64(text)).alias("seen"))
 
-    One pass is the chain of replacements, so every pattern is compiled once per task; a text that no rule can
-    match is left alone. After ``first_passes`` the few texts still changing get as many passes as they have
-    characters, more than any rules that shrink a text need. Rules under which a text is then still not
-    settled (they feed one another) are an error, not a silent end.
-    """
-    if not rules:
-        return text
-    check_rewrites(rules)
 
-    def needs_pass(value: Column) -> Column:
+def after_passes(state: Column, passes: Column, one_pass: Callable[[Column], Column], may_match: Callable[[Column], Column]) -> Column:
+    """``state`` after up to ``passes`` passes: it is left alone once it is settled or cyclic."""
+    def made(before: Column, after: Column) -> Column:
+        met = F.array_contains(before["seen"], F.xxhash64(after))
+        status = F.when(after == before["text"], SETTLED).when(met, CYCLIC).otherwise(OPEN)
+        return F.struct(after.alias("text"), status.alias("status"), F.array_append(before["seen"], F.xxhash64(after)).alias("seen"))
+
+    def step(before: Column, _: Column) -> Column:
+        settled = F.struct(before["text"].alias("text"), F.lit(SETTLED).alias("status"), before["seen"].alias("seen"))
+        return (F.when(before["status"] != OPEN, before).when(~may_match(before["text"]), settled)
+                .otherwise(F.transform(F.array(one_pass(before["text"])), lambda after: made(before, after))[0]))
+
+    return F.aggregate(F.sequence(F.lit(1), passes), state, step)
+
+
+def one_pass_of(rules: Sequence[RewriteRule]) -> Passer:
+    """(one pass of the rules, whether any may match)."""
+    def one_pass(value: Column) -> Column:
+        for rule in rules:
+            value = rule.apply(value)
+        return value
+
+    def may_match(value: Column) -> Column:
         def test(lowered: Column) -> Column:
             found = F.lit(False)
             for rule in rules:
@@ -138,40 +158,43 @@ def rewrite(text: Column, rules: Sequence[RewriteRule], first_passes: int = 8) -
 
         return F.exists(F.array(F.lower(value)), test)
 
-    def one_pass(value: Column) -> Column:
-        for rule in rules:
-            value = rule.apply(value)
-        return value
+    return one_pass, may_match
+
+
+def _by_type(letter_type: Column, rules: RewriteSet, choose: Callable[[str | None], Column]) -> Column:
+    result = None
+    for name in rules.types():
+        result = F.when(letter_type == name, choose(name)) if result is None else result.when(letter_type == name, choose(name))
+    return choose(None) if result is None else result.otherwise(choose(None))
 
-    def step(state: Column, _: Column) -> Column:
-        before = state["text"]
-        after = F.transform(
-            F.array(one_pass(before)),
-            lambda value: F.struct(value.alias("text"), (value == before).alias("settled")),
-        )[0]
-        return F.when(state["settled"] | ~needs_pass(before),
-                      F.struct(before.alias("text"), F.lit(True).alias("settled"))).otherwise(after)
 
-    def finish(state: Column) -> Column:
-        """``state`` if it is settled, else what more passes make of it."""
-        more = F.aggregate(F.sequence(F.lit(0), F.length(state["text"]) + 1), state, step)
-        last = F.transform(F.array(more), lambda s: F.when(s["settled"], s["text"]).otherwise(
-            F.raise_error(F.lit("rewrite rules do not settle"))))[0]
-        return F.when(state["settled"], state["text"]).otherwise(last)
+def one_pass_by_type(letter_type: Column, rules: RewriteSet) -> Passer:
+    """``one_pass_of`` the general rules, then of those of the letter's own type."""
+    return (lambda value: _by_type(letter_type, rules, lambda name: one_pass_of(rules.for_type(name))[0](value)),
+            lambda value: _by_type(letter_type, rules, lambda name: one_pass_of(rules.for_type(name))[1](value)))
 
-    start = F.struct(text.alias("text"), F.lit(False).alias("settled"))
-    folded = F.aggregate(F.sequence(F.lit(1), F.lit(first_passes)), start, step, finish)
-    return F.when(text.isNotNull(), folded)
+
+def rewrite(text: Column, rules: Sequence[RewriteRule], first_passes: int = 8) -> Column:
+    """Apply ``rules`` in order, again and again until the text stops changing.
+
+    One pass is the chain of replacements, so every pattern is compiled once per task; a text that no rule can
+    match is left alone. After ``first_passes`` the few texts still changing get as many passes as they have
+    characters, more than any rules that shrink a text need. A text in a cycle stays as it was when it came back, one
+    that grows without end as it is then: neither ends the job. ``operators.rewriting`` tells which texts these are.
+    """
+    if not rules:
+        return text
+    check_rewrites(rules)
+    one_pass, may_match = one_pass_of(rules)
+    first = after_passes(open_state(text), F.lit(first_passes), one_pass, may_match)
+    whole = F.transform(F.array(first), lambda state: F.when(state["status"] != OPEN, state).otherwise(
+        after_passes(state, F.length(state["text"]) + 1, one_pass, may_match)))[0]
+    return F.when(text.isNotNull(), whole["text"])
 
 
 def rewrite_by_type(text: Column, letter_type: Column, rules: RewriteSet) -> Column:
     """General rules, then those of the letter's own type."""
-    result = None
-    for name in rules.types():
-        own = rewrite(text, rules.for_type(name))
-        result = F.when(letter_type == name, own) if result is None else result.when(letter_type == name, own)
-    general = rewrite(text, rules.for_type(None))
-    return general if result is None else result.otherwise(general)
+    return _by_type(letter_type, rules, lambda name: rewrite(text, rules.for_type(name)))
 
 
 def fill_template(template: str, **slots: Column) -> Column:

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lettermill.operators.gate import REQUEST_KEY, gate, pending
+from lettermill.operators.gate import REQUEST_KEY, gate
 from lettermill.operators.prep import key_hash
 from lettermill.operators.records import to_sft
 from lettermill.sources.readers import XML_NULL
+from lettermill.sources.store import KeyedStore
 
 SMALL_ORIGIN = "guideline"
 LETTER_END = "\n"  # after the text of a letter file
@@ -29,47 +31,39 @@ def write_qa(qa: DataFrame, path: str) -> None:
      .option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
-def read_responses(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(RESPONSE_SCHEMA).parquet(path)
-
+def response_store(spark: SparkSession, path: str, buckets: int = 64) -> KeyedStore:
+    return KeyedStore(spark, path, RESPONSE_SCHEMA, REQUEST_KEY, buckets)
 
-def _laid_out(df: DataFrame, layout: str, per_value: int) -> DataFrame:
-    """Rows of one layout value in at most ``per_value`` tasks, so that a write makes no more files than that."""
-    spread = F.pmod(F.xxhash64(*df.columns), F.lit(per_value))
-    return df.repartition(F.col(layout), spread)
 
-
-def _stored(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
-    """What a store holds; null if there is none yet."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
-        return None
-    return spark.read.schema(schema).parquet(path)
+def read_responses(spark: SparkSession, path: str) -> DataFrame:
+    return response_store(spark, path).current()
 
 
-def append_responses(responses: DataFrame, path: str, phrases: Mapping[str, Sequence[str]], per_kind: int = 8) -> None:
-    """Append the good responses whose key has no good stored one, once per key; files are laid out by kind.
+def append_responses(responses: DataFrame, path: str, phrases: Mapping[str, Sequence[str]], batch: str | None = None) -> bool:
+    """Append the good responses whose key has no good stored one, once per key, as one commit.
 
     Bad responses are not stored and so stay pending. Of good responses with one key in a batch the first in
-    text order is stored.
+    text order is stored. ``batch`` names the commit (without one the time does): sent again, it changes nothing.
     """
     fresh = gate(responses, phrases, "response", "kind")
-    store = _stored(responses.sparkSession, path, RESPONSE_SCHEMA)
-    if store is not None:
-        fresh = pending(fresh, store, phrases)
-    once = fresh.groupBy(*REQUEST_KEY).agg(F.min("response").alias("response"))
-    _laid_out(once, "kind", per_kind).write.mode("append").partitionBy("kind").parquet(path)
+    store = response_store(responses.sparkSession, path)
+    return store.append(batch or _now(), fresh, lambda stored: gate(stored, phrases, "response", "kind"))
 
 
 KNOWN_SCHEMA = "index string, value string, kind string"
 
 
-def append_known(known: DataFrame, path: str, per_kind: int = 8) -> None:
-    """Append extracted facts (index, kind, value), once per key."""
-    store = _stored(known.sparkSession, path, KNOWN_SCHEMA)
-    fresh = known if store is None else known.join(store, ["index", "kind"], "left_anti")
-    once = fresh.groupBy("index", "kind").agg(F.min("value").alias("value"))
-    _laid_out(once, "kind", per_kind).write.mode("append").partitionBy("kind").parquet(path)
+def known_store(spark: SparkSession, path: str, buckets: int = 64) -> KeyedStore:
+    return KeyedStore(spark, path, KNOWN_SCHEMA, ("index", "kind"), buckets)
+
+
+def append_known(known: DataFrame, path: str, batch: str | None = None) -> bool:
+    """Append extracted facts (index, kind, value), once per key, as one commit."""
+    return known_store(known.sparkSession, path).append(batch or _now(), known)
+
+
+def _now() -> str:
+    return f"{time.time_ns():020d}"
 
 
 def write_letters(letters: DataFrame, path: str) -> None:

@@ -92,13 +92,30 @@ def test_rewrite_settles_on_long_runs(spark):
     assert one(spark, None, lambda c: rewrite(c, squeeze)) is None
 
 
-def test_rewrite_refuses_cycles(spark):
-    with pytest.raises(Exception, match="do not settle"):
-        one(spark, "x a", lambda c: rewrite(c, [RewriteRule("a", "b"), RewriteRule("b", "c"), RewriteRule("c", "a d")]))
+def test_rewrite_ends_with_rules_that_feed_one_another(spark):
+    cycle = [RewriteRule("bq", "cq"), RewriteRule("aq", "bq"), RewriteRule("cq", "aq")]
+    assert one(spark, "x aq", lambda c: rewrite(c, cycle)) == "x aq"
+    assert one(spark, "x a", lambda c: rewrite(c, [RewriteRule("a", "b"), RewriteRule("b", "c"), RewriteRule("c", "a d")])).startswith("x a d d")
     with pytest.raises(ValueError):
         rewrite(F.lit("x"), [RewriteRule("a", "aa")])
 
 
+def test_rewrite_in_rounds(spark, tmp_path):
+    from lettermill.operators.rewriting import rewrite_in_rounds
+
+    rules = RewriteSet(general=[RewriteRule("xx", "x"), RewriteRule("bq", "cq"), RewriteRule("aq", "bq"), RewriteRule("cq", "aq")], by_type={"denial": [RewriteRule("z", "")]})
+    rows = [(i, "appeal", "y" + "x" * i) for i in range(1, 90, 8)] + [(200, "appeal", "bq and xx"), (201, "rejection", "zz cq"), (202, "appeal", None), (203, "appeal", ""),
+            (204, "rejection", "z"), (205, None, "xxz")]
+    df = spark.createDataFrame([(*r, "mine") for r in rows], "id int, kind string, t string, converged string")
+    got = {r["id"]: (r["t"], r["converged"]) for r in rewrite_in_rounds(df, "t", "kind", rules, str(tmp_path / "r"), first_passes=1).collect()}
+    want = {i: ("yx", True) for i in range(1, 90, 8)} | {202: (None, True), 203: ("", True), 204: ("", True), 205: ("xz", True)}
+    assert {i: v for i, v in got.items() if i not in (200, 201)} == want
+    assert got[200][0] in ("aq and x", "bq and x") and not got[200][1] and not got[201][1] and "z" not in got[201][0]
+    growing = RewriteSet(general=[RewriteRule("a", "b"), RewriteRule("b", "c"), RewriteRule("c", "a d")])
+    last = rewrite_in_rounds(df.filter("id = 200"), "t", "kind", growing, str(tmp_path / "g"), max_passes=16).first()
+    assert not last["converged"] and last["t"].count(" d") > 10
+
+
 def test_rewrite_finds_letters_that_fold(spark):
     assert one(spark, "this iſ x", lambda c: rewrite(c, [RewriteRule("is x", "was")])) == "this was"
 
@@ -115,13 +132,40 @@ def test_response_store_is_written_once_per_key(spark, tmp_path):
     path = str(tmp_path / "store")
     rows = spark.createDataFrame([("i", "appeal", 0, 0, "good"), ("i", "appeal", 0, 0, "also good"), ("j", "appeal", 0, 0, "bad one")],
                                  "index string, kind string, model_index bigint, variant bigint, response string")
-    writers.append_responses(rows, path, {"appeal": ["bad"]})
-    writers.append_responses(rows, path, {"appeal": ["bad"]})
+    assert writers.append_responses(rows, path, {"appeal": ["bad"]})
+    assert writers.append_responses(rows, path, {"appeal": ["bad"]})
     assert values(readers_of(spark, path)) == [("also good", "i")]
+    # What was good is bad by another list, so its key is open again.
+    writers.append_responses(rows, path, {"appeal": ["also"]})
+    assert values(readers_of(spark, path)) == [("also good", "i"), ("bad one", "j"), ("good", "i")]
     known = spark.createDataFrame([("i", "treatment", "x"), ("i", "treatment", "y")], "index string, kind string, value string")
     for _ in range(2):
         writers.append_known(known, str(tmp_path / "known"))
-    assert spark.read.parquet(str(tmp_path / "known")).count() == 1
+    assert values(writers.known_store(spark, str(tmp_path / "known")).current()) == [("i", "x", "treatment")]
+
+
+def test_store_commits_whole_batches(spark, tmp_path):
+    from lettermill.sources.store import KeyedStore
+
+    store = KeyedStore(spark, str(tmp_path / "s"), "k bigint, v string", ["k"], buckets=4)
+    of = lambda *rows: spark.createDataFrame(list(rows), "v string, k bigint, other int")
+    assert values(store.current()) == [] and store.batches() == [] and not store.compact("0")
+    assert store.append("1", of(("a", 1, 0), ("b", 1, 0), ("n", None, 0)))
+    assert not store.append("1", of(("x", 9, 0)))
+    # A batch that broke off: rows, but no commit, or a commit without its marker.
+    of(("lost", 7, 0)).select("k", "v").write.parquet(str(tmp_path / "s/data/batch=2/bucket=0"))
+    (tmp_path / "s/commits/batch=2").mkdir()
+    (tmp_path / "s/commits/batch=2/part-0.json").write_text('{"replaces": ["1"], "buckets": [0], "n": 1}')
+    assert values(store.current()) == [(1, "a"), (None, "n")] and store.batches() == ["1"]
+    assert store.append("2", of(("c", 2, 0), ("again", 1, 0), ("again", None, 0)))
+    assert store.append("3", of())
+    want = [(1, "a"), (2, "c"), (None, "n")]
+    assert values(store.current()) == want
+    assert store.compact("4") and values(store.current()) == want and store.batches() == ["4"]
+    assert not store.compact("5") and not store.append("2", of(("late", 5, 0)))
+    with pytest.raises(ValueError):
+        store.append("35", of(("late", 5, 0)))
+    assert store.append("5", of(("e", 5, 0), ("again", 2, 0))) and values(store.current()) == [*want[:2], (5, "e"), want[2]]
 
 
 def readers_of(spark, path):
