@@ -1,15 +1,14 @@
-"""What several of the operators share: tables, shared storage, sized broadcasts, words, components."""
+"""What several of the operators share: tables, shared storage, words, names, components."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Patterns of the word forms the operators count in; the same text works in Java, RE2 and Python.
+from lettermill.sources.scratch import fresh_dir, shared_dir
+
+# The pattern of words of letters and digits; the same text works in Java, RE2 and Python.
 LETTER_WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-SPACED_WORDS = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 # Bytes: A-Z to a-z, every other ASCII character that is no letter or digit to a space.
@@ -27,25 +26,11 @@ def letter_words(text: str | None) -> list[bytes]:
     return text.encode().translate(LETTER_TABLE).split() if text else []
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, as configured."""
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if configured:
-        return configured.rstrip("/")
-    current = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if current.isDefined():
-        return current.get().rstrip("/")
-    raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-
-
-def fresh_dir(spark: SparkSession, name: str) -> str:
-    """A folder name in shared storage that no other run uses."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder and read from there: its lineage ends here."""
-    shared_dir(df.sparkSession)
+    spark, place = df.sparkSession, shared_dir(df.sparkSession)
+    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+        spark.sparkContext.setCheckpointDir(place)
     return df.checkpoint(eager=True)
 
 
