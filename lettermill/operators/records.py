@@ -13,6 +13,7 @@ from lettermill.operators.extract import extract_recommendations
 from lettermill.operators.gate import path_endswith
 from lettermill.operators.select import best_per_rejection, case_wide, choose_best, dedup_first
 from lettermill.rules import MAX_ANSWER_CHARS, RECOMMENDATION_SEPARATOR, fill_template
+from lettermill.sources.scratch import fresh_dir
 
 RECORD_COLUMNS = ("case_id", "kind", "source_path", "system", "instruction", "result")
 WIDE_TYPES = ("appeal", "diagnosis", "medically_necessary", "patient_history", "studies", "treatment")
@@ -41,15 +42,6 @@ def _clause(records: RecordSet, name: str, value: str) -> Column:
     return F.when(F.col(value).isNotNull(), fill_template(records.clauses[name], value=F.col(value))).otherwise("")
 
 
-def _record(df: DataFrame, kind: str, template: RecordTemplate, result: str, source: str,
-            slots: Mapping[str, Column]) -> DataFrame:
-    return df.select(
-        "case_id", F.lit(kind).alias("kind"), F.col(source).alias("source_path"),
-        F.lit(template.system).alias("system"),
-        fill_template(template.instruction, **slots).alias("instruction"),
-        F.col(result).alias("result"))
-
-
 def case_records(scored: DataFrame, records: RecordSet) -> DataFrame:
     """All records of all cases, from letters with ``base_score`` (see ``select.score_letters``).
 
@@ -58,19 +50,26 @@ def case_records(scored: DataFrame, records: RecordSet) -> DataFrame:
     anew against each rejection.
 
     The best texts of a case are one row; rejections join it by case. A hot case is split there by AQE:
-    nothing after that join asks for rows of a case together. All record kinds of a rejection are laid
-    out in one array and exploded, so the letters are read once for all of them.
+    nothing after that join asks for rows of a case together. All record kinds of a case, and of a rejection, are laid
+    out in one array and exploded, so the letters are read once for all of them; the best texts are staged.
     """
-    best = choose_best(scored.filter(F.col("letter_type").isin(*WIDE_TYPES)))
-    wide = case_wide(best, WIDE_TYPES)
+    place = fresh_dir(scored.sparkSession, "best-texts")
+    case_wide(choose_best(scored.filter(F.col("letter_type").isin(*WIDE_TYPES))), WIDE_TYPES).write.parquet(place)
+    wide = scored.sparkSession.read.parquet(place)
     cased = wide.withColumns({"history_clause": _clause(records, "history_clause", "patient_history"),
                               "diagnosis_clause": _clause(records, "diagnosis_clause", "diagnosis"),
                               "source_path": F.lit("")})
     own = {c: F.col(c) for c in ("history_clause", "diagnosis", "treatment")}
-    why = _record(cased.filter("medically_necessary IS NOT NULL AND treatment IS NOT NULL AND diagnosis IS NOT NULL"),
-                  "why", records.kinds["why"], "medically_necessary", "source_path", own)
-    studies = _record(cased.filter("studies IS NOT NULL AND treatment IS NOT NULL AND diagnosis IS NOT NULL"),
-                      "studies", records.kinds["studies"], "studies", "source_path", own)
+
+    def once(kind: str, result: str) -> Column:
+        """A case's record of a kind, null where a text for it is missing."""
+        template = records.kinds[kind]
+        there = F.col(result).isNotNull() & F.col("treatment").isNotNull() & F.col("diagnosis").isNotNull()
+        return F.when(there, F.struct(F.lit(kind).alias("kind"), F.lit(template.system).alias("system"),
+                                      fill_template(template.instruction, **own).alias("instruction"), F.col(result).alias("result")))
+
+    per_case = cased.select("case_id", "source_path", F.explode(F.array_compact(F.array(once("why", "medically_necessary"), once("studies", "studies")))).alias("r"))
+    of_cases = per_case.select("case_id", "r.kind", "source_path", "r.system", "r.instruction", "r.result")
 
     chosen = best_per_rejection(scored, ("treatment", "reason_for_denial"))
     per_rejection = chosen.groupBy("rejection_path").agg(
@@ -93,7 +92,7 @@ def case_records(scored: DataFrame, records: RecordSet) -> DataFrame:
             F.col(f"_{kind}").alias("result"))))
     per_kind = joined.select("case_id", F.col("rejection_path").alias("source_path"), F.explode(F.array_compact(F.array(*kinds))).alias("r"))
     of_rejections = per_kind.select("case_id", "r.kind", "source_path", "r.system", "r.instruction", "r.result")
-    return why.unionByName(studies).unionByName(of_rejections)
+    return of_cases.unionByName(of_rejections)
 
 
 def drug_records(qa: DataFrame, system: str) -> DataFrame:

@@ -17,6 +17,8 @@ from lettermill.operators.urls import url_score
 from lettermill.rules import (
     CONTAINED_BONUS, DEFAULT_MIN_LENGTH, MIN_LENGTHS, NULL_SCORE, SCORE_KEYS,
 )
+from lettermill.sources.scratch import fresh_dir
+
 
 def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The first row of each group; ``order`` must be total within a group."""
@@ -117,17 +119,23 @@ def best_per_rejection(scored: DataFrame, types: Sequence[str] = ("treatment",))
 
     Not all pairs of a case are formed. Without the bonus the winner is the same for the whole case: one
     row. With it only distinct texts count, and only those within the bonus of that winner can overtake it;
-    which of these a rejection holds is found through their words (``contain.contained``).
+    which of these a rejection holds is found through their words (``contain.contained``). The distinct options, and those
+    that can win, are staged, as each of the next steps reads them: the letters are read once for them.
     """
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{place}/{name}")
+        return scored.sparkSession.read.schema(df.schema).parquet(f"{place}/{name}")
+
+    place = fresh_dir(scored.sparkSession, "options")
     options = (scored.filter(F.col("letter_type").isin(*types) & F.col("text").isNotNull())
                .select("case_id", "letter_type", F.col("path").alias("option_path"),
                        F.col("text").alias("option_text"), F.lower("text").alias("_needle"), "base_score"))
     ranking = [F.desc("base_score"), F.col("option_path")]
     group = ["case_id", "letter_type"]
-    distinct = first_by(options, [*group, "_needle"], ranking)
-    leader = first_by(distinct, group, ranking)
+    distinct = kept(first_by(options, [*group, "_needle"], ranking), "distinct")
     bounds = distinct.groupBy(*group).agg(F.max("base_score").alias("_lead"))
-    rivals = distinct.join(bounds, group).filter(F.col("base_score") + CONTAINED_BONUS >= F.col("_lead")).drop("_lead")
+    rivals = kept(distinct.join(bounds, group).filter(F.col("base_score") + CONTAINED_BONUS >= F.col("_lead")).drop("_lead"), "rivals")
+    leader = first_by(rivals, group, ranking)
     rejections = (scored.filter("letter_type = 'rejection'")
                   .select("case_id", F.col("path").alias("rejection_path"), F.lower("text").alias("_rejection")))
     pairs = contained(rejections, ["rejection_path"], "_rejection", rivals, ["letter_type", "option_path"], "_needle", "case_id")
