@@ -86,14 +86,21 @@ class Scanner:
         if seeds:
             self.automaton.make_automaton()
         self.any_seed = bool(seeds)
-        patterns = [regex.compile(rf"(?b)(?<![^ ])(?:{regex.escape(n.words, special_only=True)}){{e<={n.max_errors}}}(?![^ ])")
-                    for n in self.notices]
+        # The library puts no error before the first letter, so letters too many there are counted by patterns of their own.
+        patterns = [[regex.compile(rf"(?b)(?<![^ ]).{{{ahead}}}(?:{regex.escape(n.words, special_only=True)}){{e<={n.max_errors - ahead}}}(?![^ ])")
+                     for ahead in range(n.max_errors + 1)] for n in self.notices]
 
         @lru_cache(maxsize=4096)
         def verify(i: int, window: str) -> tuple[int, int, int] | None:
             """Start, end and errors of the best match in the window; one text seen again costs nothing."""
-            found = patterns[i].search(window)
-            return (*found.span(), sum(found.fuzzy_counts)) if found else None
+            best = None
+            for ahead, pattern in enumerate(patterns[i]):
+                if best and best[2] <= ahead:
+                    break
+                found = pattern.search(window)
+                if found and (best is None or ahead + sum(found.fuzzy_counts) < best[2]):
+                    best = (*found.span(), ahead + sum(found.fuzzy_counts))
+            return best
 
         self.verify = verify
 
@@ -189,3 +196,18 @@ def scan_digest(scanned: DataFrame) -> DataFrame:
 
 def op6_licences(spark, sf_dir: str) -> DataFrame:
     return scan_digest(scan_licences(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+# The columns of the query that SQL can state; the labels of the fuzzy search and the score are beyond it.
+OP6_BASE_SQL = r"""
+WITH docs AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+starts AS (SELECT doc_id, w, unnest(range(0, len(w))) AS i FROM docs),
+found AS (
+  SELECT doc_id, i, 'mit' AS label FROM starts WHERE w[i + 1:i + 4] = ['under', 'the', 'mit', 'license']
+  UNION ALL SELECT doc_id, i, 'apache-2' FROM starts WHERE w[i + 1:i + 4] = ['apache', 'license', 'version', '2']
+  UNION ALL SELECT doc_id, i, 'cc-by-nc' FROM starts WHERE w[i + 1:i + 3] = ['cc', 'by', 'nc'])
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, count(i) AS n_base, min(i) AS first_word, max(i) AS last_word,
+  coalesce(string_agg(DISTINCT label, ',' ORDER BY label), '') AS base_labels
+FROM docs d LEFT JOIN found USING (doc_id) GROUP BY d.doc_id, d.w
+"""
