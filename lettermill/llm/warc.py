@@ -11,6 +11,7 @@ import base64
 import gzip
 import hashlib
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -46,19 +47,40 @@ class ArcRecord:
 def _header(line: bytes, names: list[str]) -> dict[str, str] | None:
     """Fields of a header line. A URL may hold spaces, so fields are counted from the right."""
     parts = line.decode("utf-8", "replace").rsplit(" ", len(names) - 1)
-    if len(parts) != len(names) or not parts[-1].isdigit() or ":" not in parts[0]:
+    if len(parts) != len(names) or not re.fullmatch("[0-9]{1,18}", parts[-1]) or ":" not in parts[0]:
         return None
     return dict(zip(names, parts))
 
 
+def gunzip(content: bytes) -> bytes:
+    """What can be read of gzipped content, member after member; a damaged member ends it."""
+    out = []
+    while content[:2] == b"\x1f\x8b":
+        reader = zlib.decompressobj(16 + zlib.MAX_WBITS)
+        try:
+            out.append(reader.decompress(content))
+        except zlib.error:
+            # A few bytes at a time, to get at what stands before the damage.
+            reader = zlib.decompressobj(16 + zlib.MAX_WBITS)
+            for at in range(0, len(content), 16):
+                try:
+                    out.append(reader.decompress(content[at:at + 16]))
+                except zlib.error:
+                    break
+            break
+        content = reader.unused_data.lstrip(b"\0") if reader.eof else b""
+    return b"".join(out)
+
+
 def parse_arc(content: bytes) -> Iterator[ArcRecord]:
     """The records of an ARC file (plain or gzipped), the version block first.
 
     A line that is no header is skipped, and what was skipped is told by the next record's ``problem``; so is
-    a body shorter than declared. Empty content has no records.
+    a body shorter than declared, of an archive that was cut off too. Empty content has no records. A version block
+    that tells no version or names that lack a length is read as version 1.
     """
     if content[:2] == b"\x1f\x8b":
-        content = gzip.decompress(content)
+        content = gunzip(content)
     names, at, skipped = ARC_NAMES[1].split(" "), 0, 0
     while at < len(content):
         end = content.find(b"\n", at)
@@ -78,9 +100,10 @@ def parse_arc(content: bytes) -> Iterator[ArcRecord]:
         record = ArcRecord(at, fields, body, problem)
         if record.is_description:
             told = body.split(b"\n")
-            version = int(told[0].split(b" ")[0]) if told[0][:1].isdigit() else 1
-            named = told[1].decode("ascii", "replace").strip() if len(told) > 1 else ""
-            names = (named or ARC_NAMES.get(version, ARC_NAMES[1])).split(" ")
+            version = re.match(rb"[0-9]{1,3}", told[0])
+            named = told[1].decode("ascii", "replace").split() if len(told) > 1 else []
+            sound = len(named) > 1 and named[0] == "URL" and named[-1] == "Archive-length"
+            names = named if sound else ARC_NAMES.get(int(version[0]) if version else 1, ARC_NAMES[1]).split(" ")
         yield record
         at, skipped = end + 1 + length, 0
 

@@ -37,6 +37,23 @@ def test_arc_damage_is_told():
     assert list(warc.parse_arc(b"")) == []
 
 
+def test_damaged_archives_are_read_as_far_as_they_go(spark):
+    records = [(f"http://a/{i}", "0.0.0.0", "t/p", b"body %d " % i * 300) for i in range(40)]
+    content = warc.arc_bytes(records, 1, "n.arc", "2000")
+    packed = gzip.compress(content)
+    cut = list(warc.parse_arc(packed[:-40]))
+    assert [r.body for r in cut[1:-1]] == [b for *_, b in records[:len(cut) - 2]] and len(cut) > 20
+    broken = list(warc.parse_arc(packed[:len(packed) // 2] + b"\xff" * 60 + packed[len(packed) // 2 + 60:]))
+    assert broken and all(r.fields["Archive-length"].isdecimal() for r in broken)
+    assert [r.body for r in warc.parse_arc(gzip.compress(content[:5000]) + gzip.compress(content[5000:]))] == [r.body for r in warc.parse_arc(content)]
+    assert list(warc.parse_arc(b"\x1f\x8b junk")) == []
+    assert len(list(warc.parse_arc(content.replace(b"\n1 0 lettermill\n", b"\n1.1 0 x\n        \n")))) == 41
+    odd = content.replace(b"http://a/7 0.0.0.0 2000 t/p 2100", "http://a/7 0.0.0.0 2000 t/p ²²²".encode())
+    assert [r.problem is None for r in warc.parse_arc(odd)].count(False) == 1 and len(list(warc.parse_arc(odd))) == 40
+    archives = spark.createDataFrame([("a", packed[:-40]), ("b", odd), ("c", b""), ("d", None), ("e", b"\x1f\x8b\x08")], "path string, content binary")
+    assert warc.convert_arc(archives).count() == len(cut) + 40
+
+
 def test_warc_date_and_digest():
     assert warc.warc_date("20010203") == "2001-02-03T00:00:00Z" and warc.warc_date("20010203040506") == "2001-02-03T04:05:06Z"
     assert warc.digest32(b"") == base64.b32encode(hashlib.sha1(b"").digest()).decode()
@@ -97,6 +114,57 @@ def test_licence_scan(spark):
     assert got[2]["labels"] == "apache-2" and got[2]["score"] < 1 and got[7]["labels"] == "reserved" and got[3]["labels"] == "" and got[3]["score"] == 0
 
 
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row, before = [i], row
+        for j, y in enumerate(b, 1):
+            row.append(min(before[j] + 1, row[-1] + 1, before[j - 1] + (x != y)))
+    return row[-1]
+
+
+def test_fuzzy_labels_equal_trying_every_place():
+    """A notice is found if and only if some run of whole words is within its errors; its span is such a run."""
+    import random
+
+    draw = random.Random(4)
+    notices = [licences.Notice("one", "all rights reserved", 1), licences.Notice("two", "free of charge to any", 2), licences.Notice("three", "gnu public license", 3)]
+    scanner = licences.Scanner(notices, [])
+    words = ["all", "rights", "reserved", "free", "of", "charge", "to", "any", "gnu", "public", "license", "x", "oft", "right"]
+
+    def damaged(text):
+        letters = list(text)
+        for _ in range(draw.randint(0, 4)):
+            at = draw.randrange(len(letters))
+            letters[at:at + draw.randint(0, 1)] = draw.choice(["", "e", " ", "q"])
+        return "".join(letters)
+
+    found_any = 0
+    for _ in range(250):
+        line = " ".join(" ".join(draw.choice([draw.choice(words), damaged(draw.choice(notices).words)]) for _ in range(draw.randint(1, 4))).split())
+        starts, ends = [0, *[i + 1 for i, c in enumerate(line) if c == " "]], [*[i for i, c in enumerate(line) if c == " "], len(line)]
+        want = {n.label for n in notices if any(a < b <= a + len(n.words) + n.max_errors and distance(line[a:b], n.words) <= n.max_errors for a in starts for b in ends)}
+        got = scanner.fuzzy(line)
+        assert {label for label, *_ in got} == want, line
+        cut = line.split(" ")
+        for label, first, last, errors in got:
+            notice = next(n for n in notices if n.label == label)
+            assert distance(" ".join(cut[first:last + 1]), notice.words) <= errors <= notice.max_errors
+        found_any += bool(want)
+    assert found_any > 100
+
+
+def test_base_columns_equal_sql(spark):
+    import duckdb
+
+    sf = "/root/testdata/sf0.001"
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
+    want = db.execute(licences.OP6_BASE_SQL)
+    names = [c[0] for c in want.description]
+    assert sorted(map(tuple, licences.op6_licences(spark, sf).select(*names).collect())) == sorted(want.fetchall())
+
+
 def test_pieces_cover_the_notice():
     for notice in licences.NOTICES:
         assert "".join(p for _, p in licences.pieces(notice)) == notice.words and len(licences.pieces(notice)) == notice.max_errors + 1
@@ -119,6 +187,25 @@ def test_documents_without_an_id_are_all_counted(spark, tmp_path):
     assert got == [("s", 4, 7 + 7 + 16 + 7), ("t", 1, 7)]
 
 
+def test_totals_are_those_of_every_document(spark):
+    import base64
+    from collections import defaultdict
+
+    import tiktoken
+
+    with open(tokens.TOKENIZER_FILE, "rb") as lines:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    encoding = tiktoken.Encoding("plain", pat_str=tokens.TOKENIZER_PATTERN, mergeable_ranks=ranks, special_tokens={})
+    sf, want = "/root/testdata/sf0.001", defaultdict(lambda: [0, 0, 0])
+    for r in spark.read.parquet(f"{sf}/documents.parquet").collect():
+        n = len(encoding.encode_ordinary(r["text"] or ""))
+        if n:
+            for k, x in enumerate((1, n, len(r["text"]))):
+                want[r["source"], r["lang"]][k] += x
+    got = {(r["source"], r["lang"]): [r["n_docs"], r["n_tokens"], r["n_chars"]] for r in tokens.op5_tokens(spark, sf).collect()}
+    assert got == dict(want)
+
+
 def test_rollup_is_idempotent_and_signed(spark):
     store = tokens.TokenRollup(spark, fresh_dir(spark, "rollup"))
     schema = "doc_id bigint, tokenizer string, source string, lang string, deleted boolean, n_tokens bigint, n_chars bigint"
