@@ -40,7 +40,6 @@ ROW_TOKENS = 1 << 16
 BLOCK_TOKENS = 1 << 18
 FILE_TOKENS = 1 << 24
 KNOWN_PIECES = 250_000  # pieces whose ids a worker remembers, and stretches of them; it only saves work
-MARKS = 1 << 22
 FILE, BLOCK = b"HTF1", b"HTB1"
 
 # A single space between characters that are no white space: byte-level pieces never reach across its left side.
@@ -75,13 +74,18 @@ class TextEncoder:
         self.by_piece = (
             before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space", True)
             and told.get("normalizer") is None and told.get("truncation") is None and told["model"].get("type") == "BPE"
-            and not told["model"].get("dropout")
+            and not any(told["model"].get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "fuse_unk", "byte_fallback", "ignore_merges"))
             and not any(a.get("lstrip") or a.get("rstrip") or a.get("single_word") or re.search(r"\s", a["content"]) for a in added))
         # Byte-level pairs are over characters: a printable Latin-1 byte stands for itself, the others follow from 256 on.
         printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
         self.letters = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in printable)}
         self.space = chr(self.letters[32])
         self.by_word = self.by_piece and not any(_WORD.fullmatch(s) for s in self.special)
+        if self.by_piece:  # the model alone, without its own memory of pieces, which costs more than it saves here
+            from tokenizers.models import BPE
+
+            pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in told["model"]["merges"]]
+            self.pairs = BPE(told["model"]["vocab"], pairs, cache_capacity=0)
         self.pieces, self.stretches = _Known(self._piece, known), _Known(self._after_border, known)
 
     def _whole(self, text: str) -> bytes:
@@ -89,7 +93,7 @@ class TextEncoder:
 
     def _piece(self, letters: str) -> bytes:
         """Ids of a piece in the vocabulary's own letters."""
-        return array("I", [t.id for t in self.tokenizer.model.tokenize(letters)]).tobytes()
+        return array("I", [t.id for t in self.pairs.tokenize(letters)]).tobytes()
 
     def _stretch(self, text: str) -> bytes:
         """Ids of a text that starts and ends where pieces do."""
@@ -130,24 +134,21 @@ class TextEncoder:
 class _Known(dict):
     """What was worked out for keys that came twice: at most twice ``size`` values, of which those not asked for longest go.
 
-    Keys that come only once, most of the rare ones, leave a mark but take no room.
+    Keys that came once wait beside, at most ``size``, as most of the rare ones never come again.
     """
 
     def __init__(self, work_out: Callable[[str], bytes], size: int) -> None:
         super().__init__()
-        self.work_out, self.size, self.before = work_out, size, {}
-        self.marks, self.marked = bytearray(MARKS), 0
+        self.work_out, self.size, self.before, self.once = work_out, size, {}, {}
 
     def __missing__(self, key: str) -> bytes:
-        found = self.before.get(key)
+        found = self.before.get(key) or self.once.pop(key, None)
         if found is None:
-            found, place = self.work_out(key), hash(key) % MARKS
-            if not self.marks[place]:
-                if self.marked > MARKS // 2:
-                    self.marks, self.marked = bytearray(MARKS), 0
-                self.marks[place] = 1
-                self.marked += 1
-                return found
+            found = self.work_out(key)
+            if len(self.once) >= self.size:
+                self.once.clear()
+            self.once[key] = found
+            return found
         if len(self) >= self.size:
             self.before = self.copy()
             self.clear()
