@@ -186,6 +186,27 @@ def test_topk_leaves_out_zero_vectors_and_keeps_equal_ids(spark):
     assert [r["vec_id"] for r in retrieval.topk(queries, vectors, 5, exclude_self=True).collect()] == [3]
 
 
+def test_topk_asks_few_lists_and_misses_nothing(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(12, 8))
+    every = [(i, (centres[i % 12] + rng.normal(size=8) * 0.15).tolist()) for i in range(600)]
+    every += [(1000 + i, rng.normal(size=3).tolist()) for i in range(4)] + [(2000, every[0][1]), (2001, every[0][1]), (2002, None), (2003, [float("nan")] * 8), (None, [1.0] * 8), (2004, [0.0] * 8)]
+    asked = [(i, v) for i, v in every if i is not None and i % 7 == 0 or i in (1001, 2000, 2003)]
+    vectors, queries = spark.createDataFrame(every, "vec_id bigint, embedding array<double>"), spark.createDataFrame(asked, "query_id bigint, embedding array<double>")
+    unit = {i: np.array(v) / np.linalg.norm(v) for i, v in every if i is not None and v and np.isfinite(v).all() and any(v)}
+    want = []
+    for i, _ in asked:
+        if i in unit:
+            near = sorted((-(round(float(unit[i] @ v), 6) + 0.0), j) for j, v in unit.items() if j != i and len(v) == len(unit[i]))[:6]
+            want += [(i, j, -s, n) for n, (s, j) in enumerate(near, 1)]
+    for pivots, cell in ((256, 20_000), (5, 40), (1, 7)):
+        got = retrieval.topk(queries, vectors, 6, exclude_self=True, pivots=pivots, cell_rows=cell).collect()
+        assert sorted((r["query_id"], r["vec_id"], round(r["similarity"], 5), r["rank"]) for r in got) == sorted((a, b, round(c, 5), d) for a, b, c, d in want)
+    assert retrieval.topk(queries, vectors.limit(0), 3).count() == 0 and retrieval.topk(queries.limit(0), vectors, 3).count() == 0
+
+
 def test_contained_equals_trying_all_pairs(spark):
     draw = random.Random(3)
     words = ["a", "bb", "ccc", "a b", "", "the"]
