@@ -88,8 +88,7 @@ TREATMENT_RULES = (
     ExtractRule(r"he wishes (to)\b"),
     ExtractRule(r"undergo ([^.]+)\."),
 )
-DIAGNOSIS_RULES = (ExtractRule(r"seeking (.+?) for ([^.]+)", 2), ExtractRule(r"in?to the hospital for ([^.]+)\."),
-                   ExtractRule(r"admitted to the hospital for ([^.]+)\."))
+DIAGNOSIS_RULES = (ExtractRule(r"seeking (.+?) for ([^.]+)", 2), ExtractRule(r"admitted to the hospital for ([^.]+)\."))
 
 PHRASES = {"appeal": ["erest", "Thinthe"], "denial": ["ndand"], "treatment": ["enqueç", "tionin"], "diagnosis": ["erst ", "of\nof"]}
 FLAT_PHRASES = {"appeal": ["erest", "Thinthe"], "denial": ["ndand"], "treatment": ["enqueç", "tionin"], "diagnosis": ["erst "]}
