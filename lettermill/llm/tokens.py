@@ -78,10 +78,15 @@ class TokenRollup:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(f"{self.path}/{part}").filter(F.col("batch").isin(done))
 
-    def current(self) -> DataFrame:
-        """The last word on each document and tokenizer version."""
+    def current(self, only: DataFrame | None = None) -> DataFrame:
+        """The last word on each document and tokenizer version, or on those in ``only`` (doc_id, tokenizer)."""
         last = Window.partitionBy("doc_id", "tokenizer").orderBy(F.desc("batch"))
-        return self._read("ledger", LEDGER).withColumn("_nth", F.row_number().over(last)).filter("_nth = 1").drop("_nth", "batch")
+        ledger = self._read("ledger", LEDGER)
+        if only is not None:
+            # What the batch does not speak of is not ranked.
+            asked = only.select(F.col("doc_id").alias("_d"), F.col("tokenizer").alias("_t"))
+            ledger = ledger.join(asked, F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("tokenizer").eqNullSafe(F.col("_t")), "left_semi")
+        return ledger.withColumn("_nth", F.row_number().over(last)).filter("_nth = 1").drop("_nth", "batch")
 
     def commit(self, batch: str, changes: DataFrame) -> bool:
         """Take in a batch of changes (doc_id, tokenizer, source, lang, deleted, n_tokens, n_chars) in one go.
@@ -104,9 +109,7 @@ class TokenRollup:
         new = self.spark.read.schema(LEDGER.rsplit(",", 1)[0]).parquet(f"{self.path}/ledger/batch={batch}")
         signed = new.filter("NOT deleted").select(*KEYS, F.lit(1).alias("sign"), "n_tokens", "n_chars")
         if done:
-            keys = new.select(F.col("doc_id").alias("_d"), F.col("tokenizer").alias("_t"))
-            old = self.current().filter("NOT deleted")
-            gone = old.join(keys, F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("tokenizer").eqNullSafe(F.col("_t")), "left_semi")
+            gone = self.current(new).filter("NOT deleted")
             signed = signed.unionByName(gone.select(*KEYS, F.lit(-1).alias("sign"), "n_tokens", "n_chars"))
         sums = signed.groupBy(*KEYS).agg(F.sum("sign").cast("bigint").alias("n_docs"), F.sum(F.col("sign") * F.col("n_tokens")).alias("n_tokens"),
                                          F.sum(F.col("sign") * F.col("n_chars")).alias("n_chars"))

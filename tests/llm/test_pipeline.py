@@ -72,3 +72,15 @@ def test_stages_equal_plain_versions(spark, tmp_path):
 def test_pipeline_of_empty_tables(spark, tmp_path):
     path = tables(spark, str(tmp_path / "e"), [], [], [])
     assert corpus_pipeline.run(spark, path).count() == 0
+
+
+def test_stages_leave_the_callers_columns(spark, tmp_path):
+    draw = random.Random(3)
+    path = tables(spark, str(tmp_path / "t"), [row(i, prose(draw, 50, 5000)) for i in range(6)], [(i, 1, 0) for i in range(6)], [(1, prose(draw, 12, 9))])
+    names = ("n_words", "n_removed", "kept_text", "toxicity", "row_one", "bad_id", "text_hash", "doc", "_doc")
+    docs = spark.read.parquet(f"{path}/documents.parquet").selectExpr("*", *[f"concat('{n} ', doc_id) AS `{n}`" for n in names], "map('k', doc_id) AS `a map`")
+    want = sorted(map(str, docs.collect()))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, path)
+        assert out.columns == docs.columns and sorted(map(str, out.collect())) == want, name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, path).count() == 6
