@@ -105,17 +105,25 @@ class TextEncoder:
 
     def _after_border(self, rest: str) -> bytes:
         """Ids of a stretch that comes after a border, given without its space; a line feed at its start it keeps."""
+        if self.by_word and rest.isascii():
+            # Most stretches: a word, or a word and a mark.
+            if rest.isalpha():
+                return self._piece(self.space + rest)
+            if rest[-1] in ",.;:!?" and rest[:-1].isalpha():
+                return self.stretches[rest[:-1]] + self.pieces[rest[-1]]
         line = rest[0] == "\n"
         word = self.by_word and _WORD.fullmatch(rest, line)
         if not word:
             return self._stretch(rest if line else " " + rest)
         letters, close = word.groups()
+        if close and not line:
+            return self.stretches[letters] + self.pieces[close]
         if not letters.isascii():
             letters = letters.encode().decode("latin-1").translate(self.letters)
-        found = self.pieces[letters] if line else self.pieces[self.space + letters]
-        if close:
-            found += self.pieces[close]
-        return self.pieces[chr(self.letters[10])] + found if line else found
+        if not line:
+            return self._piece(self.space + letters)
+        found = self.pieces[chr(self.letters[10])] + self.pieces[letters]
+        return found + self.pieces[close] if close else found
 
     def __call__(self, text: str) -> bytes:
         if not self.by_piece:
