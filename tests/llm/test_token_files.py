@@ -126,8 +126,9 @@ def test_files_equal_a_plain_loop(spark, path):
     files = sorted((f for c in contents for f in token_files.parts(c)), key=lambda f: f.part)
     assert len({f.part for f in files}) == len(files)
     whole = np.concatenate([x for f in files for *_, x in f.blocks()])
+    plain = Tokenizer.from_file(path)
     assert whole.tolist() == [x for i, t in sorted(texts, key=lambda r: (r[0] is None, r[0] or 0))
-                              for x in Tokenizer.from_file(path).encode(t or "", add_special_tokens=False).ids + [2]]
+                              for x in plain.encode(t or "", add_special_tokens=False).ids + [2]]
 
 
 def test_repeated_rows_follow_each_other(spark):
