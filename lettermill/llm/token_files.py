@@ -39,7 +39,7 @@ RUN = 64
 ROW_TOKENS = 1 << 16
 BLOCK_TOKENS = 1 << 18
 FILE_TOKENS = 1 << 24
-KNOWN_PIECES = 250_000  # pieces whose ids a worker remembers, and stretches of them; it only saves work
+KNOWN_PIECES = 400_000  # pieces whose ids a worker remembers, and stretches of them; it only saves work
 FILE, BLOCK = b"HTF1", b"HTB1"
 
 # A single space between characters that are no white space: byte-level pieces never reach across its left side.
@@ -140,23 +140,14 @@ class TextEncoder:
 
 
 class _Known(dict):
-    """What was worked out for keys that came twice: at most twice ``size`` values, of which those not asked for longest go.
-
-    Keys that came once wait beside, at most ``size``, as most of the rare ones never come again.
-    """
+    """What was worked out lately: at most twice ``size`` values, of which those not asked for longest go."""
 
     def __init__(self, work_out: Callable[[str], bytes], size: int) -> None:
         super().__init__()
-        self.work_out, self.size, self.before, self.once = work_out, size, {}, {}
+        self.work_out, self.size, self.before = work_out, size, {}
 
     def __missing__(self, key: str) -> bytes:
-        found = self.before.get(key) or self.once.pop(key, None)
-        if found is None:
-            found = self.work_out(key)
-            if len(self.once) >= self.size:
-                self.once.clear()
-            self.once[key] = found
-            return found
+        found = self.before.get(key) or self.work_out(key)
         if len(self) >= self.size:
             self.before = self.copy()
             self.clear()
