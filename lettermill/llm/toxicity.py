@@ -122,7 +122,7 @@ class Lexicon:
         try:
             return self.known[word]
         except KeyError:
-            if len(self.known) > 400_000 or len(self.states) > 200_000:
+            if len(self.known) > 200_000 or len(self.states) > 200_000:
                 self.forget()
             found = self.known[word] = self.look(word.decode())
             return found
