@@ -230,6 +230,33 @@ def test_phrases_in_equals_trying_all_pairs(spark):
     assert contain.phrases_in(spark.createDataFrame(texts, "g int, t int, x string"), ["t"], "x", none, "p", "g").count() == 0
 
 
+def test_phrases_meet_texts_by_long_runs(spark):
+    draw = random.Random(8)
+    words = ["aba", "bab", "abb", "baa"]  # every run of five characters stands in about every text
+    texts = [(1, i, " ".join(draw.choice(words) for _ in range(200))) for i in range(60)]
+    phrases = [(1, t[at:at + 60]) for _, _, t in texts for at in (40, 333)] + [(1, "aba"), (1, "no such"), (2, texts[0][2][:50])]
+    found = contain.phrases_in(spark.createDataFrame(texts, "g int, t int, x string"), ["t"], "x", spark.createDataFrame(phrases, "g int, p string"), "p", "g")
+    plan = found._jdf.queryExecution().toString()
+    assert "Generate" not in plan and "mapinarrow" in plan.lower()
+    want = {(g, i, p) for g, i, x in texts for h, p in phrases if g == h and p in x}
+    assert sorted(map(tuple, found.collect())) == sorted(want)
+    # A text sends what may be one of the phrases, not all it holds.
+    runs = contain._with_runs(spark.createDataFrame(phrases, "_g int, _p string").distinct())
+    sizes = [r[0] for r in runs.select("_size").distinct().collect()]
+    marks = spark.sparkContext.broadcast(contain._marked(runs, contain.FEWEST_BITS))
+    dealt = spark.createDataFrame([(g, i, x.encode()) for g, i, x in texts], "_g int, _cell int, _text binary")
+    assert 180 <= contain._held_runs(dealt, sizes, contain.FEWEST_BITS, marks).count() <= 200
+
+
+def test_phrases_are_found_once_in_texts_cut_in_pieces(monkeypatch):
+    monkeypatch.setattr(contain, "PIECE", 50)
+    draw = random.Random(4)
+    texts = ["".join(draw.choice("ab") for _ in range(draw.choice((0, 3, 60, 400)))).encode() for _ in range(40)]
+    phrases = sorted({t[at:at + n] for t in texts for at in (0, 20, 45) for n in (1, 2, 5, 8, 30, 100)} - {b""})
+    got = [(int(t), phrases[p]) for whose, phrase in contain._Listed(phrases).found_in(texts) for t, p in zip(whose, phrase)]
+    assert sorted(got) == sorted((i, p) for i, t in enumerate(texts) for p in phrases if p in t)
+
+
 def test_best_per_rejection_prefers_contained_options(spark):
     rows = [("c", "rejection", "r1", "we refuse the blue pill now", 0.0), ("c", "treatment", "t1", "a red pill", 5.0), ("c", "treatment", "t2", "the blue pill", 1.0)]
     scored = spark.createDataFrame(rows, "case_id string, letter_type string, path string, text string, base_score double")
