@@ -230,6 +230,13 @@ def test_phrases_in_equals_trying_all_pairs(spark):
     assert contain.phrases_in(spark.createDataFrame(texts, "g int, t int, x string"), ["t"], "x", none, "p", "g").count() == 0
 
 
+def test_few_phrases_are_tried_on_the_texts_as_they_are(spark):
+    texts = spark.createDataFrame([(1, 1, "a blue pill"), (1, 2, "a red one"), (2, 3, "a blue pill"), (None, 4, "blue")], "g int, t int, x string")
+    found = contain.phrases_in(texts, ["t"], "x", spark.createDataFrame([(1, "blue"), (1, "e"), (3, "a")], "g int, p string"), "p", "g")
+    assert sorted(map(tuple, found.collect())) == [(1, 1, "blue"), (1, 1, "e"), (1, 2, "e")]
+    assert "Generate" not in found._jdf.queryExecution().toString()  # no runs of characters come out of the texts
+
+
 def test_phrases_meet_texts_by_long_runs(spark):
     draw = random.Random(8)
     words = ["aba", "bab", "abb", "baa"]  # every run of five characters stands in about every text
