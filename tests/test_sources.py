@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from lettermill.functions import text as T
-from lettermill.sources import readers
+from lettermill.sources import readers, writers
 
 
 def test_utf8_repair_drops_invalid_bytes_only(spark):
@@ -23,6 +23,14 @@ def test_letters_phrases_templates(spark, tmp_path):
     assert [tuple(r) for r in templates] == [("head", "one\ntwo")]
 
 
+def test_letter_files_are_one_file_a_letter(spark, tmp_path):
+    rows = [(f"letters/C{i}_appeal.txt", f"one\n{i}") for i in range(20)]
+    writers.write_letter_files(spark.createDataFrame(rows, "path string, raw_text string"), str(tmp_path / "out"), files=2)
+    assert len([f for f in (tmp_path / "out").glob("path=*/*")] + [f for f in (tmp_path / "out").glob("path=*/.*")]) == 20
+    got = readers.read_letters(spark, str(tmp_path / "out"), suffix="part-*").collect()
+    assert sorted((r["path"], r["raw_text"]) for r in got) == sorted((p, t + writers.LETTER_END) for p, t in rows)
+
+
 def test_articles(spark, tmp_path):
     (tmp_path / "a.xml").write_text("<all><article><title>T</title><body>B</body></article><article><title>U</title></article></all>")
     got = readers.read_articles(spark, str(tmp_path), "title string, body string").collect()
