@@ -57,10 +57,24 @@ class Quantiser:
         return codes, np.sqrt(error)
 
     def tables(self, q: np.ndarray, at: int) -> np.ndarray:
-        """Per query its squared distances to every code of every part, relative to the list's centroid."""
-        residual = q - self.centroids[at]
-        return np.stack([(part ** 2).sum(1)[:, None] + (book ** 2).sum(1)[None] - 2 * part @ book.T
-                         for book, part in zip(self.books, np.split(residual, len(self.books), axis=1))], axis=1)
+        """(parts, codes, queries): squared distances of every code of every part to every query, relative to the list's
+        centroid. In single precision, of which ``SLACK`` is many times the error."""
+        parts, _, width = self.books.shape
+        residual = (q - self.centroids[at]).T.reshape(parts, width, len(q)).astype(np.float32)
+        books = self.books.astype(np.float32)
+        out = np.matmul(-2 * books, residual)
+        out += (books ** 2).sum(2)[:, :, None]
+        out += (residual ** 2).sum(1)[:, None, :]
+        return out
+
+    def within(self, q: np.ndarray, at: int, codes: np.ndarray, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (query, row of the list at ``at``) whose code is within the row's reach of the query."""
+        look_up = self.tables(q, at)
+        distance = look_up[0][codes[:, 0]]
+        for p in range(1, codes.shape[1]):
+            distance += look_up[p][codes[:, p]]
+        row, query = np.nonzero(distance <= (reach ** 2 + SLACK).astype(np.float32)[:, None])
+        return query, row
 
 
 def _k_means(x: np.ndarray, k: int, rounds: int = 8, seed: int = 11) -> np.ndarray:
@@ -211,12 +225,8 @@ def links(classes: DataFrame, cosine: float = COSINE, block_rows: int = BLOCK_RO
             x = held[0][0]
             for a in range(0, len(q), 256):
                 part, name, of, home = q[a:a + 256], who[a:a + 256], m[a:a + 256], own[a:a + 256]
-                look_up = quantiser.tables(part, at)
-                distance = np.zeros((len(part), len(x)))
-                for p in range(codes.shape[1]):
-                    distance += look_up[:, p, :][:, codes[:, p]]
                 # Not farther than the radius, but for the code's own error.
-                i, j = np.nonzero(np.sqrt(np.maximum(distance, 0)) <= radius + error[None] + SLACK)
+                i, j = quantiser.within(part, at, codes, radius + error + SLACK)
                 if not len(i):
                     continue
                 near = np.concatenate([np.einsum("ij,ij->i", part[i[s:s + 100_000]], x[j[s:s + 100_000]]) for s in range(0, len(i), 100_000)])

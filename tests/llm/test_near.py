@@ -257,6 +257,24 @@ def test_vectors_without_a_key_link_like_others(spark):
         (8, 0, 8, True), (None, 0, None, None)], key=str)
 
 
+def test_code_distances_stand_by_code_and_query():
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(400, 24))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    quantiser = quantised.fit(x, 2000)
+    codes, error = quantiser.encode(x[:100], np.full(100, 3))
+    q = x[100:150]
+    tables = quantiser.tables(q, 3)
+    assert tables.shape == (len(quantiser.books), quantiser.books.shape[1], len(q)) and tables.dtype == np.float32
+    stands_for = quantiser.centroids[3] + np.concatenate([book[codes[:, p]] for p, book in enumerate(quantiser.books)], axis=1)
+    exact = np.linalg.norm(q[:, None] - stands_for[None], axis=2)
+    reach = 0.9 + error
+    i, j = quantiser.within(q, 3, codes, reach + quantised.SLACK)
+    got = set(zip(i.tolist(), j.tolist()))
+    assert set(zip(*map(np.ndarray.tolist, np.nonzero(exact <= reach[None])))) <= got
+    assert got <= set(zip(*map(np.ndarray.tolist, np.nonzero(exact <= reach[None] + 1e-4)))) and got
+
+
 # --- toxicity ---
 
 
