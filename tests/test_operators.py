@@ -234,7 +234,7 @@ def test_few_phrases_are_tried_on_the_texts_as_they_are(spark):
     texts = spark.createDataFrame([(1, 1, "a blue pill"), (1, 2, "a red one"), (2, 3, "a blue pill"), (None, 4, "blue")], "g int, t int, x string")
     found = contain.phrases_in(texts, ["t"], "x", spark.createDataFrame([(1, "blue"), (1, "e"), (3, "a")], "g int, p string"), "p", "g")
     assert sorted(map(tuple, found.collect())) == [(1, 1, "blue"), (1, 1, "e"), (1, 2, "e")]
-    assert "Generate" not in found._jdf.queryExecution().toString()  # no runs of characters come out of the texts
+    assert "regexp_extract_all" not in found._jdf.queryExecution().toString()  # no runs of characters come out of the texts
 
 
 def test_phrases_meet_texts_by_long_runs(spark):
@@ -244,7 +244,7 @@ def test_phrases_meet_texts_by_long_runs(spark):
     phrases = [(1, t[at:at + 60]) for _, _, t in texts for at in (40, 333)] + [(1, "aba"), (1, "no such"), (2, texts[0][2][:50])]
     found = contain.phrases_in(spark.createDataFrame(texts, "g int, t int, x string"), ["t"], "x", spark.createDataFrame(phrases, "g int, p string"), "p", "g")
     plan = found._jdf.queryExecution().toString()
-    assert "Generate" not in plan and "mapinarrow" in plan.lower()
+    assert "regexp_extract_all" not in plan and "mapinarrow" in plan.lower()
     want = {(g, i, p) for g, i, x in texts for h, p in phrases if g == h and p in x}
     assert sorted(map(tuple, found.collect())) == sorted(want)
     # A text sends what may be one of the phrases, not all it holds.
@@ -255,6 +255,14 @@ def test_phrases_meet_texts_by_long_runs(spark):
     assert 180 <= contain._held_runs(dealt, sizes, contain.FEWEST_BITS, marks).count() <= 200
 
 
+def test_equal_rows_repeat_what_is_found(spark):
+    texts = spark.createDataFrame([(1, 1, "a blue pill")] * 3 + [(1, 2, "blue"), (1, 2, "blue one")], "g int, t int, x string")
+    for more in (0, contain.TRIED):
+        phrases = spark.createDataFrame([(1, "blue")] + [(2, f"no {i}") for i in range(more)], "g int, p string")
+        found = contain.phrases_in(texts, ["t"], "x", phrases, "p", "g").collect()
+        assert sorted(map(tuple, found)) == [(1, 1, "blue")] * 9 + [(1, 2, "blue")] * 2
+
+
 def test_phrases_are_found_once_in_texts_cut_in_pieces(monkeypatch):
     monkeypatch.setattr(contain, "PIECE", 50)
     draw = random.Random(4)
