@@ -44,7 +44,9 @@ FILE, BLOCK = b"HTF1", b"HTB1"
 
 # A single space between characters that are no white space: byte-level pieces never reach across its left side.
 _BORDER = re.compile(r"(?<=\S) (?=\S)")
-_ODD_SPACE = re.compile(r"[^\S \n]")
+# White space other than the space and the line feed. Looked for one by one, which costs a tenth of a pattern of them all.
+_ODD_SPACES = [chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not in " \n"]
+_ODD_ASCII = [c for c in _ODD_SPACES if c.isascii()]
 _ASCII_PIECES = re.compile(r"'(?:s|t|re|ve|m|ll|d)| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+", re.ASCII)
 # A word of Latin letters and what closes it: two pieces at most.
 _WORD = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([,.;:!?]*)")
@@ -131,7 +133,7 @@ class TextEncoder:
         if not text:
             return b""
         if ("  " in text or "\n\n" in text or " \n" in text or "\n " in text or text[0].isspace() or text[-1].isspace()
-                or _ODD_SPACE.search(text)):
+                or any(map(text.__contains__, _ODD_ASCII if text.isascii() else _ODD_SPACES))):
             first, *rest = _BORDER.split(text)
         else:
             # A line feed between other characters is a piece of its own, so what comes before it ends there.
