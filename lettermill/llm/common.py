@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,6 +50,27 @@ def unused(columns: list[str], *names: str) -> list[str]:
     return out
 
 
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run``, as it is given to mapInArrow, after which the worker gives back what the task held: workers are kept for the
+    tasks and stages that follow, and what each has kept adds up."""
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return tidied
+
+
+def give_back() -> None:
+    """Free cycles, and hand the pages of freed memory to the system where the C library can."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def row_hashes(df: DataFrame) -> tuple[Column, Column]:
     """Two hashes of the whole row, nulls marked: rows alike in both are copies. Columns that Spark cannot hash (maps,
     variants) go in as JSON."""

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lettermill.llm.common import table, unused
+from lettermill.llm.common import table, tidy, unused
 
 WINDOW = 20
 GRAM = 10
@@ -134,7 +134,7 @@ def packed(df: DataFrame) -> DataFrame:
             texts = pa.array([None if t is None else pack.compress(t.encode()) for t in batch.column(at).to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([texts if i == at else c for i, c in enumerate(batch.columns)], names)
 
-    return df.mapInArrow(run, df.withColumn("text", F.col("text").cast("binary")).schema)
+    return df.mapInArrow(tidy(run), df.withColumn("text", F.col("text").cast("binary")).schema)
 
 
 def _unpack(value: bytes | None) -> str | None:
@@ -180,7 +180,7 @@ def recurring_phrases(rows: DataFrame, window: int, gram: int) -> DataFrame:
                 "salt": np.concatenate([np.zeros(one.sum() + len(once), np.int32), again_shard + 1]).astype(np.int32),
                 "n": np.repeat(np.array([1, 2], np.int32), [int(one.sum()), len(once) + len(again_h)])})
 
-    sent = rows.select("shard", "text").mapInArrow(run, "h bigint, shard int, salt int, n int")
+    sent = rows.select("shard", "text").mapInArrow(tidy(run), "h bigint, shard int, salt int, n int")
     total = F.sum("n").over(Window.partitionBy("h", "salt"))
     return sent.withColumn("_total", total).filter("_total > 1 AND shard >= 0").select("shard", "h")
 
@@ -270,6 +270,7 @@ class _Shard:
             return
         place = np.concatenate([np.full(len(s), p, np.int32) for p, s, _, _ in found])
         start, one, two = (np.concatenate([f[i] for f in found]) for i in (1, 2, 3))
+        found.clear()  # the arrays stand in those put together
         two = two >> np.uint64(32)
         order = np.lexsort((start, place, two, one))
         place, start, one, two = place[order], start[order], one[order], two[order]
@@ -333,7 +334,7 @@ def later_windows(documents: DataFrame, window: int = WINDOW, gram: int = GRAM,
                 at = stop
         yield from map(pa.RecordBatch.from_pydict, held.rows(window, gram))
 
-    found = sorted_rows.mapInArrow(run, "one bigint, two int, doc_id bigint, text_hash bigint, start int, stop int")
+    found = sorted_rows.mapInArrow(tidy(run), "one bigint, two int, doc_id bigint, text_hash bigint, start int, stop int")
     order = Window.partitionBy("one", "two").orderBy(F.asc_nulls_last("doc_id"), "text_hash", "start")
     return (found.withColumn("_nth", F.row_number().over(order)).filter("two IS NULL OR _nth > 1")
             .select("doc_id", "text_hash", "start", "stop"))
@@ -387,7 +388,7 @@ def remove_passages(documents: DataFrame, window: int = WINDOW, gram: int = GRAM
                                              [*names, *results])
 
     new = [F.lit(None).cast(t).alias(c) for c, t in zip(results, ("bigint", "bigint", "string"))]
-    return joined.mapInArrow(run, documents.select("*", *new).schema)
+    return joined.mapInArrow(tidy(run), documents.select("*", *new).schema)
 
 
 def op7_passages(spark, sf_dir: str) -> DataFrame:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lettermill.llm.common import checkpointed, connected_components, row_hashes, table, unused
+from lettermill.llm.common import checkpointed, connected_components, row_hashes, table, tidy, unused
 
 BITS = 64
 MAX_DISTANCE = 4
@@ -59,7 +59,7 @@ def fingerprints(documents: DataFrame, text: str = "text", key: str = "doc_id",
 
     kinds = "".join(f", {c} {documents.schema[c].dataType.simpleString()}" for c in also)
     kind = documents.schema[key].dataType.simpleString()
-    return documents.select(key, text, *also).mapInArrow(run, f"key {kind}, fp bigint{kinds}")
+    return documents.select(key, text, *also).mapInArrow(tidy(run), f"key {kind}, fp bigint{kinds}")
 
 
 def pivots(count: int = PIVOTS) -> np.ndarray:
@@ -88,7 +88,7 @@ def with_distances(distinct: DataFrame) -> DataFrame:
             cells = pa.Array.from_buffers(pa.binary(), len(table_of), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(table_of.tobytes())])
             yield pa.RecordBatch.from_arrays([batch.column(0), cells], ["fp", "coordinates"])
 
-    return distinct.select("fp").mapInArrow(run, "fp bigint, coordinates binary")
+    return distinct.select("fp").mapInArrow(tidy(run), "fp bigint, coordinates binary")
 
 
 def close_pairs(a: np.ndarray, b: np.ndarray, table_a: np.ndarray, table_b: np.ndarray, distance: int = MAX_DISTANCE) -> tuple[np.ndarray, np.ndarray]:
@@ -206,7 +206,7 @@ def link_edges(distinct: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
         if len(held):
             yield from out(held, held_cells)
 
-    return grouped.mapInArrow(run, "a bigint, b bigint")
+    return grouped.mapInArrow(tidy(run), "a bigint, b bigint")
 
 
 def _placed(marked: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lettermill.llm.common import LETTER_WORDS, LOWER, UPPER, fresh_dir, letter_words, table, unused
+from lettermill.llm.common import LETTER_WORDS, LOWER, UPPER, fresh_dir, letter_words, table, tidy, unused
 
 SAMPLE_ROWS = 30_000  # labelled rows the lexicon and the weights are fitted on, drawn by a hash of doc_id
 PREFIXES = range(3, 9)
@@ -278,9 +278,13 @@ def _sample(documents: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
     return documents.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").select("text", F.col("toxic").cast("int").alias("toxic"))
 
 
-def _counted(sample: DataFrame, marks) -> DataFrame:
-    """(mark, toxic, clean): in how many documents of either label each mark stands, summed per batch first."""
+def _counted(sample: DataFrame, marks_of) -> DataFrame:
+    """(mark, toxic, clean): in how many documents of either label each mark stands, summed per batch first.
+
+    ``marks_of`` is called once per task and returns the function from a text to its marks.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks = marks_of()
         for batch in batches:
             counts = (Counter(), Counter())
             for text, toxic in zip(batch.column(0), batch.column(1)):
@@ -291,7 +295,7 @@ def _counted(sample: DataFrame, marks) -> DataFrame:
                 yield pa.RecordBatch.from_pydict({"mark": pa.array(part, pa.string()), "toxic": pa.array([counts[1][m] for m in part], pa.int64()),
                                                   "clean": pa.array([counts[0][m] for m in part], pa.int64())})
 
-    return (sample.mapInArrow(run, "mark string, toxic bigint, clean bigint").groupBy("mark")
+    return (sample.mapInArrow(tidy(run), "mark string, toxic bigint, clean bigint").groupBy("mark")
             .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")))
 
 
@@ -310,7 +314,7 @@ def fit(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS)
     toxic, clean = int(total[0]), int(total[1])
     if not toxic or not clean:
         return Model(base=1.0 if toxic else 0.0)
-    marked = _counted(sample, lambda text: _marks(set(letter_words(text))))
+    marked = _counted(sample, lambda: lambda text: _marks(set(letter_words(text))))
     # Marks that could be sure. Those in too few documents to stand out, whoever they are, stay out of the driver's way.
     likely = marked.filter((F.col("toxic") >= 2) & (F.col("toxic") >= SURE * (F.col("toxic") + F.col("clean"))))
     tests = toxic * len(PREFIXES) * 100
@@ -318,10 +322,9 @@ def fit(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS)
     rows = likely.filter(F.col("toxic") >= fewest).collect()
     terms = choose_terms({r["mark"]: (r["toxic"], r["clean"]) for r in rows}, toxic, clean, tests)
 
-    def near(text: str | None, lexicon: list = []) -> set[str]:  # noqa: B006  (compiled once per worker)
-        if not lexicon:
-            lexicon.append(Lexicon(terms))
-        return {w.decode() for w in set(letter_words(text)) if (h := lexicon[0].hit(w)) and h[1] > 0}
+    def near():
+        lexicon = Lexicon(terms)
+        return lambda text: {w.decode() for w in set(letter_words(text)) if (h := lexicon.hit(w)) and h[1] > 0}
 
     # Words within reach of a term that stand in clean documents as a matter of course are not misspellings.
     doubtful = _counted(sample, near).filter((F.col("clean") >= 2) & (F.col("clean") * toxic >= F.col("toxic") * clean * F.lit(0.2)))
@@ -334,7 +337,7 @@ def fit(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS)
             yield pa.RecordBatch.from_arrays([pa.array(values, pa.list_(pa.float64())), batch.column(1)], ["f", "toxic"])
 
     # At most sample_rows rows of eight numbers.
-    measured = sample.mapInArrow(measure, "f array<double>, toxic int").collect()
+    measured = sample.mapInArrow(tidy(measure), "f array<double>, toxic int").collect()
     x, y = np.array([r["f"] for r in measured]), np.array([r["toxic"] > 0 for r in measured], float)
     return Model(terms, exempt, fit_logistic(x, y))
 
@@ -351,7 +354,7 @@ def score_texts(documents: DataFrame, model: Model, text: str = "text", out: str
             scores = pa.array([score(t.as_py()) for t in batch.column(at)], pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, scores], [*names, out])
 
-    return documents.mapInArrow(run, documents.withColumn(out, F.lit(0.0)).schema)
+    return documents.mapInArrow(tidy(run), documents.withColumn(out, F.lit(0.0)).schema)
 
 
 def drop_toxic(documents: DataFrame, labels: DataFrame) -> DataFrame:

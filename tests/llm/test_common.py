@@ -1,6 +1,6 @@
 import random
 
-from lettermill.llm.common import connected_components
+from lettermill.llm.common import connected_components, tidy
 
 
 def components(pairs):
@@ -24,3 +24,32 @@ def test_components_of_chains_stars_and_noise(spark):
     got = {r["node"]: r["component"] for r in connected_components(df).collect()}
     assert got == components(pairs)
     assert connected_components(df.limit(0)).count() == 0
+
+
+def test_a_worker_gives_back_what_a_task_held():
+    import gc
+    import weakref
+
+    import pyarrow as pa
+
+    class Held:
+        pass
+
+    seen = []
+
+    def run(batches):
+        held = Held()
+        held.own = held  # a cycle, as the states of an automaton are
+        seen.append(weakref.ref(held))
+        yield from batches
+
+    gc.disable()
+    try:
+        batch = pa.RecordBatch.from_pydict({"a": [1, 2]})
+        assert list(tidy(run)([batch, batch])) == [batch, batch] and seen[0]() is None
+        rest = tidy(run)([batch, batch])
+        next(rest)
+        rest.close()
+        assert seen[1]() is None
+    finally:
+        gc.enable()
