@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lettermill.functions.text import repair_utf8 as _repair
 from lettermill.operators.gate import path_endswith
 from lettermill.rules import DECISION_COLUMNS, TYPE_ALIASES
+from lettermill.sources.local import local_path, read_files
 
 DRUG_COLUMNS = {"Name": "name", "Primary Site": "primary_site", "Category": "category", "Remarks": "remarks"}
 SFT_SCHEMA = "instruction string, output string"
@@ -50,10 +51,15 @@ def read_letters(spark: SparkSession, path: str, format: str = "text", suffix: s
     """(path, raw_text): a directory of letter files, or with ``format='parquet'`` a table of them.
 
     One file per letter costs a task and a listing entry each; a large corpus belongs in a table. Files under folders
-    ``path=<name>``, as ``writers.write_letter_files`` lays them out, get that name, any others their own.
+    ``path=<name>``, as ``writers.write_letter_files`` lays them out, get that name, any others their own. What it wrote to
+    a disk is listed and read by the workers (``local.read_files``).
     """
     if format == "parquet":
         return spark.read.parquet(path).select("path", "raw_text")
+    local = local_path(spark, path)
+    letters = read_files(spark, local, suffix) if local else None
+    if letters is not None:
+        return letters
     files = spark.read.option("pathGlobFilter", suffix).option("recursiveFileLookup", False).text(path, wholetext=True)
     name = F.col("path").cast("string") if "path" in files.columns else F.col("_metadata.file_path")
     return files.select(name.alias("path"), F.col("value").alias("raw_text"))

@@ -11,13 +11,12 @@ from pyspark.sql import functions as F
 from lettermill.operators.gate import REQUEST_KEY, gate
 from lettermill.operators.prep import key_hash
 from lettermill.operators.records import to_sft
+from lettermill.sources.local import local_path, write_files
 from lettermill.sources.readers import XML_NULL
 from lettermill.sources.store import KeyedStore
 
 SMALL_ORIGIN = "guideline"
 LETTER_END = "\n"  # after the text of a letter file
-# On a local disk: files without a checksum file beside each, which costs as much again. Other file systems ignore it.
-PLAIN_LOCAL = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
 RESPONSE_SCHEMA = "index string, model_index bigint, variant bigint, response string, kind string"
 
 
@@ -74,9 +73,17 @@ def write_letters(letters: DataFrame, path: str) -> None:
 
 
 def write_letter_files(letters: DataFrame, path: str, files: int = 64) -> None:
-    """(path, raw_text) as one text file per letter, in a folder named after it; a small corpus only."""
+    """(path, raw_text) as one text file per letter, in a folder named after it, by ``files`` tasks.
+
+    Workers write them themselves where the folder is on a disk that they see (``local.write_files``), Spark's writer
+    elsewhere, which suits a small corpus only.
+    """
     spread = letters.select("path", "raw_text").repartition(files, "path")
-    spread.write.mode("error").option("lineSep", LETTER_END).options(**PLAIN_LOCAL).partitionBy("path").text(path)
+    local = local_path(letters.sparkSession, path)
+    if local:
+        write_files(spread, local, LETTER_END)
+    else:
+        spread.write.mode("error").option("lineSep", LETTER_END).partitionBy("path").text(path)
 
 
 def write_articles(articles: DataFrame, path: str, row_tag: str = "article", root_tag: str = "articles") -> None:
