@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -272,6 +273,26 @@ def test_phrases_are_found_once_in_texts_cut_in_pieces(monkeypatch):
     assert sorted(got) == sorted((i, p) for i, t in enumerate(texts) for p in phrases if p in t)
 
 
+def test_blocks_of_places_join_up(monkeypatch):
+    monkeypatch.setattr(contain, "BLOCK", 32)
+    draw = random.Random(5)
+    texts = ["".join(draw.choice("abc") for _ in range(draw.randint(0, 200))).encode() for _ in range(60)]
+    phrases = sorted({t[at:at + n] for t in texts for at in (0, 29, 60) for n in (*range(1, 14), 27, 60)} - {b""})
+    got = [(int(t), phrases[p]) for whose, phrase in contain._Listed(phrases).found_in(texts) for t, p in zip(whose, phrase)]
+    assert sorted(got) == sorted((i, p) for i, t in enumerate(texts) for p in phrases if p in t)
+    strings = contain._Strings(texts)
+    for size, lo, h in strings.every(contain.SIZES):
+        assert (h == strings.at(np.arange(lo, lo + len(h)), np.full(len(h), size))).all()
+
+
+def test_texts_of_many_phrases_are_staged_once(spark, tmp_path):
+    spark.createDataFrame([(1, i, f"text {i}") for i in range(50)], "g int, t int, x string").write.parquet(f"{tmp_path}/given")
+    phrases = spark.createDataFrame([(1, f"t {i}") for i in range(100)], "g int, p string")
+    found = contain.phrases_in(spark.read.parquet(f"{tmp_path}/given"), ["t"], "x", phrases, "p", "g")
+    assert found.inputFiles() and not any("/given/" in f for f in found.inputFiles())  # the job reads what was grouped and dealt, not the table again
+    assert sorted(map(tuple, found.collect())) == sorted((1, i, f"t {k}") for i in range(50) for k in range(100) if f"t {k}" in f"text {i}")
+
+
 def test_best_per_rejection_prefers_contained_options(spark):
     rows = [("c", "rejection", "r1", "we refuse the blue pill now", 0.0), ("c", "treatment", "t1", "a red pill", 5.0), ("c", "treatment", "t2", "the blue pill", 1.0)]
     scored = spark.createDataFrame(rows, "case_id string, letter_type string, path string, text string, base_score double")
